@@ -1,0 +1,2 @@
+"""DuckDB oracle SQL for every registered query (written independently of the
+Spark plans, in the reference's window shape)."""

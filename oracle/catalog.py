@@ -1,0 +1,25 @@
+"""Oracle SQL per catalog query name."""
+
+from __future__ import annotations
+
+from oracle import common as C
+
+DETAIL_CUSTOMER = "Customer#000000007"
+DETAIL_SUPPLIER = "Supplier#000000003"
+
+LI = dict(history=C.LINEITEM_HISTORY, pairs=C.SUPPLIER_PAIRS)
+
+ORACLE: dict[str, str] = {
+    "summary_5": C.summary_sql(5),
+    "summary_15": C.summary_sql(15),
+    "summary_30": C.summary_sql(30),
+    "summary_30_window": C.summary_sql(30),
+    "summary_30_series": C.summary_sql(30, second="series"),
+    "summary_60_lineitem": C.summary_sql(60, **LI),
+    "summaries_all": C.summaries_sql(),
+    "summaries_all_lineitem": C.summaries_sql(**LI),
+    "pair_details": C.detail_sql(DETAIL_CUSTOMER, 30),
+    "pair_details_lineitem": C.detail_sql(DETAIL_SUPPLIER, 60, **LI),
+    "metrics_view_60": C.view_sql(60, **LI),
+    "metrics_view_events": C.view_sql(60),
+}
