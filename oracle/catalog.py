@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle import common as C
+from oracle import ingest as IG
 
 DETAIL_CUSTOMER = "Customer#000000007"
 DETAIL_SUPPLIER = "Supplier#000000003"
@@ -23,3 +24,5 @@ ORACLE: dict[str, str] = {
     "metrics_view_60": C.view_sql(60, **LI),
     "metrics_view_events": C.view_sql(60),
 }
+
+ORACLE.update(IG.ORACLE)

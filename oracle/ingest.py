@@ -1,0 +1,122 @@
+"""Oracle SQL for the ingest path over the events feed."""
+
+from __future__ import annotations
+
+SPLIT = "TIMESTAMP '2024-01-10'"
+DRIFT = "TIMESTAMP '2024-01-15'"
+
+RAW = f"""ev AS (
+  SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS created_at, user_id, event_type, value,
+         CAST(round(value * 100e0) AS BIGINT) AS cents
+  FROM events
+), daily AS (
+  SELECT user_id, created_at,
+         sum(CASE WHEN event_type = 'purchase' THEN cents ELSE 0 END) AS day_cents
+  FROM ev GROUP BY user_id, created_at
+), before_day AS (
+  SELECT user_id, created_at,
+         coalesce(sum(day_cents) OVER (PARTITION BY user_id ORDER BY created_at
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_cents
+  FROM daily
+), raw AS (
+  SELECT ev.created_at,
+         CAST(floor(ev.user_id / 25) AS INTEGER) AS page,
+         c.c_name AS address,
+         CASE WHEN ev.created_at >= {DRIFT} AND c.c_mktsegment = 'HOUSEHOLD'
+              THEN c.c_mktsegment || n.n_name
+              ELSE c.c_mktsegment || '-' || n.n_name END AS name,
+         c.c_mktsegment AS mint_x,
+         n.n_name AS mint_y,
+         c.c_nationkey + 1 AS bin_step,
+         CAST((c.c_nationkey % 4 + 1) * 0.25e0 AS VARCHAR) AS base_fee_percentage,
+         false AS hide,
+         (c.c_acctbal < 0) OR (ev.created_at >= {DRIFT} AND c.c_acctbal < 200) AS is_blacklisted,
+         CAST(CAST(floor((b.before_cents + ev.cents) / 100) AS BIGINT) AS VARCHAR) || '.' ||
+           lpad(CAST((b.before_cents + ev.cents) % 100 AS VARCHAR), 2, '0') AS cumulative_fee_volume,
+         ev.value AS current_price,
+         abs(c.c_acctbal) + ev.value * 10e0 AS liquidity,
+         CASE WHEN ev.event_type = 'error' AND ev.value < 5 THEN 0e0 ELSE ev.value END AS min_30
+  FROM ev JOIN before_day b ON ev.user_id = b.user_id AND ev.created_at = b.created_at
+  JOIN customer c ON ev.user_id = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+)"""
+
+STAGED = RAW + """, typed AS (
+  SELECT created_at, address,
+         TRY_CAST(cumulative_fee_volume AS FLOAT) AS counter,
+         CAST(current_price AS DOUBLE) AS current_price,
+         CAST(liquidity AS DOUBLE) AS liquidity,
+         name, mint_x, mint_y, bin_step,
+         TRY_CAST(base_fee_percentage AS FLOAT) AS base_fee_percentage,
+         hide, is_blacklisted
+  FROM raw
+), ranked AS (
+  SELECT *, row_number() OVER (
+      PARTITION BY created_at, address
+      ORDER BY counter NULLS FIRST, current_price NULLS FIRST, liquidity NULLS FIRST, name NULLS FIRST,
+               mint_x NULLS FIRST, mint_y NULLS FIRST, bin_step NULLS FIRST,
+               base_fee_percentage NULLS FIRST, hide NULLS FIRST, is_blacklisted NULLS FIRST) AS rn
+  FROM typed WHERE counter IS NOT NULL
+), staged AS (
+  SELECT * EXCLUDE (rn),
+         CASE WHEN strpos(name, '-') > 0 THEN substr(name, 1, strpos(name, '-') - 1) ELSE name END AS x,
+         CASE WHEN strpos(name, '-') > 0 THEN substr(name, strpos(name, '-') + 1) END AS y
+  FROM ranked WHERE rn = 1
+)"""
+
+ORACLE: dict[str, str] = {
+    "activity_cutoff": f"""WITH {RAW}, stops AS (
+  SELECT created_at, min(floor(page / 3)) AS stop_batch
+  FROM raw WHERE page % 3 = 2 AND min_30 = 0 GROUP BY created_at
+)
+SELECT r.created_at, r.page, r.address, r.cumulative_fee_volume, r.current_price, r.min_30
+FROM raw r LEFT JOIN stops s ON r.created_at = s.created_at
+WHERE s.stop_batch IS NULL OR floor(r.page / 3) <= s.stop_batch""",
+    "stage_snapshot": f"""WITH {STAGED}
+SELECT created_at, address, CAST(counter AS DOUBLE) AS cumulative_fee_volume, current_price, liquidity,
+       name, x, y, mint_x, mint_y, bin_step, CAST(base_fee_percentage AS DOUBLE) AS base_fee_percentage,
+       hide, is_blacklisted
+FROM staged""",
+    "new_tokens": f"""WITH {STAGED}, sides AS (
+  SELECT created_at, mint_x AS mint, 0 AS side, x AS symbol FROM staged
+  UNION ALL
+  SELECT created_at, mint_y AS mint, 1 AS side, y AS symbol FROM staged
+), firsts AS (
+  SELECT *, row_number() OVER (PARTITION BY mint ORDER BY created_at, side, symbol NULLS FIRST) AS rn
+  FROM sides WHERE mint IS NOT NULL
+)
+SELECT mint, symbol, CASE WHEN created_at < {SPLIT} THEN 1 ELSE 2 END AS batch
+FROM firsts WHERE rn = 1""",
+    "new_pairs": f"""WITH {STAGED}, firsts AS (
+  SELECT *, row_number() OVER (PARTITION BY address ORDER BY created_at) AS rn FROM staged
+)
+SELECT address AS pair_address, name, mint_x, mint_y, bin_step,
+       CAST(base_fee_percentage AS DOUBLE) AS base_fee_percentage, hide, is_blacklisted,
+       CASE WHEN created_at < {SPLIT} THEN 1 ELSE 2 END AS batch
+FROM firsts WHERE rn = 1""",
+    "fee_delta": f"""WITH {STAGED}
+SELECT created_at, address AS pair_address,
+       CAST(CAST(current_price AS FLOAT) AS DOUBLE) AS price,
+       CAST(CAST(liquidity AS FLOAT) AS DOUBLE) AS liquidity,
+       CAST(counter - coalesce(lag(counter) OVER (PARTITION BY address ORDER BY created_at), counter) AS DOUBLE) AS fees
+FROM staged""",
+    "counter_upsert": f"""WITH {STAGED}
+SELECT address AS pair_address, CAST(arg_max(counter, created_at) AS DOUBLE) AS cumulative_fee_volume
+FROM staged GROUP BY address""",
+    "constraint_report": f"""WITH {STAGED},
+checks(table_name, rule, violations) AS (
+  VALUES ('tokens', 'null_mint', 0), ('tokens', 'duplicate_mint', 0), ('tokens', 'duplicate_id', 0),
+         ('pairs', 'null_pair_address', 0), ('pairs', 'duplicate_pair_address', 0), ('pairs', 'duplicate_id', 0),
+         ('pairs', 'orphan_mint_x', 0), ('pairs', 'orphan_mint_y', 0),
+         ('pair_history', 'orphan_pair', 0), ('pair_history', 'duplicate_pair_snapshot', 0),
+         ('pair_history', 'null_price_or_liquidity', 0),
+         ('counters', 'orphan_pair', 0), ('counters', 'duplicate_pair', 0)
+)
+SELECT table_name, rule, CAST(violations AS BIGINT) AS violations FROM checks
+UNION ALL
+SELECT 'feed', 'duplicate_address_in_snapshot',
+       CAST(count(*) - count(DISTINCT (created_at, address)) AS BIGINT) FROM raw
+UNION ALL
+SELECT 'feed', 'unparsed_counter',
+       CAST(count(*) FILTER (WHERE TRY_CAST(cumulative_fee_volume AS FLOAT) IS NULL) AS BIGINT) FROM raw""",
+}

@@ -49,3 +49,136 @@ QUERIES: dict[str, Query] = {
     "metrics_view_60": lambda s, d: M.metrics_view(*_li(s, d), 60),
     "metrics_view_events": lambda s, d: M.metrics_view(*_ev(s, d), 60),
 }
+
+
+# ---------------------------------------------------------------------------
+# Ingest path over the events feed, loaded as two batches split on a day.
+# ---------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from tidepool.operators import ingest as I  # noqa: E402
+from tidepool.operators.quality import constraint_report  # noqa: E402
+import uuid  # noqa: E402
+
+from tidepool.plans.load import load_snapshot  # noqa: E402
+from tidepool.session import checkpoint_dir  # noqa: E402
+from tidepool.sources.tables import Tables  # noqa: E402
+
+
+def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.stage_snapshot(td.events_raw_snapshots(spark, sf_dir))
+
+
+_LOADED: dict[tuple[str, str], Tables] = {}
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> Tables:
+    """Load the events feed with ``load_snapshot`` as two batches split on a day.
+
+    The tables are written under the session's shared checkpoint folder, once
+    per application and scale, and read back by the ingest queries.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOADED:
+        root = f"{checkpoint_dir(spark)}/tidepool-load-{uuid.uuid4().hex}"
+        tables = Tables(root)
+        raw = td.events_raw_snapshots(spark, sf_dir)
+        split = F.col("created_at") < F.lit(td.EVENTS_SPLIT_DAY).cast("timestamp_ntz")
+        load_snapshot(spark, raw.filter(split), tables, 1, cutoff=False)
+        load_snapshot(spark, raw.filter(~split), tables, 2, cutoff=False)
+        _LOADED[key] = tables
+    return _LOADED[key]
+
+
+def _pair_names(spark: SparkSession, t: Tables) -> DataFrame:
+    return t.pairs(spark).select(F.col("id").alias("pair_id"), "pair_address")
+
+
+def _q_activity_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = I.activity_cutoff(td.events_raw_snapshots(spark, sf_dir))
+    return kept.select(
+        "created_at", "page", "address", "cumulative_fee_volume", "current_price", F.col("fees.min_30").alias("min_30")
+    )
+
+
+def _q_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _staged(spark, sf_dir)
+    return s.select(
+        "created_at",
+        "address",
+        F.col("counter").cast("double").alias("cumulative_fee_volume"),
+        "current_price",
+        "liquidity",
+        "name",
+        "x",
+        "y",
+        "mint_x",
+        "mint_y",
+        "bin_step",
+        F.col("base_fee_percentage").cast("double").alias("base_fee_percentage"),
+        "hide",
+        "is_blacklisted",
+    )
+
+
+def _q_new_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _loaded(spark, sf_dir)
+    return spark.read.parquet(t.path("tokens")).select("mint", "symbol", F.col("batch_id").cast("int").alias("batch"))
+
+
+def _q_new_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _loaded(spark, sf_dir)
+    tok = t.tokens(spark)
+    tx = tok.select(F.col("id").alias("mint_x_id"), F.col("mint").alias("mint_x"))
+    ty = tok.select(F.col("id").alias("mint_y_id"), F.col("mint").alias("mint_y"))
+    pairs = spark.read.parquet(t.path("pairs"))
+    return pairs.join(tx, "mint_x_id").join(ty, "mint_y_id").select(
+        "pair_address",
+        "name",
+        "mint_x",
+        "mint_y",
+        "bin_step",
+        F.col("base_fee_percentage").cast("double").alias("base_fee_percentage"),
+        "hide",
+        "is_blacklisted",
+        F.col("batch_id").cast("int").alias("batch"),
+    )
+
+
+def _q_fee_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _loaded(spark, sf_dir)
+    return t.history(spark).join(_pair_names(spark, t), "pair_id").select(
+        "created_at",
+        "pair_address",
+        F.col("price").cast("double").alias("price"),
+        F.col("liquidity").cast("double").alias("liquidity"),
+        F.col("fees").cast("double").alias("fees"),
+    )
+
+
+def _q_counter_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _loaded(spark, sf_dir)
+    return t.counters(spark).join(_pair_names(spark, t), "pair_id").select(
+        "pair_address", F.col("cumulative_fee_volume").cast("double").alias("cumulative_fee_volume")
+    )
+
+
+def _q_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _loaded(spark, sf_dir)
+    return constraint_report(
+        t.tokens(spark), t.pairs(spark), t.history(spark), t.counters(spark), raw=td.events_raw_snapshots(spark, sf_dir)
+    )
+
+
+QUERIES.update(
+    {
+        "activity_cutoff": _q_activity_cutoff,
+        "stage_snapshot": _q_stage,
+        "new_tokens": _q_new_tokens,
+        "new_pairs": _q_new_pairs,
+        "fee_delta": _q_fee_delta,
+        "counter_upsert": _q_counter_upsert,
+        "constraint_report": _q_constraint_report,
+    }
+)

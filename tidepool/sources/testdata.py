@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidepool.functions.text import split_name
 
 # The three token mints that play the quote-token role in the
 # events mapping (the real feed uses the SOL, USDC and USDT mints).
@@ -29,6 +28,8 @@ EVENTS_QUOTE_MINTS = ("BUILDING", "AUTOMOBILE", "MACHINERY")
 # which some attributes drift (to show that dimensions freeze at first sight).
 EVENTS_PAGE_USERS = 25
 EVENTS_DRIFT_DAY = "2024-01-15"
+# The events feed is loaded as two batches split on this day.
+EVENTS_SPLIT_DAY = "2024-01-10"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -151,14 +152,17 @@ def events_raw_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     c = _customer_attrs(spark, sf_dir)
     drift = F.col("created_at") >= F.lit(EVENTS_DRIFT_DAY).cast("timestamp_ntz")
-    counter = ((F.col("before_cents") + F.col("cents")).cast("decimal(20,0)") / F.lit(100)).cast("decimal(20,2)")
+    total = F.col("before_cents") + F.col("cents")
+    counter = F.concat(
+        F.floor(total / F.lit(100)).cast("string"), F.lit("."), F.lpad((total % F.lit(100)).cast("string"), 2, "0")
+    )
     zero_activity = (F.col("event_type") == "error") & (F.col("value") < F.lit(5.0))
     return (
         ev.join(daily, ["user_id", "created_at"])
         .join(c, ev.user_id == c.c_custkey)
         .select(
             "created_at",
-            (F.col("user_id") / F.lit(EVENTS_PAGE_USERS)).cast("int").alias("page"),
+            F.floor(F.col("user_id") / F.lit(EVENTS_PAGE_USERS)).cast("int").alias("page"),
             F.col("c_name").alias("address"),
             # After the drift day the name loses its dash for one segment.
             F.when(drift & (F.col("c_mktsegment") == "HOUSEHOLD"), F.concat("c_mktsegment", "n_name"))
@@ -170,7 +174,7 @@ def events_raw_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
             (((F.col("c_nationkey") % 4) + 1) * F.lit(0.25)).cast("string").alias("base_fee_percentage"),
             F.lit(False).alias("hide"),
             ((F.col("c_acctbal") < 0) | (drift & (F.col("c_acctbal") < 200))).alias("is_blacklisted"),
-            counter.cast("string").alias("cumulative_fee_volume"),
+            counter.alias("cumulative_fee_volume"),
             F.col("value").alias("current_price"),
             (F.abs(F.col("c_acctbal")) + F.col("value") * F.lit(10.0)).alias("liquidity"),
             F.struct(F.when(zero_activity, F.lit(0.0)).otherwise(F.col("value")).alias("min_30")).alias("fees"),
@@ -213,6 +217,5 @@ __all__ = [
     "lineitem_history",
     "nation_score_payloads",
     "supplier_pairs",
-    "split_name",
     "table",
 ]
