@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle import common as C
+from oracle import dashboard as DB
 from oracle import ingest as IG
 
 DETAIL_CUSTOMER = "Customer#000000007"
@@ -26,3 +27,4 @@ ORACLE: dict[str, str] = {
 }
 
 ORACLE.update(IG.ORACLE)
+ORACLE.update(DB.ORACLE)

@@ -182,3 +182,87 @@ QUERIES.update(
         "constraint_report": _q_constraint_report,
     }
 )
+
+
+# ---------------------------------------------------------------------------
+# Snapshot axis, sub-operators of the metrics, dashboard data.
+# ---------------------------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from tidepool.operators import snapshots as SN  # noqa: E402
+from tidepool.operators.filters import opportunities  # noqa: E402
+from tidepool.operators.reshape import FEE_LIQUIDITY_LABELS, PRICE_FEES_LABELS, chart_series, price_axis  # noqa: E402
+from tidepool.operators.tokens import base_tokens, token_scores  # noqa: E402
+from tidepool.plans.dashboard import freshness, pair_header  # noqa: E402
+
+# A user filter model exercising ranges, text and OR conditions.
+CUSTOM_FILTER = {
+    "filterModel": {
+        "liquidity": {"filterType": "number", "type": "inRange", "filter": 100, "filterTo": 900},
+        "name": {
+            "filterType": "text",
+            "operator": "OR",
+            "conditions": [
+                {"filterType": "text", "type": "contains", "filter": "build"},
+                {"filterType": "text", "type": "endsWith", "filter": "_3"},
+            ],
+        },
+        "pct_minutes_with_volume": {"filterType": "number", "type": "greaterThanOrEqual", "filter": 20},
+    }
+}
+
+# The "now" of the freshness line in the catalog.
+FRESHNESS_AS_OF = _dt.datetime(2024, 1, 31, 0, 7, 30)
+
+RUNNING_STATS = ("dttm", "pair_address", "num_minutes", "avg_price", "cumulative_fees", "avg_liquidity",
+                 "liquidity_std_dev", "num_minutes_with_volume")
+TICKS = ("dttm", "pair_address", "price", "num_tick_up", "num_tick_down", "pct_tick_up")
+PRICE_RANGE_BINS = ("dttm", "pair_address", "bin_step", "min_price", "max_price", "pct_price_range", "bins_range",
+                    "num_positions_range", "pct_below_max", "bins_below_max", "near_max")
+VOLATILITY = ("dttm", "pair_address", "liquidity_volatility_ratio", "std_dev_price", "price_volatility_ratio",
+              "std_dev_pct_geek_fees_liquidity_24h", "pct_geek_fees_liquidity_24h_volatility_ratio")
+
+
+def _view_cols(cols) -> Query:
+    return lambda s, d: M.metrics_view(*_ev(s, d), 30).select(*cols)
+
+
+def _events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return base_tokens(
+        td.customer_pairs(spark, sf_dir),
+        td.customer_tokens(spark, sf_dir),
+        quote_mints=td.EVENTS_QUOTE_MINTS,
+        preferred=(td.EVENTS_QUOTE_MINTS[0], td.EVENTS_QUOTE_MINTS[2]),
+    )
+
+
+def _details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.pair_details(*_ev(spark, sf_dir), DETAIL_CUSTOMER, 30)
+
+
+QUERIES.update(
+    {
+        "update_count": lambda s, d: SN.update_count(td.events_history(s, d)),
+        "eligible_timeframes": lambda s, d: SN.eligible_timeframes(td.events_history(s, d)),
+        "eligible_timeframes_lineitem": lambda s, d: SN.eligible_timeframes(td.lineitem_history(s, d)),
+        "latest_snapshots": lambda s, d: SN.latest_snapshots(td.events_history(s, d), 15).select(
+            "created_at", "recency"
+        ),
+        "running_stats": _view_cols(RUNNING_STATS),
+        "ticks": _view_cols(TICKS),
+        "price_range_bins": _view_cols(PRICE_RANGE_BINS),
+        "volatility": _view_cols(VOLATILITY),
+        "base_tokens": _events_base,
+        "token_scores": lambda s, d: token_scores(td.nation_score_payloads(s, d)),
+        "opportunities": lambda s, d: opportunities(M.summary(*_li(s, d), 60)),
+        "opportunities_custom": lambda s, d: opportunities(M.summary(*_ev(s, d), 15), CUSTOM_FILTER),
+        "chart_fee_liquidity": lambda s, d: chart_series(_details(s, d), FEE_LIQUIDITY_LABELS),
+        "chart_price_fees": lambda s, d: chart_series(_details(s, d), PRICE_FEES_LABELS),
+        "price_axis": lambda s, d: price_axis(_details(s, d)),
+        "pair_header": lambda s, d: pair_header(
+            M.summary(*_ev(s, d), 30), _events_base(s, d), token_scores(td.nation_score_payloads(s, d))
+        ),
+        "freshness": lambda s, d: freshness(td.events_history(s, d), M.summary(*_ev(s, d), 30), FRESHNESS_AS_OF),
+    }
+)
