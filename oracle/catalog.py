@@ -28,3 +28,4 @@ ORACLE: dict[str, str] = {
 
 ORACLE.update(IG.ORACLE)
 ORACLE.update(DB.ORACLE)
+ORACLE["stream_fee_delta"] = ORACLE["fee_delta"]

@@ -266,3 +266,43 @@ QUERIES.update(
         "freshness": lambda s, d: freshness(td.events_history(s, d), M.summary(*_ev(s, d), 30), FRESHNESS_AS_OF),
     }
 )
+
+
+# ---------------------------------------------------------------------------
+# Streaming: the events feed replayed through the staging stream.
+# ---------------------------------------------------------------------------
+
+from tidepool.streaming.ingest import stage_stream  # noqa: E402
+
+# The replayed day, and a watermark delay covering the whole
+# 30-day backfill (a live feed uses minutes).
+STREAM_REPLAY_DAY = "2024-01-20"
+STREAM_BACKFILL_DELAY = "31 days"
+
+
+def _q_stream_fee_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed files -> staging stream (replays dropped) -> batch staging and
+    counter deltas.  Same rows as ``fee_delta``."""
+    root = f"{checkpoint_dir(spark)}/tidepool-stream-{uuid.uuid4().hex}"
+    raw = td.events_raw_snapshots(spark, sf_dir)
+    # Range-partitioned files hold whole days; the replayed day is written again.
+    raw.repartitionByRange(4, "created_at").write.parquet(f"{root}/feed")
+    day = F.col("created_at") == F.lit(STREAM_REPLAY_DAY).cast("timestamp_ntz")
+    raw.filter(day).write.mode("append").parquet(f"{root}/feed")
+    q = stage_stream(
+        spark, f"{root}/feed", f"{root}/staged", f"{root}/_checkpoint", delay=STREAM_BACKFILL_DELAY, max_files_per_trigger=1
+    )
+    q.awaitTermination()
+    staged = I.stage_snapshot(spark.read.parquet(f"{root}/staged"))
+    empty = spark.createDataFrame([], "pair_id bigint, cumulative_fee_volume float")
+    h = I.fee_deltas(staged, empty)
+    return h.select(
+        "created_at",
+        F.col("address").alias("pair_address"),
+        F.col("price").cast("double").alias("price"),
+        F.col("liquidity").cast("double").alias("liquidity"),
+        F.col("fees").cast("double").alias("fees"),
+    )
+
+
+QUERIES["stream_fee_delta"] = _q_stream_fee_delta
