@@ -129,8 +129,10 @@ def _window_summary(history: DataFrame, pairs: DataFrame, n: int, second: str) -
 
 
 def _pair_aggregates(prev_cond: Column, latest_cond: Column) -> list[Column]:
-    price, liq, fees = F.col("price"), F.col("liquidity"), F.col("fees")
-    last = F.struct(price.alias("price"), liq.alias("liquidity"), fees.alias("fees"))
+    price, liq, fees, at = F.col("price"), F.col("liquidity"), F.col("fees"), F.col("created_at")
+    # Scalar max_by per value column (not one struct) keeps every buffer
+    # fixed-width, so the aggregate stays a hash aggregate (a struct buffer
+    # would force a sort-based aggregate on both sides of the shuffle).
     return [
         F.count(F.lit(1)).alias("num_minutes"),
         F.avg(price).alias("avg_price"),
@@ -143,7 +145,9 @@ def _pair_aggregates(prev_cond: Column, latest_cond: Column) -> list[Column]:
         F.stddev_samp(price).alias("std_dev_price"),
         F.max("created_at").alias("dttm"),
         F.max(latest_cond).alias("at_latest"),
-        F.max_by(last, F.col("created_at")).alias("last"),
+        F.max_by(price, at).alias("last_price"),
+        F.max_by(liq, at).alias("last_liquidity"),
+        F.max_by(fees, at).alias("last_fees"),
         # The lag at the newest row: price at the pair's previous snapshot.
         F.max_by(price, F.when(prev_cond, F.col("created_at"))).alias("prev_price"),
     ]
@@ -156,9 +160,9 @@ def _finish_aggregate(agg: DataFrame, pairs: DataFrame, threshold: Column | floa
         "pair_id",
         "dttm",
         *PAIR_COLUMNS,
-        F.col("last.price").alias("price"),
-        F.col("last.liquidity").alias("liquidity"),
-        F.col("last.fees").alias("fees"),
+        F.col("last_price").alias("price"),
+        F.col("last_liquidity").alias("liquidity"),
+        F.col("last_fees").alias("fees"),
         "num_minutes",
         "avg_price",
         "cumulative_fees",
