@@ -51,3 +51,24 @@ def test_filter_model_and_freshness(spark):
     assert (f["update_count"], f["minutes_ago"], f["shown"], f["offer_refresh"]) == (5, 6, True, True)
     empty = freshness(h, s.filter("false"), dt.datetime(2024, 1, 1, 12, 10)).collect()[0]
     assert empty["minutes_ago"] == -1 and not empty["shown"]
+
+
+def test_json_pages_views_and_lookup(spark, scratch):
+    import json
+
+    from tidepool.operators.ingest import stage_snapshot
+    from tidepool.plans.views import pair_row, register_views
+    from tidepool.sources.snapshots import read_pages, to_pandas_bounded
+
+    entry = {"address": "A", "name": "X-Y", "mint_x": "x", "mint_y": "y", "bin_step": 10,
+             "base_fee_percentage": "0.2", "hide": False, "is_blacklisted": False,
+             "cumulative_fee_volume": "12.5", "current_price": 1.5, "liquidity": 10.0, "fees": {"min_30": 0.0}}
+    with open(scratch + "/p0.json", "w") as fh:
+        fh.write(json.dumps({"created_at": "2024-01-01T00:00:00", "page": 0, "pairs": [entry, dict(entry, address="B")]}) + "\n")
+    st = stage_snapshot(read_pages(spark, scratch + "/p0.json"))
+    assert sorted(r["address"] for r in st.collect()) == ["A", "B"]
+    h = history(spark, [(m, 1, 10 + m, 2000, 1) for m in range(5)])
+    p = pairs(spark, [(1, "P1", 10, False)])
+    register_views(spark, h, p, n=5)
+    assert spark.sql("SELECT count(*) AS n FROM v_pair_history").collect()[0]["n"] == 5
+    assert to_pandas_bounded(pair_row(M.summary(h, p, 5), "P1")).shape[0] == 1
