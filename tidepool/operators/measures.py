@@ -125,6 +125,8 @@ def second_level(sd_24h: Column, num_tick_up: Column, num_tick_down: Column) ->
     }
 
 
-def project(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Final projection: the 33 output columns (plus ``extra`` keys first)."""
-    return df.select(*extra, *OUTPUT_COLUMNS)
+def project(df: DataFrame, extra: tuple[str, ...] = (), computed: dict[str, Column] | None = None) -> DataFrame:
+    """Final projection: the 33 output columns (plus ``extra`` keys first);
+    ``computed`` supplies columns defined in this same projection."""
+    computed = computed or {}
+    return df.select(*extra, *[computed[c].alias(c) if c in computed else F.col(c) for c in OUTPUT_COLUMNS])

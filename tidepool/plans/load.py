@@ -24,11 +24,14 @@ from tidepool.operators.ingest import (
 from tidepool.sources.tables import Tables
 
 
-def load_snapshot(spark: SparkSession, raw: DataFrame, tables: Tables, batch_id: int, cutoff: bool = True) -> dict[str, int]:
+def load_snapshot(
+    spark: SparkSession, raw: DataFrame, tables: Tables, batch_id: int, cutoff: bool = True, report: bool = False
+) -> dict[str, int] | None:
     """Load a batch of raw entries (one or more snapshots) into ``tables``.
 
     ``raw`` has the flattened entry schema with ``created_at`` and ``page``.
-    Returns row counts per written table (from the written data).
+    With ``report`` it returns the row counts written per table (one extra
+    read of each batch partition).
     """
     if cutoff:
         raw = activity_cutoff(raw)
@@ -54,6 +57,9 @@ def load_snapshot(spark: SparkSession, raw: DataFrame, tables: Tables, batch_id:
     tables.write(hist, "history", batch_id, partition_by=("snapshot_date",))
     tables.write(counter_upsert(staged, counters_before), "counters", batch_id)
 
+    if not report:
+        return None
+
     def n(name: str) -> int:
         return spark.read.parquet(tables.path(name)).filter(F.col("batch_id") == batch_id).count()
 

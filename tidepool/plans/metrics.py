@@ -36,8 +36,22 @@ from tidepool.schema import PRESENCE_SHARE, TIMEFRAMES
 PAIR_COLUMNS = ("name", "pair_address", "bin_step", "base_fee_percentage")
 
 
-def _facts(history: DataFrame, snaps: DataFrame) -> DataFrame:
-    """History restricted to the snapshot set, values widened to double."""
+# Broadcast the snapshot frame only up to this many rows (24 bytes each); a
+# timeframe is at most 1440 snapshots, so this holds for every listed one.
+MAX_BROADCAST_SNAPSHOTS = 100_000
+
+
+def _facts(history: DataFrame, snaps: DataFrame, n: int) -> DataFrame:
+    """History restricted to the snapshot set, values widened to double.
+
+    A range filter ``created_at >= min(snapshot set)`` (scalar subquery, run
+    once) goes in front of the join: it drops older history before any
+    upstream work, and prunes ``snapshot_date`` partitions of a stored history.
+    """
+    lo = snaps.agg(F.min("created_at")).scalar()
+    history = history.filter(F.col("created_at") >= lo)
+    if "snapshot_date" in history.columns:
+        history = history.filter(F.col("snapshot_date") >= F.to_date(lo))
     h = history.select(
         "created_at",
         "pair_id",
@@ -45,8 +59,9 @@ def _facts(history: DataFrame, snaps: DataFrame) -> DataFrame:
         F.col("liquidity").cast("double").alias("liquidity"),
         F.col("fees").cast("double").alias("fees"),
     )
-    # The snapshot frame holds at most max(timeframe) rows: a proven bound.
-    return h.join(F.broadcast(snaps), "created_at")
+    # The snapshot frame holds at most n rows: broadcast within the bound,
+    # otherwise let the planner choose from measured sizes.
+    return h.join(F.broadcast(snaps) if n <= MAX_BROADCAST_SNAPSHOTS else snaps, "created_at")
 
 
 def _live_pairs(pairs: DataFrame) -> DataFrame:
@@ -108,7 +123,7 @@ def series_second_level(df: DataFrame) -> DataFrame:
 
 def _window_rows(history: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     snaps = latest_snapshots(history, n)
-    return _facts(history, snaps).join(_live_pairs(pairs), "pair_id")
+    return _facts(history, snaps, n).join(_live_pairs(pairs), "pair_id")
 
 
 def _window_summary(history: DataFrame, pairs: DataFrame, n: int, second: str) -> DataFrame:
@@ -177,15 +192,13 @@ def _finish_aggregate(agg: DataFrame, pairs: DataFrame, threshold: Column | floa
     df = first_level(rows)
     # Outer windows see one row per pair: the sample stddev of one value is
     # NULL and the running tick sums are the row's own flags.
-    df = df.withColumns(
-        second_level(F.lit(None).cast("double"), F.col("tick_up").cast("int"), F.col("tick_down").cast("int"))
-    )
-    return project(df, keys)
+    second = second_level(F.lit(None).cast("double"), F.col("tick_up").cast("int"), F.col("tick_down").cast("int"))
+    return project(df, keys, second)
 
 
 def _aggregate_summary(history: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     snaps = latest_snapshots(history, n)
-    facts = _facts(history, snaps)
+    facts = _facts(history, snaps, n)
     agg = facts.groupBy("pair_id").agg(
         *_pair_aggregates(F.col("recency") > F.lit(1), F.col("recency") == F.lit(1))
     )
@@ -255,7 +268,7 @@ def summaries(history: DataFrame, pairs: DataFrame, timeframes: Iterable[int] =
     """
     tfs = sorted(set(int(t) for t in timeframes))
     snaps = latest_snapshots(history, max(tfs))
-    facts = _facts(history, snaps)
+    facts = _facts(history, snaps, max(tfs))
     arr = F.array(*[F.lit(t) for t in tfs])
     fanned = facts.withColumn(
         "timeframe",

@@ -56,7 +56,11 @@ class Tables:
         return self._read(spark, "pairs", PAIRS, before).select(*PAIRS.fieldNames())
 
     def history(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        return self._read(spark, "history", HISTORY, before).select(*HISTORY.fieldNames())
+        """Fact rows; ``snapshot_date`` is kept so date filters prune folders."""
+        df = self._read(spark, "history", HISTORY, before)
+        if "snapshot_date" not in df.columns:
+            df = df.withColumn("snapshot_date", F.to_date("created_at"))
+        return df.select(*HISTORY.fieldNames(), "snapshot_date")
 
     def counters(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """Latest counter state written before batch ``before``."""

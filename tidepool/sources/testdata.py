@@ -32,8 +32,16 @@ EVENTS_DRIFT_DAY = "2024-01-15"
 EVENTS_SPLIT_DAY = "2024-01-10"
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The generated table ``name`` (the read is reused within a session)."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId + str(id(spark)), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _day(ts: str):
