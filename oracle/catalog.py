@@ -29,3 +29,12 @@ ORACLE: dict[str, str] = {
 ORACLE.update(IG.ORACLE)
 ORACLE.update(DB.ORACLE)
 ORACLE["stream_fee_delta"] = ORACLE["fee_delta"]
+
+LOADED = dict(history=IG.LOADED_HISTORY, pairs=IG.LOADED_PAIRS)
+ORACLE.update(
+    {
+        "summary_loaded_15": C.summary_sql(15, **LOADED),
+        "summaries_loaded": C.summaries_sql(**LOADED),
+        "update_count_loaded": f"WITH {IG.LOADED_HISTORY} SELECT count(DISTINCT created_at) AS update_count FROM history",
+    }
+)

@@ -149,16 +149,25 @@ def second_level_ctes(src: str) -> str:
 )"""
 
 
-def summary_sql(n: int, history: str = EVENTS_HISTORY, pairs: str = CUSTOMER_PAIRS, second: str = "latest") -> str:
+def summary_sql(
+    n: int,
+    history: str = EVENTS_HISTORY,
+    pairs: str = CUSTOMER_PAIRS,
+    second: str = "latest",
+    timeframe_column: bool = False,
+) -> str:
     keep = f"created_at = (SELECT max(created_at) FROM history) AND num_minutes >= {n * 0.9}"
+    cols = (f"{n} AS timeframe, " if timeframe_column else "") + OUTPUT
+    # A timeframe is only offered once the history has that many snapshots.
+    eligible = f"{n} <= (SELECT count(DISTINCT created_at) FROM history)" if timeframe_column else "true"
     if second == "latest":
         return f"""WITH {history}, {pairs}, {metric_ctes(n)},
 kept AS (SELECT * FROM m3 WHERE {keep}),
 {second_level_ctes('kept')}
-SELECT {OUTPUT} FROM s2"""
+SELECT {cols} FROM s2 WHERE {eligible}"""
     return f"""WITH {history}, {pairs}, {metric_ctes(n)},
 {second_level_ctes('m3')}
-SELECT {OUTPUT} FROM s2 WHERE {keep}"""
+SELECT {cols} FROM s2 WHERE {keep} AND {eligible}"""
 
 
 def detail_sql(address: str, n: int, history: str = EVENTS_HISTORY, pairs: str = CUSTOMER_PAIRS) -> str:
@@ -177,10 +186,6 @@ TIMEFRAMES = (5, 15, 30, 60, 120, 360, 720, 1440)
 
 
 def summaries_sql(history: str = EVENTS_HISTORY, pairs: str = CUSTOMER_PAIRS) -> str:
-    parts = []
-    for t in TIMEFRAMES:
-        parts.append(
-            f"SELECT {t} AS timeframe, * FROM ({summary_sql(t, history, pairs)}) "
-            f"WHERE (SELECT count(DISTINCT created_at) FROM ({history[len('history AS ('):-1]})) >= {t}"
-        )
-    return "\nUNION ALL\n".join(parts)
+    return "\nUNION ALL\n".join(
+        f"SELECT * FROM ({summary_sql(t, history, pairs, timeframe_column=True)})" for t in TIMEFRAMES
+    )

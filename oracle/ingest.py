@@ -120,3 +120,19 @@ UNION ALL
 SELECT 'feed', 'unparsed_counter',
        CAST(count(*) FILTER (WHERE TRY_CAST(cumulative_fee_volume AS FLOAT) IS NULL) AS BIGINT) FROM raw""",
 }
+
+# History and pairs as the loader writes them from the staged feed: fees from
+# the counter delta, pair attributes frozen at first sight.
+LOADED_HISTORY = STAGED + """, history AS (
+  SELECT created_at, address AS pair_id,
+         CAST(current_price AS FLOAT) AS price,
+         CAST(liquidity AS FLOAT) AS liquidity,
+         counter - coalesce(lag(counter) OVER (PARTITION BY address ORDER BY created_at), counter) AS fees
+  FROM staged
+)"""
+
+LOADED_PAIRS = """pairs AS (
+  SELECT address AS id, address AS pair_address, name, bin_step, base_fee_percentage, is_blacklisted
+  FROM (SELECT *, row_number() OVER (PARTITION BY address ORDER BY created_at) AS rn FROM staged)
+  WHERE rn = 1
+)"""

@@ -306,3 +306,36 @@ def _q_stream_fee_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["stream_fee_delta"] = _q_stream_fee_delta
+
+
+# ---------------------------------------------------------------------------
+# Metrics over the tables written by the loader (ingest -> metrics), reading
+# the time axis from the per-snapshot table instead of the fact table.
+# ---------------------------------------------------------------------------
+
+
+def _loaded_inputs(spark: SparkSession, sf_dir: str):
+    t = _loaded(spark, sf_dir)
+    return t.history(spark), t.pairs(spark), t.snapshots(spark)
+
+
+def _q_summary_loaded(n: int) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        h, p, s = _loaded_inputs(spark, sf_dir)
+        return M.summary(h, p, n, snapshots=s)
+
+    return q
+
+
+def _q_summaries_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h, p, s = _loaded_inputs(spark, sf_dir)
+    return M.summaries(h, p, snapshots=s)
+
+
+QUERIES.update(
+    {
+        "summary_loaded_15": _q_summary_loaded(15),
+        "summaries_loaded": _q_summaries_loaded,
+        "update_count_loaded": lambda s, d: SN.update_count(_loaded(s, d).snapshots(s)),
+    }
+)

@@ -55,6 +55,9 @@ def load_snapshot(
         "created_at", "pair_id", "price", "liquidity", "fees", F.to_date("created_at").alias("snapshot_date")
     )
     tables.write(hist, "history", batch_id, partition_by=("snapshot_date",))
+    # The snapshot axis of this batch, from the rows just written.
+    written = spark.read.parquet(tables.path("history")).filter(F.col("batch_id") == batch_id)
+    tables.write(written.groupBy("created_at").agg(F.count(F.lit(1)).alias("rows")), "snapshots", batch_id)
     tables.write(counter_upsert(staged, counters_before), "counters", batch_id)
 
     if not report:
@@ -63,4 +66,4 @@ def load_snapshot(
     def n(name: str) -> int:
         return spark.read.parquet(tables.path(name)).filter(F.col("batch_id") == batch_id).count()
 
-    return {name: n(name) for name in ("staged", "tokens", "pairs", "history", "counters")}
+    return {name: n(name) for name in ("staged", "tokens", "pairs", "history", "snapshots", "counters")}

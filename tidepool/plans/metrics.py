@@ -121,13 +121,19 @@ def series_second_level(df: DataFrame) -> DataFrame:
     )
 
 
-def _window_rows(history: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    snaps = latest_snapshots(history, n)
+def _axis(history: DataFrame, snapshots: DataFrame | None) -> DataFrame:
+    """Where the snapshot axis is read from: a per-snapshot table when the
+    store keeps one, else the ``created_at`` column of the history."""
+    return history if snapshots is None else snapshots
+
+
+def _window_rows(history: DataFrame, pairs: DataFrame, n: int, snapshots: DataFrame | None = None) -> DataFrame:
+    snaps = latest_snapshots(_axis(history, snapshots), n)
     return _facts(history, snaps, n).join(_live_pairs(pairs), "pair_id")
 
 
-def _window_summary(history: DataFrame, pairs: DataFrame, n: int, second: str) -> DataFrame:
-    df = running_metrics(_window_rows(history, pairs, n))
+def _window_summary(history: DataFrame, pairs: DataFrame, n: int, second: str, snapshots: DataFrame | None) -> DataFrame:
+    df = running_metrics(_window_rows(history, pairs, n, snapshots))
     keep = (F.col("recency") == F.lit(1)) & _presence(n * PRESENCE_SHARE)
     if second == "latest":
         # The second-level windows sit in the same SELECT as the outer WHERE,
@@ -196,8 +202,8 @@ def _finish_aggregate(agg: DataFrame, pairs: DataFrame, threshold: Column | floa
     return project(df, keys, second)
 
 
-def _aggregate_summary(history: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    snaps = latest_snapshots(history, n)
+def _aggregate_summary(history: DataFrame, pairs: DataFrame, n: int, snapshots: DataFrame | None) -> DataFrame:
+    snaps = latest_snapshots(_axis(history, snapshots), n)
     facts = _facts(history, snaps, n)
     agg = facts.groupBy("pair_id").agg(
         *_pair_aggregates(F.col("recency") > F.lit(1), F.col("recency") == F.lit(1))
@@ -216,6 +222,7 @@ def summary(
     n: int,
     second_level: str = "latest",
     method: str = "aggregate",
+    snapshots: DataFrame | None = None,
 ) -> DataFrame:
     """Opportunity summary for a timeframe of ``n`` snapshots (Q2).
 
@@ -228,17 +235,21 @@ def summary(
     ``method='aggregate'`` (default) is the group-aggregate plan; ``'window'`` is
     the literal running-window plan, exact also when a pair has several rows at
     one snapshot.  ``'series'`` always uses the window plan.
+    ``snapshots`` (optional) is a table with one row per loaded snapshot
+    (``Tables.snapshots``); it spares the scan of the history's time column.
     """
     if second_level not in ("latest", "series"):
         raise ValueError("second_level must be 'latest' or 'series'")
     if method not in ("aggregate", "window"):
         raise ValueError("method must be 'aggregate' or 'window'")
     if second_level == "series" or method == "window":
-        return _window_summary(history, pairs, n, second_level)
-    return _aggregate_summary(history, pairs, n)
+        return _window_summary(history, pairs, n, second_level, snapshots)
+    return _aggregate_summary(history, pairs, n, snapshots)
 
 
-def pair_details(history: DataFrame, pairs: DataFrame, pair_address: str, n: int) -> DataFrame:
+def pair_details(
+    history: DataFrame, pairs: DataFrame, pair_address: str, n: int, snapshots: DataFrame | None = None
+) -> DataFrame:
     """Full running series of one pair over the timeframe, oldest first (Q3).
 
     The pair filter is applied to ``pairs`` *before* the windows: the window
@@ -246,18 +257,23 @@ def pair_details(history: DataFrame, pairs: DataFrame, pair_address: str, n: int
     the same rows while computing windows for a single pair.
     """
     one = pairs.filter(F.col("pair_address") == F.lit(pair_address))
-    rows = _window_rows(history, one, n)
+    rows = _window_rows(history, one, n, snapshots)
     df = series_second_level(running_metrics(rows)).withColumnRenamed("created_at", "dttm")
     return project(df).orderBy("dttm")
 
 
-def metrics_view(history: DataFrame, pairs: DataFrame, n: int = 60) -> DataFrame:
+def metrics_view(history: DataFrame, pairs: DataFrame, n: int = 60, snapshots: DataFrame | None = None) -> DataFrame:
     """All rows of all pairs with running metrics over ``n`` snapshots (Q4)."""
-    df = series_second_level(running_metrics(_window_rows(history, pairs, n)))
+    df = series_second_level(running_metrics(_window_rows(history, pairs, n, snapshots)))
     return project(df.withColumnRenamed("created_at", "dttm"))
 
 
-def summaries(history: DataFrame, pairs: DataFrame, timeframes: Iterable[int] = TIMEFRAMES) -> DataFrame:
+def summaries(
+    history: DataFrame,
+    pairs: DataFrame,
+    timeframes: Iterable[int] = TIMEFRAMES,
+    snapshots: DataFrame | None = None,
+) -> DataFrame:
     """Summaries for every eligible timeframe in one pass (Q6).
 
     Each history row inside the largest timeframe is fanned out to the
@@ -267,7 +283,7 @@ def summaries(history: DataFrame, pairs: DataFrame, timeframes: Iterable[int] =
     that many snapshots.  Output: ``timeframe`` + the summary columns.
     """
     tfs = sorted(set(int(t) for t in timeframes))
-    snaps = latest_snapshots(history, max(tfs))
+    snaps = latest_snapshots(_axis(history, snapshots), max(tfs))
     facts = _facts(history, snaps, max(tfs))
     arr = F.array(*[F.lit(t) for t in tfs])
     fanned = facts.withColumn(

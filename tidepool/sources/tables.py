@@ -7,6 +7,8 @@ Layout (parquet):
 * ``pairs/batch_id=N``     pairs first seen in batch N
 * ``history/snapshot_date=D/batch_id=N``   fact rows
 * ``counters/batch_id=N``  full last-counter state after batch N
+* ``snapshots/batch_id=N`` one row per snapshot loaded (``created_at``,
+  ``rows``): the time axis without scanning the fact table
 
 Every write replaces only its own ``batch_id`` partitions (dynamic partition
 overwrite), so re-running a batch after a failure gives the same tables.
@@ -70,6 +72,10 @@ class Tables:
         newest = df.agg(F.max("batch_id")).scalar()
         return df.filter(F.col("batch_id") == newest).select(*COUNTERS.fieldNames())
 
+    def snapshots(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        schema = T.StructType([T.StructField("created_at", T.TimestampNTZType()), T.StructField("rows", T.LongType())])
+        return self._read(spark, "snapshots", schema, before).select("created_at", "rows")
+
     def staged(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         path = self.path("staged")
         df = spark.read.parquet(path)

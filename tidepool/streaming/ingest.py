@@ -109,7 +109,10 @@ def ingest_stream(
         load_snapshot(batch.sparkSession, batch, tables, batch_id)
         if refresh_summaries:
             s = batch.sparkSession
-            out = summaries(tables.history(s, before=batch_id + 1), tables.pairs(s, before=batch_id + 1))
+            upto = batch_id + 1
+            out = summaries(
+                tables.history(s, before=upto), tables.pairs(s, before=upto), snapshots=tables.snapshots(s, before=upto)
+            )
             out.write.mode("overwrite").parquet(tables.path("summaries"))
 
     writer = entries.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
