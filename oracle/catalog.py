@@ -38,3 +38,4 @@ ORACLE.update(
         "update_count_loaded": f"WITH {IG.LOADED_HISTORY} SELECT count(DISTINCT created_at) AS update_count FROM history",
     }
 )
+ORACLE["stage_snapshot_json"] = ORACLE["stage_snapshot"]

@@ -8,6 +8,10 @@ function serves the window form (one value per row) and the aggregate form
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,14 +70,36 @@ OUTPUT_COLUMNS = (
 )
 
 
+_EXPRESSIONS: dict[tuple[int, str], Any] = {}
+
+
+def cached_columns(name: str, build: Callable[[], Any]) -> Any:
+    """Build a set of unresolved ``Column`` expressions once per SparkContext.
+
+    The formulas do not depend on any DataFrame, so every query reuses the same
+    expression objects instead of rebuilding them call by call on the driver.
+    """
+    key = (id(SparkContext._active_spark_context), name)
+    if key not in _EXPRESSIONS:
+        _EXPRESSIONS[key] = build()
+    return _EXPRESSIONS[key]
+
+
 def first_level(df: DataFrame) -> DataFrame:
     """Add M1-M11 and the tick flags from the statistic columns.
 
     ``liquidity_std_dev`` is rounded to cents first and the rounded value feeds
     both ratios that use it; the 24h ratio is rounded and later measured again.
     """
+    layers = cached_columns("first_level", _first_level_layers)
+    for layer in layers:
+        df = df.withColumns(layer)
+    return df
+
+
+def _first_level_layers() -> list[dict[str, Column]]:
     c = F.col
-    df = df.withColumns(
+    one = (
         {
             "liquidity_std_dev": round_half_away(c("liquidity_sd_raw"), 2),
             "tick_up": F.coalesce(c("prev_price") < c("price"), F.lit(False)),
@@ -89,7 +115,7 @@ def first_level(df: DataFrame) -> DataFrame:
             "price_volatility_ratio": safe_div(c("std_dev_price"), c("avg_price")),
         }
     )
-    df = df.withColumns(
+    two = (
         {
             "liquidity_volatility_ratio": round_half_away(
                 safe_div(c("liquidity_std_dev"), c("avg_liquidity")), 2
@@ -101,7 +127,7 @@ def first_level(df: DataFrame) -> DataFrame:
             "bins_below_max": bins_between(F.lit(1.0) + c("pct_below_max") / F.lit(100.0), c("bin_step")),
         }
     )
-    return df.withColumns(
+    three = (
         {
             "pct_geek_fees_liquidity_24h": round_half_away(
                 safe_div(F.lit(1440.0) * c("pct_geek_fees_liquidity"), c("num_minutes")), 2
@@ -109,6 +135,7 @@ def first_level(df: DataFrame) -> DataFrame:
             "near_max": c("bins_below_max") <= F.lit(NEAR_MAX_BINS),
         }
     )
+    return [one, two, three]
 
 
 def second_level(sd_24h: Column, num_tick_up: Column, num_tick_down: Column) -> dict[str, Column]:

@@ -339,3 +339,32 @@ QUERIES.update(
         "update_count_loaded": lambda s, d: SN.update_count(_loaded(s, d).snapshots(s)),
     }
 )
+
+
+def _q_stage_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw feed written as JSON lines and read back through the feed
+    reader (S1), then staged: same rows as ``stage_snapshot``."""
+    from tidepool.sources.snapshots import read_entries
+
+    root = f"{checkpoint_dir(spark)}/tidepool-json-{uuid.uuid4().hex}"
+    td.events_raw_snapshots(spark, sf_dir).write.json(root)
+    staged = I.stage_snapshot(read_entries(spark, root, fmt="json"))
+    return staged.select(
+        "created_at",
+        "address",
+        F.col("counter").cast("double").alias("cumulative_fee_volume"),
+        "current_price",
+        "liquidity",
+        "name",
+        "x",
+        "y",
+        "mint_x",
+        "mint_y",
+        "bin_step",
+        F.col("base_fee_percentage").cast("double").alias("base_fee_percentage"),
+        "hide",
+        "is_blacklisted",
+    )
+
+
+QUERIES["stage_snapshot_json"] = _q_stage_json

@@ -29,29 +29,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidepool.operators.measures import first_level, project, second_level
+from tidepool.operators.measures import cached_columns, first_level, project, second_level
 from tidepool.operators.snapshots import latest_snapshots
 from tidepool.schema import PRESENCE_SHARE, TIMEFRAMES
 
 PAIR_COLUMNS = ("name", "pair_address", "bin_step", "base_fee_percentage")
 
 
-# Broadcast the snapshot frame only up to this many rows (24 bytes each); a
-# timeframe is at most 1440 snapshots, so this holds for every listed one.
-MAX_BROADCAST_SNAPSHOTS = 100_000
+# The snapshot set is resolved once, as a bounded action, when it holds at
+# most this many rows (24 bytes each; every listed timeframe is <= 1440).
+MAX_LOCAL_SNAPSHOTS = 100_000
 
 
-def _facts(history: DataFrame, snaps: DataFrame, n: int) -> DataFrame:
+def _snapshot_set(axis: DataFrame, n: int) -> tuple[DataFrame, Column | None, Column | None]:
+    """The latest ``n`` snapshots, plus range filters for the fact scan.
+
+    Up to ``MAX_LOCAL_SNAPSHOTS`` the set (at most ``n`` rows, a proven
+    bound) is fetched once and re-enters the plan as a small local relation;
+    its oldest timestamp becomes a literal ``created_at >=`` filter that
+    parquet pushes down and that prunes ``snapshot_date`` folders at planning
+    time.  Above the bound everything stays distributed: the filter is a
+    scalar subquery (pruned at run time) and the join side is sized by the
+    planner.
+    """
+    snaps = latest_snapshots(axis, n)
+    if n > MAX_LOCAL_SNAPSHOTS:
+        lo = snaps.agg(F.min("created_at")).scalar()
+        return snaps, lo, F.to_date(lo)
+    rows = snaps.collect()
+    local = axis.sparkSession.createDataFrame(rows, snaps.schema)
+    if not rows:
+        return local, None, None
+    oldest = min(r["created_at"] for r in rows)
+    lo = F.lit(oldest.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.broadcast(local), lo, F.lit(oldest.date().isoformat()).cast("date")
+
+
+def _facts(history: DataFrame, snaps: DataFrame, lo: Column | None, lo_date: Column | None) -> DataFrame:
     """History restricted to the snapshot set, values widened to double.
 
-    A range filter ``created_at >= min(snapshot set)`` (scalar subquery, run
-    once) goes in front of the join: it drops older history before any
-    upstream work, and prunes ``snapshot_date`` partitions of a stored history.
+    The range filter ``created_at >= oldest snapshot of the set`` goes in front
+    of the join: it drops older history before any upstream work, and on a
+    stored history it prunes ``snapshot_date`` partitions.
     """
-    lo = snaps.agg(F.min("created_at")).scalar()
-    history = history.filter(F.col("created_at") >= lo)
-    if "snapshot_date" in history.columns:
-        history = history.filter(F.col("snapshot_date") >= F.to_date(lo))
+    if lo is not None:
+        history = history.filter(F.col("created_at") >= lo)
+        if "snapshot_date" in history.columns:
+            history = history.filter(F.col("snapshot_date") >= lo_date)
     h = history.select(
         "created_at",
         "pair_id",
@@ -59,9 +83,7 @@ def _facts(history: DataFrame, snaps: DataFrame, n: int) -> DataFrame:
         F.col("liquidity").cast("double").alias("liquidity"),
         F.col("fees").cast("double").alias("fees"),
     )
-    # The snapshot frame holds at most n rows: broadcast within the bound,
-    # otherwise let the planner choose from measured sizes.
-    return h.join(F.broadcast(snaps) if n <= MAX_BROADCAST_SNAPSHOTS else snaps, "created_at")
+    return h.join(snaps, "created_at")
 
 
 def _live_pairs(pairs: DataFrame) -> DataFrame:
@@ -91,10 +113,14 @@ def _pair_window() -> Window:
 
 def running_metrics(rows: DataFrame) -> DataFrame:
     """First-level running statistics (W1-W11) and measures per row."""
+    stats = rows.select("*", *cached_columns("running_stats", _running_columns))
+    return first_level(stats)
+
+
+def _running_columns() -> list[Column]:
     w = _pair_window()
     price, liq, fees = F.col("price"), F.col("liquidity"), F.col("fees")
-    stats = rows.select(
-        "*",
+    return [
         F.count(F.lit(1)).over(w).alias("num_minutes"),
         F.avg(price).over(w).alias("avg_price"),
         F.sum(fees).over(w).alias("cumulative_fees"),
@@ -105,20 +131,20 @@ def running_metrics(rows: DataFrame) -> DataFrame:
         F.min(price).over(w).alias("min_price"),
         F.max(price).over(w).alias("max_price"),
         F.stddev_samp(price).over(w).alias("std_dev_price"),
-    )
-    return first_level(stats)
+    ]
 
 
 def series_second_level(df: DataFrame) -> DataFrame:
     """W12-W14 over whatever rows ``df`` holds, then M12, M13."""
-    w = _pair_window()
-    return df.withColumns(
-        second_level(
+    def build() -> dict[str, Column]:
+        w = _pair_window()
+        return second_level(
             F.stddev_samp("pct_geek_fees_liquidity_24h").over(w),
             F.sum(F.col("tick_up").cast("int")).over(w),
             F.sum(F.col("tick_down").cast("int")).over(w),
         )
-    )
+
+    return df.withColumns(cached_columns("second_level_series", build))
 
 
 def _axis(history: DataFrame, snapshots: DataFrame | None) -> DataFrame:
@@ -128,8 +154,8 @@ def _axis(history: DataFrame, snapshots: DataFrame | None) -> DataFrame:
 
 
 def _window_rows(history: DataFrame, pairs: DataFrame, n: int, snapshots: DataFrame | None = None) -> DataFrame:
-    snaps = latest_snapshots(_axis(history, snapshots), n)
-    return _facts(history, snaps, n).join(_live_pairs(pairs), "pair_id")
+    snaps, lo, lo_date = _snapshot_set(_axis(history, snapshots), n)
+    return _facts(history, snaps, lo, lo_date).join(_live_pairs(pairs), "pair_id")
 
 
 def _window_summary(history: DataFrame, pairs: DataFrame, n: int, second: str, snapshots: DataFrame | None) -> DataFrame:
@@ -174,6 +200,12 @@ def _pair_aggregates(prev_cond: Column, latest_cond: Column) -> list[Column]:
     ]
 
 
+def _summary_aggregates() -> list[Column]:
+    return cached_columns(
+        "summary_aggregates", lambda: _pair_aggregates(F.col("recency") > F.lit(1), F.col("recency") == F.lit(1))
+    )
+
+
 def _finish_aggregate(agg: DataFrame, pairs: DataFrame, threshold: Column | float, keys: tuple[str, ...]) -> DataFrame:
     kept = agg.filter(F.col("at_latest") & _presence(threshold))
     rows = kept.join(_live_pairs(pairs), "pair_id").select(
@@ -198,16 +230,17 @@ def _finish_aggregate(agg: DataFrame, pairs: DataFrame, threshold: Column | floa
     df = first_level(rows)
     # Outer windows see one row per pair: the sample stddev of one value is
     # NULL and the running tick sums are the row's own flags.
-    second = second_level(F.lit(None).cast("double"), F.col("tick_up").cast("int"), F.col("tick_down").cast("int"))
+    second = cached_columns(
+        "second_level_latest",
+        lambda: second_level(F.lit(None).cast("double"), F.col("tick_up").cast("int"), F.col("tick_down").cast("int")),
+    )
     return project(df, keys, second)
 
 
 def _aggregate_summary(history: DataFrame, pairs: DataFrame, n: int, snapshots: DataFrame | None) -> DataFrame:
-    snaps = latest_snapshots(_axis(history, snapshots), n)
-    facts = _facts(history, snaps, n)
-    agg = facts.groupBy("pair_id").agg(
-        *_pair_aggregates(F.col("recency") > F.lit(1), F.col("recency") == F.lit(1))
-    )
+    snaps, lo, lo_date = _snapshot_set(_axis(history, snapshots), n)
+    facts = _facts(history, snaps, lo, lo_date)
+    agg = facts.groupBy("pair_id").agg(*_summary_aggregates())
     return _finish_aggregate(agg, pairs, n * PRESENCE_SHARE, ())
 
 
@@ -283,14 +316,12 @@ def summaries(
     that many snapshots.  Output: ``timeframe`` + the summary columns.
     """
     tfs = sorted(set(int(t) for t in timeframes))
-    snaps = latest_snapshots(_axis(history, snapshots), max(tfs))
-    facts = _facts(history, snaps, max(tfs))
+    snaps, lo, lo_date = _snapshot_set(_axis(history, snapshots), max(tfs))
+    facts = _facts(history, snaps, lo, lo_date)
     arr = F.array(*[F.lit(t) for t in tfs])
     fanned = facts.withColumn(
         "timeframe",
         F.explode(F.filter(arr, lambda t: (t >= F.col("recency")) & (t <= F.col("snapshots_kept")))),
     )
-    agg = fanned.groupBy("timeframe", "pair_id").agg(
-        *_pair_aggregates(F.col("recency") > F.lit(1), F.col("recency") == F.lit(1))
-    )
+    agg = fanned.groupBy("timeframe", "pair_id").agg(*_summary_aggregates())
     return _finish_aggregate(agg, pairs, F.col("timeframe") * F.lit(PRESENCE_SHARE), ("timeframe",))
