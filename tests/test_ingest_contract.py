@@ -103,3 +103,17 @@ def test_loader_is_replay_safe_and_sums_match(spark, scratch):
 
     rep = constraint_report(t.tokens(spark), t.pairs(spark), t.history(spark), t.counters(spark))
     assert all(r["violations"] == 0 for r in rep.collect())
+
+
+def test_late_snapshot_is_kept_apart(spark, scratch):
+    t = Tables(scratch + "/late")
+    rows = lambda m, c: [{"m": m, "address": "A", "counter": c, "name": "A-Q", "mint_x": "A", "mint_y": "q"}]
+    load_snapshot(spark, raw_entries(spark, rows(0, "10")), t, 1)
+    load_snapshot(spark, raw_entries(spark, rows(5, "30")), t, 2)
+    load_snapshot(spark, raw_entries(spark, rows(3, "20")), t, 3)  # arrives after minute 5
+    fees = sorted((r["created_at"].minute, r["fees"]) for r in t.history(spark).collect())
+    assert fees == [(0, 0.0), (5, 20.0)]
+    late = spark.read.parquet(t.path("late")).collect()
+    assert [(r["created_at"].minute, r["counter"]) for r in late] == [(3, 20.0)]
+    state = t.counters(spark).collect()
+    assert [(r["cumulative_fee_volume"], r["updated_at"].minute) for r in state] == [(30.0, 5)]

@@ -130,3 +130,13 @@ def test_single_pass_summaries_equal_per_timeframe(spark):
         one = sorted(tuple(r) for r in M.summary(h, p, n).collect())
         part = sorted(tuple(r)[1:] for r in allx.filter(f"timeframe = {n}").collect())
         assert one == part
+
+
+def test_detail_timeframe_is_global(spark):
+    # Pair 2 is missing from the newest snapshots: its detail over N=3 holds
+    # only its rows inside the global last 3 snapshots.
+    rows = [(m, 1, 10, 100, 0) for m in range(6)] + [(m, 2, 10, 100, 0) for m in range(4)]
+    h, p = history(spark, rows), pairs(spark, [(1, "P1", 10, False), (2, "P2", 10, False)])
+    got = [r["dttm"].minute for r in M.pair_details(h, p, "P2", 3).collect()]
+    assert got == [3]
+    assert M.pair_details(h, p, "nope", 3).count() == 0

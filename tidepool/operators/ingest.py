@@ -147,6 +147,20 @@ def new_pairs(staged: DataFrame, tokens: DataFrame, pairs: DataFrame) -> DataFra
     )
 
 
+def _with_state(staged: DataFrame, counters: DataFrame) -> DataFrame:
+    rows = staged.select(
+        "created_at", "address", pair_id(F.col("address")).alias("pair_id"), "counter", "current_price", "liquidity"
+    )
+    state = counters.select(
+        "pair_id", F.col("cumulative_fee_volume").alias("stored"), F.col("updated_at").alias("stored_at")
+    )
+    return rows.join(state, "pair_id", "left")
+
+
+def _in_order() -> F.Column:
+    return F.col("stored_at").isNull() | (F.col("created_at") > F.col("stored_at"))
+
+
 def fee_deltas(staged: DataFrame, counters: DataFrame) -> DataFrame:
     """History rows with per-snapshot fees from the cumulative counter.
 
@@ -154,11 +168,10 @@ def fee_deltas(staged: DataFrame, counters: DataFrame) -> DataFrame:
     (C10).  The previous counter is the pair's previous snapshot in this batch,
     else the stored last counter (which survives gaps), else the counter
     itself (first sight gives 0).  A counter reset gives negative fees.
+    Rows not newer than the pair's stored counter are late and left to
+    ``late_entries``.
     """
-    pid = pair_id(F.col("address"))
-    rows = staged.select("created_at", "address", pid.alias("pair_id"), "counter", "current_price", "liquidity")
-    state = counters.select("pair_id", F.col("cumulative_fee_volume").alias("stored"))
-    rows = rows.join(state, "pair_id", "left")
+    rows = _with_state(staged, counters).filter(_in_order())
     w = Window.partitionBy("pair_id").orderBy("created_at")
     prev = F.coalesce(F.lag("counter").over(w), F.col("stored"), F.col("counter"))
     return rows.select(
@@ -171,14 +184,23 @@ def fee_deltas(staged: DataFrame, counters: DataFrame) -> DataFrame:
     )
 
 
+def late_entries(staged: DataFrame, counters: DataFrame) -> DataFrame:
+    """Staged rows at or before their pair's stored counter (a snapshot that
+    arrives after a newer one was loaded).  They are kept apart, not loaded:
+    loading them would rewrite the deltas of the later snapshots."""
+    return _with_state(staged, counters).filter(~_in_order()).drop("stored", "stored_at")
+
+
 def counter_upsert(staged: DataFrame, counters: DataFrame) -> DataFrame:
     """New last-counter state (S10, J7): the batch's newest counter per pair,
-    else the stored one."""
-    latest = staged.groupBy(pair_id(F.col("address")).alias("pair_id")).agg(
-        F.max_by("counter", "created_at").alias("new_counter")
+    else the stored one; late rows never move the state back."""
+    fresh = _with_state(staged, counters).filter(_in_order())
+    latest = fresh.groupBy("pair_id").agg(
+        F.max_by("counter", "created_at").alias("new_counter"), F.max("created_at").alias("new_at")
     )
     merged = counters.join(latest, "pair_id", "full_outer")
     return merged.select(
         "pair_id",
         F.coalesce(F.col("new_counter"), F.col("cumulative_fee_volume")).alias("cumulative_fee_volume"),
+        F.coalesce(F.col("new_at"), F.col("updated_at")).alias("updated_at"),
     ).filter(F.col("cumulative_fee_volume").isNotNull())

@@ -272,6 +272,7 @@ QUERIES.update(
 # Streaming: the events feed replayed through the staging stream.
 # ---------------------------------------------------------------------------
 
+from tidepool.schema import COUNTERS  # noqa: E402
 from tidepool.streaming.ingest import stage_stream  # noqa: E402
 
 # The replayed day, and a watermark delay covering the whole
@@ -294,7 +295,7 @@ def _q_stream_fee_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     q.awaitTermination()
     staged = I.stage_snapshot(spark.read.parquet(f"{root}/staged"))
-    empty = spark.createDataFrame([], "pair_id bigint, cumulative_fee_volume float")
+    empty = spark.createDataFrame([], COUNTERS)
     h = I.fee_deltas(staged, empty)
     return h.select(
         "created_at",

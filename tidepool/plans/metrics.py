@@ -290,7 +290,13 @@ def pair_details(
     the same rows while computing windows for a single pair.
     """
     one = pairs.filter(F.col("pair_address") == F.lit(pair_address))
-    rows = _window_rows(history, one, n, snapshots)
+    # The address is unique, so the lookup returns at most one id (bounded);
+    # as a literal, the id filter reaches the parquet reader and skips row
+    # groups of other pairs (the loader sorts files by pair_id).
+    # The time axis still comes from the whole history.
+    ids = [r["id"] for r in one.select("id").limit(2).collect()]
+    own = history.filter(F.col("pair_id").isin(ids) if ids else F.lit(False))
+    rows = _window_rows(own, one, n, _axis(history, snapshots))
     df = series_second_level(running_metrics(rows)).withColumnRenamed("created_at", "dttm")
     return project(df).orderBy("dttm")
 

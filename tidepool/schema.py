@@ -65,11 +65,13 @@ PAIRS = T.StructType(
     ]
 )
 
-# Last cumulative fee counter seen per pair (FLOAT, like the reference column).
+# Last cumulative fee counter seen per pair (FLOAT, like the reference
+# column) and the snapshot it came from.
 COUNTERS = T.StructType(
     [
         T.StructField("pair_id", T.LongType(), False),
         T.StructField("cumulative_fee_volume", T.FloatType(), False),
+        T.StructField("updated_at", T.TimestampNTZType()),
     ]
 )
 
