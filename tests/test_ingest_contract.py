@@ -117,3 +117,5 @@ def test_late_snapshot_is_kept_apart(spark, scratch):
     assert [(r["created_at"].minute, r["counter"]) for r in late] == [(3, 20.0)]
     state = t.counters(spark).collect()
     assert [(r["cumulative_fee_volume"], r["updated_at"].minute) for r in state] == [(30.0, 5)]
+    assert t.retain_versions(spark, "counters", keep=1) == [1, 2]
+    assert [r["cumulative_fee_volume"] for r in t.counters(spark).collect()] == [30.0]

@@ -83,6 +83,27 @@ class Tables:
             df = df.filter(F.col("batch_id") < F.lit(before))
         return df
 
+    # -- retention -------------------------------------------------------
+    def retain_versions(self, spark: SparkSession, name: str = "counters", keep: int = 3) -> list[int]:
+        """Delete all but the newest ``keep`` batch versions of a full-state
+        table (``counters`` is rewritten whole every batch).  Returns the
+        batch ids removed.  Only folder names are listed; no data is read."""
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        versions = []
+        for st in fs.listStatus(root):
+            nm = st.getPath().getName()
+            if st.isDirectory() and nm.startswith("batch_id="):
+                versions.append((int(nm.split("=", 1)[1]), st.getPath()))
+        versions.sort()
+        removed = versions[: max(0, len(versions) - keep)]
+        for _, path in removed:
+            fs.delete(path, True)
+        return [b for b, _ in removed]
+
     # -- writer ----------------------------------------------------------
     def write(self, df: DataFrame, name: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
         (

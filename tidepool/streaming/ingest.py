@@ -96,17 +96,20 @@ def ingest_stream(
     max_files_per_trigger: int | None = None,
     trigger: str = "availableNow",
     refresh_summaries: bool = False,
+    keep_counter_versions: int = 3,
 ) -> StreamingQuery:
     """Start the incremental loader (T1-T4): ``load_snapshot`` per micro-batch.
 
     With ``refresh_summaries`` the all-timeframe summary is recomputed after
-    each load and written to ``tables.path('summaries')`` (T4).
+    each load and written to ``tables.path('summaries')`` (T4).  Old versions
+    of the counter state beyond ``keep_counter_versions`` are removed.
     """
     entries = dedupe_replays(read_entries(spark, source_dir, fmt, pages, max_files_per_trigger), delay)
 
     def load(batch: DataFrame, epoch_id: int) -> None:
         batch_id = int(epoch_id) + 1
         load_snapshot(batch.sparkSession, batch, tables, batch_id)
+        tables.retain_versions(batch.sparkSession, "counters", keep=keep_counter_versions)
         if refresh_summaries:
             s = batch.sparkSession
             upto = batch_id + 1
