@@ -6,12 +6,28 @@ Each entry reads the generated parquet tables through the mappings in
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from tidepool.operators import ingest as I
+from tidepool.operators import snapshots as SN
+from tidepool.operators.filters import opportunities
+from tidepool.operators.quality import constraint_report
+from tidepool.operators.reshape import FEE_LIQUIDITY_LABELS, PRICE_FEES_LABELS, chart_series, price_axis
+from tidepool.operators.tokens import base_tokens, token_scores
 from tidepool.plans import metrics as M
+from tidepool.plans.dashboard import freshness, pair_header
+from tidepool.plans.load import load_snapshot
+from tidepool.schema import COUNTERS
+from tidepool.session import checkpoint_dir
 from tidepool.sources import testdata as td
+from tidepool.sources.snapshots import read_entries
+from tidepool.sources.tables import Tables
+from tidepool.streaming.ingest import stage_stream
 
 # The pools whose detail series the catalog shows.
 DETAIL_CUSTOMER = "Customer#000000007"
@@ -55,16 +71,6 @@ QUERIES: dict[str, Query] = {
 # Ingest path over the events feed, loaded as two batches split on a day.
 # ---------------------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from tidepool.operators import ingest as I  # noqa: E402
-from tidepool.operators.quality import constraint_report  # noqa: E402
-import uuid  # noqa: E402
-
-from tidepool.plans.load import load_snapshot  # noqa: E402
-from tidepool.session import checkpoint_dir  # noqa: E402
-from tidepool.sources.tables import Tables  # noqa: E402
-
 
 def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.stage_snapshot(td.events_raw_snapshots(spark, sf_dir))
@@ -188,13 +194,6 @@ QUERIES.update(
 # Snapshot axis, sub-operators of the metrics, dashboard data.
 # ---------------------------------------------------------------------------
 
-import datetime as _dt  # noqa: E402
-
-from tidepool.operators import snapshots as SN  # noqa: E402
-from tidepool.operators.filters import opportunities  # noqa: E402
-from tidepool.operators.reshape import FEE_LIQUIDITY_LABELS, PRICE_FEES_LABELS, chart_series, price_axis  # noqa: E402
-from tidepool.operators.tokens import base_tokens, token_scores  # noqa: E402
-from tidepool.plans.dashboard import freshness, pair_header  # noqa: E402
 
 # A user filter model exercising ranges, text and OR conditions.
 CUSTOM_FILTER = {
@@ -272,8 +271,6 @@ QUERIES.update(
 # Streaming: the events feed replayed through the staging stream.
 # ---------------------------------------------------------------------------
 
-from tidepool.schema import COUNTERS  # noqa: E402
-from tidepool.streaming.ingest import stage_stream  # noqa: E402
 
 # The replayed day, and a watermark delay covering the whole
 # 30-day backfill (a live feed uses minutes).
@@ -345,8 +342,6 @@ QUERIES.update(
 def _q_stage_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw feed written as JSON lines and read back through the feed
     reader (S1), then staged: same rows as ``stage_snapshot``."""
-    from tidepool.sources.snapshots import read_entries
-
     root = f"{checkpoint_dir(spark)}/tidepool-json-{uuid.uuid4().hex}"
     td.events_raw_snapshots(spark, sf_dir).write.json(root)
     staged = I.stage_snapshot(read_entries(spark, root, fmt="json"))
