@@ -51,7 +51,8 @@ def pair_header(summary: DataFrame, base: DataFrame, scores: DataFrame) -> DataF
 def freshness(history: DataFrame, summary: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
     """One row: snapshot count, newest summary time, minutes since it (-1 when
     the summary is empty), and whether the line shows and offers a refresh."""
-    now = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.localtimestamp()
+    # A wall-clock literal: text cast to TIMESTAMP_NTZ, independent of time zones.
+    now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz") if as_of is not None else F.localtimestamp()
     count = update_count(history).scalar()
     row = summary.agg(F.max("dttm").alias("last_update")).select(
         count.alias("update_count"), "last_update", minutes_since(F.col("last_update"), now).alias("minutes_ago")
