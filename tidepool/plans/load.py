@@ -3,7 +3,8 @@
 The order is the reference's: dimensions before the fact (the fact needs the
 pair ids), the fact before the state (the fact reads the *old* counter).
 Rows of a snapshot older than a pair's stored counter (late arrivals) go to
-the ``late`` table instead of the fact.
+the ``late`` table instead of the fact; entries whose counter text does not
+parse go to ``rejected``.
 Each step writes its own ``batch_id`` partition, so a replayed batch rewrites
 exactly what it wrote before.  The staged batch is written first and read
 back, which cuts the lineage: a lost executor later in the load recomputes
@@ -22,6 +23,7 @@ from tidepool.operators.ingest import (
     late_entries,
     new_pairs,
     new_tokens,
+    rejected_entries,
     stage_snapshot,
 )
 from tidepool.sources.tables import Tables
@@ -38,6 +40,8 @@ def load_snapshot(
     """
     if cutoff:
         raw = activity_cutoff(raw)
+    # Entries whose counter is not a number are kept aside, not lost.
+    tables.write(rejected_entries(raw), "rejected", batch_id)
     tables.write(stage_snapshot(raw), "staged", batch_id)
     staged = spark.read.parquet(tables.path("staged")).filter(F.col("batch_id") == batch_id).drop("batch_id")
 
@@ -72,4 +76,4 @@ def load_snapshot(
     def n(name: str) -> int:
         return spark.read.parquet(tables.path(name)).filter(F.col("batch_id") == batch_id).count()
 
-    return {name: n(name) for name in ("staged", "tokens", "pairs", "history", "late", "snapshots", "counters")}
+    return {name: n(name) for name in ("rejected", "staged", "tokens", "pairs", "history", "late", "snapshots", "counters")}
