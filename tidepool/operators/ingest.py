@@ -49,19 +49,25 @@ def activity_cutoff(raw: DataFrame, pages_per_batch: int = PAGES_PER_BATCH) -> D
     each batch** is inspected, and the feed stops after the first batch whose
     last page holds an entry with ``fees.min_30 == 0`` (that batch is kept
     whole).  A snapshot where no batch qualifies keeps everything.
+
+    Entries are matched back on (snapshot, page batch), not on the snapshot
+    alone: a live micro-batch is often a single snapshot, and one join key
+    would put every entry in one task.  A page batch holds at most
+    ``pages_per_batch`` pages, so the keys spread a large snapshot out.
     """
-    batch = F.floor(F.col("page") / F.lit(pages_per_batch))
+    batch = F.floor(F.col("page") / F.lit(pages_per_batch)).alias("page_batch")
     is_last = F.col("page") % F.lit(pages_per_batch) == F.lit(pages_per_batch - 1)
-    stops = (
-        raw.filter(is_last & (F.col("fees.min_30") == F.lit(0.0)))
-        .groupBy("created_at")
-        .agg(F.min(batch).alias("stop_batch"))
+    stop = is_last & (F.col("fees.min_30") == F.lit(0.0))
+    per_batch = raw.groupBy("created_at", batch).agg(F.max(stop).alias("stops_here"))
+    first_stop = (
+        per_batch.filter(F.col("stops_here")).groupBy("created_at").agg(F.min("page_batch").alias("stop_batch"))
     )
-    return (
-        raw.join(stops, "created_at", "left")
-        .filter(F.col("stop_batch").isNull() | (batch <= F.col("stop_batch")))
-        .drop("stop_batch")
+    kept = (
+        per_batch.join(first_stop, "created_at", "left")
+        .filter(F.col("stop_batch").isNull() | (F.col("page_batch") <= F.col("stop_batch")))
+        .select("created_at", "page_batch")
     )
+    return raw.join(kept, (raw["created_at"] == kept["created_at"]) & (batch == kept["page_batch"]), "left_semi")
 
 
 def stage_snapshot(raw: DataFrame) -> DataFrame:
