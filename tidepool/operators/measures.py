@@ -70,7 +70,7 @@ OUTPUT_COLUMNS = (
 )
 
 
-_EXPRESSIONS: dict[tuple[int, str], Any] = {}
+_EXPRESSIONS: dict[str, tuple[Any, Any]] = {}
 
 
 def cached_columns(name: str, build: Callable[[], Any]) -> Any:
@@ -78,11 +78,14 @@ def cached_columns(name: str, build: Callable[[], Any]) -> Any:
 
     The formulas do not depend on any DataFrame, so every query reuses the same
     expression objects instead of rebuilding them call by call on the driver.
+    A new SparkContext (after a stop) rebuilds them.
     """
-    key = (id(SparkContext._active_spark_context), name)
-    if key not in _EXPRESSIONS:
-        _EXPRESSIONS[key] = build()
-    return _EXPRESSIONS[key]
+    sc = SparkContext._active_spark_context
+    hit = _EXPRESSIONS.get(name)
+    if hit is None or hit[0] is not sc:
+        hit = (sc, build())
+        _EXPRESSIONS[name] = hit
+    return hit[1]
 
 
 def first_level(df: DataFrame) -> DataFrame:

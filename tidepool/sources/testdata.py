@@ -32,16 +32,17 @@ EVENTS_DRIFT_DAY = "2024-01-15"
 EVENTS_SPLIT_DAY = "2024-01-10"
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
+_TABLES: dict[str, tuple[SparkSession, DataFrame]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The generated table ``name`` (the read is reused within a session)."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId + str(id(spark)), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    hit = _TABLES.get(path)
+    if hit is None or hit[0] is not spark or hit[1].sparkSession is not spark:
+        hit = (spark, spark.read.parquet(path))
+        _TABLES[path] = hit
+    return hit[1]
 
 
 def _day(ts: str):
