@@ -47,6 +47,11 @@ def test_filter_model_and_freshness(spark):
     p = pairs(spark, [(1, "P1", 10, False), (2, "P2", 10, False)])
     s = M.summary(h, p, 5)
     assert [r["pair_address"] for r in apply_filter_model(s, DEFAULT_FILTER_MODEL).collect()] == ["P1"]
+    from tidepool.operators.filters import opportunities
+
+    ranked = opportunities(s, model={}, sort_model=[{"colId": "liquidity", "sort": "asc"}]).collect()
+    assert [r["pair_address"] for r in ranked] == ["P2", "P1"]
+    assert [r["pair_address"] for r in opportunities(s, model={}, top=1).collect()] == ["P1"]
     f = freshness(h, s, dt.datetime(2024, 1, 1, 12, 10, 30)).collect()[0]
     assert (f["update_count"], f["minutes_ago"], f["shown"], f["offer_refresh"]) == (5, 6, True, True)
     empty = freshness(h, s.filter("false"), dt.datetime(2024, 1, 1, 12, 10)).collect()[0]

@@ -81,12 +81,30 @@ def apply_filter_model(df: DataFrame, model: dict[str, Any] | None = None) -> Da
     return df.filter(filter_predicate(DEFAULT_FILTER_MODEL if model is None else model))
 
 
-def opportunities(summary: DataFrame, model: dict[str, Any] | None = None, top: int | None = None) -> DataFrame:
-    """The opportunity table (Q7): filter, project, rank by 24h fee ratio.
+def sort_columns(sort_model: list[dict[str, str]] | None = None) -> list[Column]:
+    """Grid sort model ``[{colId, sort: asc|desc}, ...]`` as sort keys; the
+    default ranks by the 24h fee ratio, descending.  ``pair_address`` breaks
+    ties so the order is total."""
+    sort_model = sort_model or [{"colId": SORT_COLUMN, "sort": "desc"}]
+    keys = [
+        F.col(m["colId"]).desc_nulls_last() if m.get("sort", "asc") == "desc" else F.col(m["colId"]).asc_nulls_first()
+        for m in sort_model
+    ]
+    return keys + [F.col("pair_address")]
+
+
+def opportunities(
+    summary: DataFrame,
+    model: dict[str, Any] | None = None,
+    top: int | None = None,
+    sort_model: list[dict[str, str]] | None = None,
+) -> DataFrame:
+    """The opportunity table (Q7): filter, project, rank (by default on the
+    24h fee ratio, descending).
 
     ``top`` keeps the first rows of the ranking (a top-k report); by default
     every row that passes the filter is returned, in rank order.
     """
     df = apply_filter_model(summary, model).select(*DISPLAY_COLUMNS)
-    df = df.orderBy(F.col(SORT_COLUMN).desc_nulls_last(), F.col("pair_address"))
+    df = df.orderBy(*sort_columns(sort_model))
     return df.limit(top) if top is not None else df
