@@ -24,3 +24,31 @@ def test_stream_equals_batch(spark, scratch):
     got = sorted((r["pair_address"], r["created_at"].minute, r["fees"]) for r in h.collect())
     assert got == [("A", 0, 0.0), ("A", 1, 2.0), ("A", 2, 8.0), ("B", 0, 0.0), ("B", 2, 6.0)]
     assert spark.read.parquet(t.path("summaries")).count() >= 0
+
+
+def test_staging_stream_reads_json_pages(spark, scratch):
+    import json
+
+    from tidepool.operators.ingest import stage_snapshot
+    from tidepool.streaming.ingest import stage_stream
+
+    src = scratch + "/pages"
+    import os
+
+    os.makedirs(src)
+    entry = {"address": "A", "name": "X-Y", "mint_x": "x", "mint_y": "y", "bin_step": 10,
+             "base_fee_percentage": "0.2", "hide": False, "is_blacklisted": False,
+             "cumulative_fee_volume": "1", "current_price": 1.5, "liquidity": 10.0, "fees": {"min_30": 1.0}}
+    docs = [
+        {"created_at": "2024-01-01T00:00:00", "page": 0, "pairs": [entry, dict(entry, address="B")]},
+        {"created_at": "2024-01-01T00:01:00", "page": 0, "pairs": [dict(entry, cumulative_fee_volume="3")]},
+    ]
+    for i, doc in enumerate(docs + docs[:1]):  # the first page is delivered twice
+        with open(f"{src}/p{i}.json", "w") as fh:
+            fh.write(json.dumps(doc) + "\n")
+    q = stage_stream(spark, src, scratch + "/staged", scratch + "/ckpt", delay="1 hour", fmt="json", pages=True,
+                     max_files_per_trigger=1)
+    q.awaitTermination()
+    staged = spark.read.parquet(scratch + "/staged")
+    assert staged.count() == 3
+    assert stage_snapshot(staged).count() == 3

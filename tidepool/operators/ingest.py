@@ -8,7 +8,7 @@ inside the batch, seeded from the stored state.
 Skew: the only groupings are by (snapshot, address), by address, by mint and
 by (snapshot, page batch); all are aggregations with map-side partial
 combine, so a hot address or snapshot is pre-reduced before any shuffle.  The
-one window (counter lag) is partitioned by address after the per-snapshot
+one window (counter lag) is partitioned by pair after the per-snapshot
 dedupe, so a partition holds at most one row per snapshot of the batch.
 """
 

@@ -4,9 +4,11 @@ all-timeframe summaries (Q6).
 Physical shape
 --------------
 * The snapshot set is the top-N distinct ``created_at`` of the whole history
-  (at most N <= 1440 rows), broadcast into the fact scan.  That one join does
-  the ``IN (subquery)`` restriction and tags each row with its recency, so the
-  global latest snapshot (recency 1) needs no second scan.
+  (or of the loader's per-snapshot table): at most N <= 1440 rows, fetched
+  once and broadcast into the fact scan.  That one join does the
+  ``IN (subquery)`` restriction and tags each row with its recency, so the
+  global latest snapshot (recency 1) needs no second scan; its oldest
+  timestamp becomes a literal range filter that prunes the history scan.
 * **Window form** (detail, view, and the exact reference semantics): one hash
   exchange + sort on ``pair_id``; both window levels share it.  A pair holds at
   most one row per snapshot (the loader keeps one entry per address and
