@@ -108,3 +108,13 @@ SELECT update_count, last_update, minutes_ago,
        update_count >= 5 AND minutes_ago >= 0 AND minutes_ago >= 5 AS offer_refresh
 FROM g""",
 }
+
+ORACLE.update(
+    {
+        "chart_price_layer": f"""SELECT dttm, 'Price' AS Legend, CAST(price AS DOUBLE) AS Value, strftime(dttm, '%I:%M %p') AS Time
+FROM ({C.detail_sql(DETAIL, 30)})""",
+        "pair_row": f"""SELECT * FROM ({C.summary_sql(60, history=C.LINEITEM_HISTORY, pairs=C.SUPPLIER_PAIRS)})
+WHERE pair_address = 'Supplier#000000006'""",
+        "metrics_view_sql": C.view_sql(60, history=C.LINEITEM_HISTORY, pairs=C.SUPPLIER_PAIRS),
+    }
+)

@@ -17,11 +17,12 @@ from tidepool.operators import ingest as I
 from tidepool.operators import snapshots as SN
 from tidepool.operators.filters import opportunities
 from tidepool.operators.quality import constraint_report
-from tidepool.operators.reshape import FEE_LIQUIDITY_LABELS, PRICE_FEES_LABELS, chart_series, price_axis
+from tidepool.operators.reshape import FEE_LIQUIDITY_LABELS, PRICE_FEES_LABELS, chart_series, legend_rows, price_axis
 from tidepool.operators.tokens import base_tokens, token_scores
 from tidepool.plans import metrics as M
 from tidepool.plans.dashboard import freshness, pair_header
 from tidepool.plans.load import load_snapshot
+from tidepool.plans.views import pair_row, register_views
 from tidepool.schema import COUNTERS
 from tidepool.session import checkpoint_dir
 from tidepool.sources import testdata as td
@@ -32,6 +33,7 @@ from tidepool.streaming.ingest import stage_stream
 # The pools whose detail series the catalog shows.
 DETAIL_CUSTOMER = "Customer#000000007"
 DETAIL_SUPPLIER = "Supplier#000000003"
+ROW_SUPPLIER = "Supplier#000000006"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -364,3 +366,18 @@ def _q_stage_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["stage_snapshot_json"] = _q_stage_json
+
+
+def _q_view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The named view (S12) queried with Spark SQL."""
+    register_views(spark, td.lineitem_history(spark, sf_dir), td.supplier_pairs(spark, sf_dir), n=60)
+    return spark.sql("SELECT * FROM v_pair_history")
+
+
+QUERIES.update(
+    {
+        "chart_price_layer": lambda s, d: legend_rows(chart_series(_details(s, d), PRICE_FEES_LABELS), "Price"),
+        "pair_row": lambda s, d: pair_row(M.summary(*_li(s, d), 60), ROW_SUPPLIER),
+        "metrics_view_sql": _q_view_sql,
+    }
+)
