@@ -77,3 +77,19 @@ def test_json_pages_views_and_lookup(spark, scratch):
     register_views(spark, h, p, n=5)
     assert spark.sql("SELECT count(*) AS n FROM v_pair_history").collect()[0]["n"] == 5
     assert to_pandas_bounded(pair_row(M.summary(h, p, 5), "P1")).shape[0] == 1
+
+
+def test_timeframe_options_and_default(spark):
+    from tidepool.operators.snapshots import eligible_timeframes
+
+    def opts(n):
+        h = history(spark, [(m, 1, 10, 100, 0) for m in range(n)])
+        rows = eligible_timeframes(h).orderBy("timeframe").collect()
+        return [r["timeframe"] for r in rows], [r["timeframe"] for r in rows if r["is_default"]], rows
+
+    assert opts(4)[0] == []
+    assert opts(5)[:2] == ([5], [5])
+    assert opts(20)[:2] == ([5, 15], [15])  # fewer than four options: the last
+    got, default, rows = opts(60)
+    assert got == [5, 15, 30, 60] and default == [30]  # otherwise the third
+    assert rows[0]["label"] == "5 minutes" and rows[-1]["label"] == "1 hour" and rows[0]["ready"]

@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,10 +29,14 @@ from pyspark.sql import types as T
 from tidepool.schema import COUNTERS, HISTORY, PAIRS, TOKENS
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table at ``path``, or None before its first write."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
 
 
 @dataclass(frozen=True)
@@ -43,10 +48,9 @@ class Tables:
 
     # -- readers ---------------------------------------------------------
     def _read(self, spark: SparkSession, name: str, schema: T.StructType, before: int | None) -> DataFrame:
-        path = self.path(name)
-        if not _exists(spark, path):
+        df = _read_or_none(spark, self.path(name))
+        if df is None:
             return spark.createDataFrame([], T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())]))
-        df = spark.read.parquet(path)
         if before is not None:
             df = df.filter(F.col("batch_id") < F.lit(before))
         return df
@@ -87,7 +91,8 @@ class Tables:
     def retain_versions(self, spark: SparkSession, name: str = "counters", keep: int = 3) -> list[int]:
         """Delete all but the newest ``keep`` batch versions of a full-state
         table (``counters`` is rewritten whole every batch).  Returns the
-        batch ids removed.  Only folder names are listed; no data is read."""
+        batch ids removed.  Only folder names are listed; no data is read
+        (through the Hadoop FileSystem API, which PySpark does not wrap)."""
         jvm = spark.sparkContext._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.path(name))
         fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
