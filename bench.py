@@ -11,8 +11,8 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -36,7 +36,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
-    from tidepool.session import build_session
+    from tidepool.session import build_session, checkpoint_dir
 
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus))
     from pyspark.sql import functions as F
@@ -64,8 +64,8 @@ def main() -> None:
     # The two-batch snapshot load (write path), fresh tables each run.
     best = None
     for _ in range(repeat):
-        root = tempfile.mkdtemp(prefix="tidepool-bench-")
-        tables = Tables(root)
+        # Scratch tables live under the session's shared checkpoint folder.
+        tables = Tables(f"{checkpoint_dir(spark)}/tidepool-bench-{uuid.uuid4().hex}")
         raw = td.events_raw_snapshots(spark, sf_dir)
         split = F.col("created_at") < F.lit(td.EVENTS_SPLIT_DAY).cast("timestamp_ntz")
         t0 = time.perf_counter()
