@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions.text import minutes_since
-from tidepool.operators.filters import opportunities  # noqa: F401  (re-export)
-from tidepool.operators.reshape import chart_series, price_axis  # noqa: F401
+from tidepool.operators.filters import opportunities
+from tidepool.operators.reshape import chart_series, price_axis
 from tidepool.operators.snapshots import update_count
 from tidepool.schema import MIN_SNAPSHOTS
 
+__all__ = ["chart_series", "freshness", "opportunities", "pair_header", "price_axis"]
+
 # Data older than this many minutes offers a refresh.
 STALE_MINUTES = 5
 
