@@ -37,7 +37,11 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app_nam
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; set a private one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="tidepool-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current
