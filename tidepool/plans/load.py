@@ -1,14 +1,16 @@
 """Snapshot load (Q11): stage -> tokens -> pairs -> history -> counters.
 
-The order is the reference's: dimensions before the fact (the fact needs the
+The batch's feed is written first (``raw``, after the activity cut-off) and
+everything else is computed from that copy.  The order is the reference's:
+dimensions before the fact (the fact needs the
 pair ids), the fact before the state (the fact reads the *old* counter).
 Rows of a snapshot older than a pair's stored counter (late arrivals) go to
 the ``late`` table instead of the fact; entries whose counter text does not
 parse go to ``rejected``.
 Each step writes its own ``batch_id`` partition, so a replayed batch rewrites
-exactly what it wrote before.  The staged batch is written first and read
-back, which cuts the lineage: a lost executor later in the load recomputes
-from the written stage, not from the source.
+exactly what it wrote before.  Reading back the written feed and stage cuts
+the lineage: a lost executor later in the load recomputes from those copies,
+not from the source.
 """
 
 from __future__ import annotations
@@ -40,6 +42,10 @@ def load_snapshot(
     """
     if cutoff:
         raw = activity_cutoff(raw)
+    # The feed of this batch is written once (an archive, and the point the
+    # rest of the load recomputes from); everything below reads the copy.
+    tables.write(raw, "raw", batch_id)
+    raw = spark.read.parquet(tables.path("raw")).filter(F.col("batch_id") == batch_id).drop("batch_id")
     # Entries whose counter is not a number are kept aside, not lost.
     tables.write(rejected_entries(raw), "rejected", batch_id)
     tables.write(stage_snapshot(raw), "staged", batch_id)
@@ -76,4 +82,4 @@ def load_snapshot(
     def n(name: str) -> int:
         return spark.read.parquet(tables.path(name)).filter(F.col("batch_id") == batch_id).count()
 
-    return {name: n(name) for name in ("rejected", "staged", "tokens", "pairs", "history", "late", "snapshots", "counters")}
+    return {name: n(name) for name in ("raw", "rejected", "staged", "tokens", "pairs", "history", "late", "snapshots", "counters")}

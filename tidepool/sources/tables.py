@@ -2,11 +2,14 @@
 
 Layout (parquet):
 
+* ``raw/batch_id=N``       the batch's feed entries (after the activity cut-off)
+* ``rejected/batch_id=N``  feed entries whose counter text does not parse
 * ``staged/batch_id=N``    raw entries of batch N after staging
 * ``tokens/batch_id=N``    tokens first seen in batch N
 * ``pairs/batch_id=N``     pairs first seen in batch N
 * ``history/snapshot_date=D/batch_id=N``   fact rows
 * ``counters/batch_id=N``  full last-counter state after batch N
+* ``late/batch_id=N``      staged rows older than their pair's stored counter
 * ``snapshots/batch_id=N`` one row per snapshot loaded (``created_at``,
   ``rows``): the time axis without scanning the fact table
 
