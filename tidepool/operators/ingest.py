@@ -59,6 +59,10 @@ def activity_cutoff(raw: DataFrame, pages_per_batch: int = PAGES_PER_BATCH) -> D
     is_last = F.col("page") % F.lit(pages_per_batch) == F.lit(pages_per_batch - 1)
     stop = is_last & (F.col("fees.min_30") == F.lit(0.0))
     per_batch = raw.groupBy("created_at", batch).agg(F.max(stop).alias("stops_here"))
+    # One row per snapshot (partial aggregation, so a large snapshot is
+    # pre-combined); joined back on the snapshot, where AQE broadcasts it or
+    # splits a skewed snapshot partition.  A per-snapshot window here would
+    # instead put all of a large snapshot's page batches in one task.
     first_stop = (
         per_batch.filter(F.col("stops_here")).groupBy("created_at").agg(F.min("page_batch").alias("stop_batch"))
     )
