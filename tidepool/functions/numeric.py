@@ -22,20 +22,34 @@ def safe_div(num: Column, den: Column) -> Column:
     return num.cast("double") / nz(den.cast("double"))
 
 
+def _floor_nonnegative(v: Column) -> Column:
+    """``floor`` of a non-negative double, as a double.
+
+    Spark's ``floor(double)`` returns BIGINT and saturates above 2^63;
+    ``v - (v % 1)`` is exact in IEEE arithmetic (the remainder is exact) for
+    every finite ``v >= 0``.
+    """
+    return v - v % F.lit(1.0)
+
+
 def round_half_away(c: Column, places: int = 0) -> Column:
     """Round half away from zero to ``places`` decimals.
 
-    Written as ``sign(x) * floor(|x| * 10^k + 0.5) / 10^k`` so the same text
-    gives the same double in Spark and in the oracle engine (their built-in
-    ``round`` disagree on binary ties such as 1.005).
+    Written as ``sign(x) * floor(|x| * 10^k + 0.5) / 10^k`` in doubles so the
+    same text gives the same double in Spark and in the oracle engine (their
+    built-in ``round`` disagree on binary ties such as 1.005), for any
+    magnitude.
     """
     scale = F.lit(float(10 ** places))
     x = c.cast("double")
-    return F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)).cast("double") / scale
+    return F.signum(x) * _floor_nonnegative(F.abs(x) * scale + F.lit(0.5)) / scale
 
 
 def ceil_long(c: Column) -> Column:
-    """``ceil`` typed BIGINT; NULL in, NULL out (Spark maps NaN to 0 otherwise)."""
+    """``ceil`` typed BIGINT; NULL in, NULL out (Spark maps NaN to 0 otherwise).
+
+    Used for bin counts, which are bounded by the log of the double range over
+    the log of the smallest bin step (well inside BIGINT)."""
     return F.when(c.isNotNull() & ~F.isnan(c), F.ceil(c)).cast("bigint")
 
 
