@@ -49,7 +49,7 @@ CUSTOMER_PAIRS = """pairs AS (
 LINEITEM_HISTORY = """history AS (
   SELECT CAST(date_trunc('month', CAST(l_shipdate AS DATE)) AS TIMESTAMP) AS created_at,
          l_suppkey AS pair_id,
-         CAST(avg(l_extendedprice / l_quantity) AS FLOAT) AS price,
+         CAST(avg(l_extendedprice / nullif(l_quantity, 0)) AS FLOAT) AS price,
          CAST(sum(l_extendedprice) AS FLOAT) AS liquidity,
          CAST(sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice * l_discount ELSE 0e0 END) AS FLOAT) AS fees
   FROM lineitem

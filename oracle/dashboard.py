@@ -40,7 +40,7 @@ BASE = """pairs_b AS (
 ), base AS (SELECT pair_address, symbol, mint FROM ranked WHERE rn = 1)"""
 
 SCORES = """ev_first AS (
-  SELECT n.n_nationkey, n.n_name, arg_min(CAST(json_extract_string(e.props, '$.k') AS INTEGER), e.event_id) AS k
+  SELECT n.n_nationkey, n.n_name, arg_min(TRY_CAST(json_extract_string(e.props, '$.k') AS INTEGER), e.event_id) AS k
   FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
   GROUP BY n.n_nationkey, n.n_name
 ), payloads AS (

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidepool.functions.numeric import safe_div
+
 
 # The three token mints that play the quote-token role in the
 # events mapping (the real feed uses the SOL, USDC and USDT mints).
@@ -101,7 +103,7 @@ def lineitem_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     month = F.trunc(F.col("l_shipdate").cast("date"), "month").cast("timestamp_ntz")
     return li.groupBy(month.alias("created_at"), F.col("l_suppkey").alias("pair_id")).agg(
-        F.avg(F.col("l_extendedprice") / F.col("l_quantity")).cast("float").alias("price"),
+        F.avg(safe_div(F.col("l_extendedprice"), F.col("l_quantity"))).cast("float").alias("price"),
         F.sum("l_extendedprice").cast("float").alias("liquidity"),
         F.sum(
             F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice") * F.col("l_discount")).otherwise(
@@ -200,7 +202,7 @@ def nation_score_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "props")
     c = _customer_attrs(spark, sf_dir).select("c_custkey", "n_nationkey", "n_name")
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.get_json_object("props", "$.k").try_cast("int")
     first = (
         ev.join(c, ev.user_id == c.c_custkey)
         .groupBy("n_nationkey", "n_name")
