@@ -153,3 +153,16 @@ def test_distributed_snapshot_path_equals_local(spark, monkeypatch):
     monkeypatch.setattr(M, "MAX_LOCAL_SNAPSHOTS", 0)
     assert sorted(M.summary(h, p, 15).collect()) == local
     assert M.metrics_view(h, p, 15).count() == view_local
+
+
+def test_output_schema_is_the_contract(spark):
+    from tidepool.schema import METRICS, SUMMARIES
+    from tidepool.sources import testdata as td
+
+    d = "/root/testdata/sf0.001"
+    h, p = td.events_history(spark, d), td.customer_pairs(spark, d)
+    strip = lambda st: [(f.name, f.dataType) for f in st.fields]
+    for df in (M.summary(h, p, 5), M.summary(h, p, 5, method="window"), M.metrics_view(h, p, 5),
+               M.pair_details(h, p, "Customer#000000007", 5)):
+        assert strip(df.schema) == strip(METRICS)
+    assert strip(M.summaries(h, p).schema) == strip(SUMMARIES)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions.numeric import bins_between, ceil_long, nz, round_half_away, safe_div
-from tidepool.schema import BINS_PER_POSITION, NEAR_MAX_BINS
+from tidepool.schema import BINS_PER_POSITION, METRIC_COLUMNS, NEAR_MAX_BINS
 
 # Statistic columns the first level needs.
 STAT_COLUMNS = (
@@ -33,41 +33,7 @@ STAT_COLUMNS = (
 )
 
 # Output columns of every metrics frame, in the reference's order.
-OUTPUT_COLUMNS = (
-    "dttm",
-    "name",
-    "pair_address",
-    "bin_step",
-    "base_fee_percentage",
-    "price",
-    "liquidity",
-    "fees",
-    "num_minutes",
-    "avg_price",
-    "cumulative_fees",
-    "avg_liquidity",
-    "liquidity_std_dev",
-    "liquidity_volatility_ratio",
-    "pct_geek_fees_liquidity",
-    "pct_geek_fees_liquidity_24h",
-    "std_dev_pct_geek_fees_liquidity_24h",
-    "pct_geek_fees_liquidity_24h_volatility_ratio",
-    "num_minutes_with_volume",
-    "pct_minutes_with_volume",
-    "num_tick_up",
-    "num_tick_down",
-    "pct_tick_up",
-    "min_price",
-    "max_price",
-    "pct_price_range",
-    "bins_range",
-    "num_positions_range",
-    "pct_below_max",
-    "bins_below_max",
-    "near_max",
-    "std_dev_price",
-    "price_volatility_ratio",
-)
+OUTPUT_COLUMNS = METRIC_COLUMNS
 
 
 _EXPRESSIONS: dict[str, tuple[Any, Any]] = {}

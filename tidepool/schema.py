@@ -85,6 +85,33 @@ HISTORY = T.StructType(
     ]
 )
 
+def _metric_type(name: str) -> T.DataType:
+    if name == "dttm":
+        return T.TimestampNTZType()
+    if name in ("name", "pair_address"):
+        return T.StringType()
+    if name == "bin_step":
+        return T.IntegerType()
+    if name == "near_max":
+        return T.BooleanType()
+    if name.startswith("num_") or name in ("bins_range", "bins_below_max"):
+        return T.LongType()
+    return T.DoubleType()
+
+
+# Output of the metrics plans (summary, detail, view): 33 columns.
+METRIC_COLUMNS = (
+    "dttm", "name", "pair_address", "bin_step", "base_fee_percentage", "price", "liquidity", "fees",
+    "num_minutes", "avg_price", "cumulative_fees", "avg_liquidity", "liquidity_std_dev",
+    "liquidity_volatility_ratio", "pct_geek_fees_liquidity", "pct_geek_fees_liquidity_24h",
+    "std_dev_pct_geek_fees_liquidity_24h", "pct_geek_fees_liquidity_24h_volatility_ratio",
+    "num_minutes_with_volume", "pct_minutes_with_volume", "num_tick_up", "num_tick_down", "pct_tick_up",
+    "min_price", "max_price", "pct_price_range", "bins_range", "num_positions_range", "pct_below_max",
+    "bins_below_max", "near_max", "std_dev_price", "price_volatility_ratio",
+)
+METRICS = T.StructType([T.StructField(c, _metric_type(c)) for c in METRIC_COLUMNS])
+SUMMARIES = T.StructType([T.StructField("timeframe", T.IntegerType())] + list(METRICS.fields))
+
 # Token score payload (one search result list per mint).
 SCORES = T.StructType(
     [

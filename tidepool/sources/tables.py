@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.schema import COUNTERS, HISTORY, PAIRS, TOKENS
+from tidepool.schema import COUNTERS, HISTORY, PAIRS, SUMMARIES, TOKENS
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -42,6 +42,12 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def _newest_version(df: DataFrame) -> DataFrame:
+    """Rows of the newest ``batch_id`` of a table written whole per batch.  The
+    scalar subquery runs once and prunes the other partitions at run time."""
+    return df.filter(F.col("batch_id") == df.agg(F.max("batch_id")).scalar())
+
+
 @dataclass(frozen=True)
 class Tables:
     root: str
@@ -74,10 +80,14 @@ class Tables:
     def counters(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """Latest counter state written before batch ``before``."""
         df = self._read(spark, "counters", COUNTERS, before)
-        # Each version is the full state; keep the newest version only.  The
-        # scalar subquery is evaluated once and prunes the other partitions.
-        newest = df.agg(F.max("batch_id")).scalar()
-        return df.filter(F.col("batch_id") == newest).select(*COUNTERS.fieldNames())
+        return _newest_version(df).select(*COUNTERS.fieldNames())
+
+    def summaries(self, spark: SparkSession) -> DataFrame:
+        """The newest all-timeframe summary written by the stream loader."""
+        df = _read_or_none(spark, self.path("summaries"))
+        if df is None:  # nothing eligible yet (fewer snapshots than any timeframe)
+            return spark.createDataFrame([], SUMMARIES)
+        return _newest_version(df).drop("batch_id")
 
     def snapshots(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         schema = T.StructType([T.StructField("created_at", T.TimestampNTZType()), T.StructField("rows", T.LongType())])

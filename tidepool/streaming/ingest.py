@@ -101,8 +101,10 @@ def ingest_stream(
     """Start the incremental loader (T1-T4): ``load_snapshot`` per micro-batch.
 
     With ``refresh_summaries`` the all-timeframe summary is recomputed after
-    each load and written to ``tables.path('summaries')`` (T4).  Old versions
-    of the counter state beyond ``keep_counter_versions`` are removed.
+    each load and written as a new version (``Tables.summaries`` reads the
+    newest), so readers never see a half-written table (T4).  Old versions of
+    the counter state and summaries beyond ``keep_counter_versions`` are
+    removed.
     """
     entries = dedupe_replays(read_entries(spark, source_dir, fmt, pages, max_files_per_trigger), delay)
 
@@ -116,7 +118,8 @@ def ingest_stream(
             out = summaries(
                 tables.history(s, before=upto), tables.pairs(s, before=upto), snapshots=tables.snapshots(s, before=upto)
             )
-            out.write.mode("overwrite").parquet(tables.path("summaries"))
+            tables.write(out, "summaries", batch_id)
+            tables.retain_versions(s, "summaries", keep=keep_counter_versions)
 
     writer = entries.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
