@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from oracle import common as C
-from oracle import dashboard as DB
-from oracle import ingest as IG
+from tidepool_oracle import common as C
+from tidepool_oracle import dashboard as DB
+from tidepool_oracle import ingest as IG
 
 DETAIL_CUSTOMER = "Customer#000000007"
 DETAIL_SUPPLIER = "Supplier#000000003"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle import common as C
+from tidepool_oracle import common as C
 
 DETAIL = "Customer#000000007"
 
