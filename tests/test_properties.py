@@ -13,6 +13,7 @@ from tidepool.plans import metrics as M
 from tidepool.schema import COUNTERS, HISTORY, PAIRS
 
 T0 = dt.datetime(2024, 3, 1)
+T0_FEED = dt.datetime(2024, 1, 1, 12, 0)  # minute 0 of ``helpers.raw_entries``
 
 # Per pair: a set of snapshot indexes it appears in, with price/liquidity/fees.
 pair_rows = st.lists(
@@ -75,3 +76,31 @@ def test_fee_sum_telescopes(spark, counters):
         f = np.float32
         want = sum(float(f(series[k]) - f(series[k - 1])) for k in range(1, len(series)))
         assert got[f"A{i}"] == pytest.approx(want, rel=1e-6, abs=1e-3)
+
+
+@SETTINGS
+@given(
+    counters=st.lists(st.lists(st.integers(0, 10**5), min_size=6, max_size=6), min_size=1, max_size=3),
+    present=st.lists(st.lists(st.booleans(), min_size=6, max_size=6), min_size=3, max_size=3),
+    cuts=st.sets(st.integers(1, 5), max_size=3),
+)
+def test_batches_equal_one_load(spark, counters, present, cuts):
+    """Loading snapshots in several batches, carrying the counter state, gives
+    the same fees as one batch (state survives gaps and batch boundaries)."""
+    rows = [
+        {"m": m, "address": f"A{i}", "counter": str(c)}
+        for i, series in enumerate(counters)
+        for m, c in enumerate(series)
+        if present[i][m] or m == 0
+    ]
+    staged = I.stage_snapshot(raw_entries(spark, rows))
+    empty = spark.createDataFrame([], COUNTERS)
+    whole = sorted((r["address"], r["created_at"], r["fees"]) for r in I.fee_deltas(staged, empty).collect())
+    bounds = [0, *sorted(cuts), 6]
+    state, parts = empty, []
+    for lo, hi in zip(bounds, bounds[1:]):
+        lo_t, hi_t = T0_FEED + dt.timedelta(minutes=lo), T0_FEED + dt.timedelta(minutes=hi)
+        part = staged.filter((staged.created_at >= lo_t) & (staged.created_at < hi_t))
+        parts += I.fee_deltas(part, state).collect()
+        state = spark.createDataFrame(I.counter_upsert(part, state).collect(), COUNTERS)
+    assert sorted((r["address"], r["created_at"], r["fees"]) for r in parts) == whole
