@@ -89,6 +89,7 @@ def test_loader_is_replay_safe_and_sums_match(spark, scratch):
     rows = [{"m": m, "address": a, "counter": str(c), "name": f"{a}-Q", "mint_x": a, "mint_y": "q"}
             for m, cs in enumerate([(10, 5), (15, 5), (40, 9)]) for a, c in zip(("A", "B"), cs)]
     rows.append({"m": 1, "address": "A", "counter": "n/a", "name": "A-Q", "mint_x": "A", "mint_y": "q"})
+    rows.append({"m": 0, "address": "C", "counter": "1", "name": "C", "mint_x": "C", "mint_y": None})
     raw = raw_entries(spark, rows)
     first = F.col("created_at") < F.lit("2024-01-01 12:02:00").cast("timestamp_ntz")
     load_snapshot(spark, raw.filter(first), t, 1)
@@ -99,8 +100,10 @@ def test_loader_is_replay_safe_and_sums_match(spark, scratch):
     h = t.history(spark).join(t.pairs(spark).select(F.col("id").alias("pair_id"), "pair_address"), "pair_id")
     sums = {r["pair_address"]: r["s"] for r in h.groupBy("pair_address").agg(F.sum("fees").alias("s")).collect()}
     assert sums == {"A": 30.0, "B": 4.0}  # last counter - first counter
-    assert t.tokens(spark).count() == 3 and t.pairs(spark).count() == 2
-    assert spark.read.parquet(t.path("rejected")).count() == 1
+    # C's x mint is stored (mints load on their own); C gets no pair.
+    assert t.tokens(spark).count() == 4 and t.pairs(spark).count() == 2
+    rejected = sorted((r["address"], r["reason"]) for r in spark.read.parquet(t.path("rejected")).collect())
+    assert rejected == [("A", "counter"), ("C", "mint")]
     from tidepool.operators.quality import constraint_report
 
     rep = constraint_report(t.tokens(spark), t.pairs(spark), t.history(spark), t.counters(spark))

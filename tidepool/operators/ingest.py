@@ -78,7 +78,8 @@ def stage_snapshot(raw: DataFrame) -> DataFrame:
     """Type, dedupe and split a raw snapshot feed.
 
     * the counter text is cast to 32-bit FLOAT; entries whose counter does not
-      parse are left out (``rejected_entries`` lists them);
+      parse, or that have no address, are left out (``rejected_entries``
+      lists them);
     * one entry per (snapshot, address): the smallest counter wins, ties broken
       by the remaining fields so the choice is deterministic;
     * ``name`` splits on the first dash into the x and y symbols.
@@ -101,14 +102,25 @@ def stage_snapshot(raw: DataFrame) -> DataFrame:
     )
     fields = [c for c in typed.columns if c not in ("created_at", "address")]
     best = F.min(F.struct(*fields)).alias("best")
-    dedup = typed.filter(F.col("counter").isNotNull()).groupBy("created_at", "address").agg(best)
+    dedup = (
+        typed.filter(F.col("counter").isNotNull() & F.col("address").isNotNull())
+        .groupBy("created_at", "address")
+        .agg(best)
+    )
     x, y = split_name(F.col("best.name"))
     return dedup.select("created_at", "address", *[F.col(f"best.{f}").alias(f) for f in fields], x.alias("x"), y.alias("y"))
 
 
 def rejected_entries(raw: DataFrame) -> DataFrame:
-    """Raw entries ``stage_snapshot`` leaves out: the counter text is not a number."""
-    return raw.filter(F.col("cumulative_fee_volume").try_cast("float").isNull())
+    """Raw entries that cannot be loaded, with the reason: no address, a
+    counter that is not a number (``stage_snapshot`` leaves both out), or a
+    missing mint (no pair can be created for it)."""
+    reason = (
+        F.when(F.col("address").isNull(), F.lit("address"))
+        .when(F.col("cumulative_fee_volume").try_cast("float").isNull(), F.lit("counter"))
+        .when(F.col("mint_x").isNull() | F.col("mint_y").isNull(), F.lit("mint"))
+    )
+    return raw.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
 def new_tokens(staged: DataFrame, tokens: DataFrame) -> DataFrame:

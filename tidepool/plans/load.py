@@ -74,7 +74,11 @@ def load_snapshot(
     # The snapshot axis of this batch, from the rows just written.
     written = spark.read.parquet(tables.path("history")).filter(F.col("batch_id") == batch_id)
     tables.write(written.groupBy("created_at").agg(F.count(F.lit(1)).alias("rows")), "snapshots", batch_id)
-    tables.write(counter_upsert(staged, counters_before), "counters", batch_id)
+    # The state covers stored pairs only (an entry without both mints gets no pair).
+    state = counter_upsert(staged, counters_before).join(
+        pairs_now.select(F.col("id").alias("pair_id")), "pair_id", "left_semi"
+    )
+    tables.write(state, "counters", batch_id)
 
     if not report:
         return None
