@@ -28,7 +28,7 @@ from tidepool.operators.ingest import (
     rejected_entries,
     stage_snapshot,
 )
-from tidepool.sources.tables import Tables
+from tidepool.sources.tables import Tables, _read_or_none
 
 
 def load_snapshot(
@@ -47,7 +47,7 @@ def load_snapshot(
     tables.write(raw, "raw", batch_id)
     raw = spark.read.parquet(tables.path("raw")).filter(F.col("batch_id") == batch_id).drop("batch_id")
     # Entries whose counter is not a number are kept aside, not lost.
-    tables.write(rejected_entries(raw), "rejected", batch_id)
+    tables.write_if_any(rejected_entries(raw), "rejected", batch_id)
     tables.write(stage_snapshot(raw), "staged", batch_id)
     staged = spark.read.parquet(tables.path("staged")).filter(F.col("batch_id") == batch_id).drop("batch_id")
 
@@ -70,7 +70,7 @@ def load_snapshot(
     # Sorted by pair inside each file: parquet min/max statistics on pair_id
     # then let a single-pair read skip most row groups.
     tables.write(hist.sortWithinPartitions("snapshot_date", "pair_id"), "history", batch_id, partition_by=("snapshot_date",))
-    tables.write(late_entries(staged, counters_before), "late", batch_id)
+    tables.write_if_any(late_entries(staged, counters_before), "late", batch_id)
     # The snapshot axis of this batch, from the rows just written.
     written = spark.read.parquet(tables.path("history")).filter(F.col("batch_id") == batch_id)
     tables.write(written.groupBy("created_at").agg(F.count(F.lit(1)).alias("rows")), "snapshots", batch_id)
@@ -84,6 +84,7 @@ def load_snapshot(
         return None
 
     def n(name: str) -> int:
-        return spark.read.parquet(tables.path(name)).filter(F.col("batch_id") == batch_id).count()
+        df = _read_or_none(spark, tables.path(name))
+        return 0 if df is None else df.filter(F.col("batch_id") == batch_id).count()
 
     return {name: n(name) for name in ("raw", "rejected", "staged", "tokens", "pairs", "history", "late", "snapshots", "counters")}

@@ -123,6 +123,16 @@ class Tables:
         return [b for b, _ in removed]
 
     # -- writer ----------------------------------------------------------
+    def write_if_any(self, df: DataFrame, name: str, batch_id: int) -> bool:
+        """Write a side table (``late``, ``rejected``) only when it has rows:
+        these are empty in almost every batch, and a write job per micro-batch
+        would cost more than the one-row probe.  The probe is deterministic
+        for a batch, so a replay writes the same partitions."""
+        if df.isEmpty():
+            return False
+        self.write(df, name, batch_id)
+        return True
+
     def write(self, df: DataFrame, name: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
         (
             df.withColumn("batch_id", F.lit(batch_id).cast("long"))
