@@ -28,7 +28,7 @@ from tidepool.operators.ingest import (
     rejected_entries,
     stage_snapshot,
 )
-from tidepool.sources.tables import Tables, _read_or_none
+from tidepool.sources.tables import Tables, read_or_none
 
 
 def load_snapshot(
@@ -84,7 +84,7 @@ def load_snapshot(
         return None
 
     def n(name: str) -> int:
-        df = _read_or_none(spark, tables.path(name))
+        df = read_or_none(spark, tables.path(name))
         return 0 if df is None else df.filter(F.col("batch_id") == batch_id).count()
 
     return {name: n(name) for name in ("raw", "rejected", "staged", "tokens", "pairs", "history", "late", "snapshots", "counters")}

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from tidepool.schema import COUNTERS, HISTORY, PAIRS, SUMMARIES, TOKENS
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """The parquet table at ``path``, or None before its first write."""
     try:
         return spark.read.parquet(path)
@@ -57,7 +57,7 @@ class Tables:
 
     # -- readers ---------------------------------------------------------
     def _read(self, spark: SparkSession, name: str, schema: T.StructType, before: int | None) -> DataFrame:
-        df = _read_or_none(spark, self.path(name))
+        df = read_or_none(spark, self.path(name))
         if df is None:
             return spark.createDataFrame([], T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())]))
         if before is not None:
@@ -84,7 +84,7 @@ class Tables:
 
     def summaries(self, spark: SparkSession) -> DataFrame:
         """The newest all-timeframe summary written by the stream loader."""
-        df = _read_or_none(spark, self.path("summaries"))
+        df = read_or_none(spark, self.path("summaries"))
         if df is None:  # nothing eligible yet (fewer snapshots than any timeframe)
             return spark.createDataFrame([], SUMMARIES)
         return _newest_version(df).drop("batch_id")
