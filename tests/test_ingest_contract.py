@@ -124,3 +124,26 @@ def test_late_snapshot_is_kept_apart(spark, scratch):
     assert [(r["cumulative_fee_volume"], r["updated_at"].minute) for r in state] == [(30.0, 5)]
     assert t.retain_versions(spark, "counters", keep=1) == [1, 2]
     assert [r["cumulative_fee_volume"] for r in t.counters(spark).collect()] == [30.0]
+
+
+def test_constraint_report_counts_violations(spark):
+    import datetime as dt
+
+    from tidepool.operators.quality import constraint_report
+    from tidepool.schema import HISTORY
+
+    t0 = dt.datetime(2024, 1, 1)
+    tokens = spark.createDataFrame([(1, "m1", "A"), (2, "m1", "B"), (3, None, "C")], "id bigint, mint string, symbol string")
+    pairs = spark.createDataFrame(
+        [(10, "P", "A-B", 1, 9, 10, 0.1, False, False), (10, "P", "A-B", 1, 2, 10, 0.1, False, False)], PAIRS
+    )
+    history = spark.createDataFrame([(t0, 10, 1.0, 1.0, 0.0), (t0, 10, 2.0, 1.0, 0.0), (t0, 11, 1.0, 1.0, 0.0)], HISTORY)
+    counters = spark.createDataFrame([(10, 1.0, t0), (12, 2.0, t0)], COUNTERS)
+    got = {(r["table_name"], r["rule"]): r["violations"] for r in constraint_report(tokens, pairs, history, counters).collect()}
+    assert got[("tokens", "null_mint")] == 1
+    assert got[("tokens", "duplicate_mint")] == 1
+    assert got[("pairs", "duplicate_pair_address")] == 1 and got[("pairs", "duplicate_id")] == 1
+    assert got[("pairs", "orphan_mint_y")] == 1 and got[("pairs", "orphan_mint_x")] == 0
+    assert got[("pair_history", "orphan_pair")] == 1
+    assert got[("pair_history", "duplicate_pair_snapshot")] == 1
+    assert got[("counters", "orphan_pair")] == 1

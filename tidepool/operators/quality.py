@@ -16,7 +16,12 @@ from pyspark.sql import functions as F
 
 
 def _extra_rows(*keys: str) -> Column:
-    return F.count(F.lit(1)) - F.count_distinct(*[F.col(k) for k in keys])
+    """Rows beyond the first per key; rows with a NULL key are not counted
+    here (the null rules count them)."""
+    complete = F.lit(True)
+    for k in keys:
+        complete = complete & F.col(k).isNotNull()
+    return F.count(F.when(complete, F.lit(1))) - F.count_distinct(*[F.col(k) for k in keys])
 
 
 def _nulls(cond: Column) -> Column:
