@@ -11,6 +11,8 @@ Public entry points (all take and return DataFrames):
              ``token_scores``, ``pair_header``, ``chart_series``,
              ``price_axis``, ``freshness``
 * streaming: ``stage_stream``, ``ingest_stream``
+* sources:   ``read_pages``, ``read_entries``, ``Tables``; views:
+             ``register_views``, ``pair_row``; schemas ``METRICS``, ``SUMMARIES``
 """
 
 from tidepool.operators.filters import apply_filter_model, opportunities
@@ -29,10 +31,15 @@ from tidepool.operators.tokens import base_tokens, token_scores
 from tidepool.plans.dashboard import freshness, pair_header
 from tidepool.plans.load import load_snapshot
 from tidepool.plans.metrics import metrics_view, pair_details, summaries, summary
+from tidepool.plans.views import pair_row, register_views
+from tidepool.schema import METRICS, SUMMARIES
+from tidepool.sources.snapshots import read_entries, read_pages
 from tidepool.sources.tables import Tables
 from tidepool.streaming.ingest import ingest_stream, stage_stream
 
 __all__ = [
+    "METRICS",
+    "SUMMARIES",
     "Tables",
     "activity_cutoff",
     "apply_filter_model",
@@ -52,7 +59,11 @@ __all__ = [
     "opportunities",
     "pair_details",
     "pair_header",
+    "pair_row",
     "price_axis",
+    "read_entries",
+    "read_pages",
+    "register_views",
     "stage_snapshot",
     "stage_stream",
     "summaries",
