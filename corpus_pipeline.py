@@ -32,8 +32,7 @@ ORACLE_SQL = None
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    out = quality.flagged(docs, quality.trusted_ids(table(spark, sf_dir, "labels")))
-    return out.filter("kept").select("row.*")
+    return quality.accepted(docs, quality.trusted_ids(table(spark, sf_dir, "labels")))
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,11 +30,11 @@ WITH RECURSIVE w AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
     ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-common AS (
+common AS MATERIALIZED (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
-), link AS (
+), link AS MATERIALIZED (
   SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
-), both_ AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+), both_ AS MATERIALIZED (SELECT a, b FROM link UNION SELECT b, a FROM link),
 reach AS (
   SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN both_ l ON l.a = r.b
 ), root AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)

@@ -122,3 +122,11 @@ def flagged(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_co
     out = out.withColumn("score", F.when(F.size(w) > 0, total / grams).otherwise(F.lit(0.0))).drop("words")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= F.lit(threshold)))
+
+
+def accepted(docs: DataFrame, trusted: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` that are kept, unchanged."""
+    # The verdict passes through a generator: a filter on it is then not pushed
+    # into the projections below, which would repeat their expressions.
+    rows = flagged(docs, trusted, **settings).select("row", F.explode_outer(F.array("kept")).alias("stays"))
+    return rows.filter("stays").select("row.*")

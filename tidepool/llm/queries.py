@@ -56,10 +56,14 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def _of_kind(kind: int):
+    return lambda x: x["kind"] == kind
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"), scratch(spark, "ledger"))
     base = F.filter("findings", lambda x: x["kind"] < len(secret_scan.BASE))
-    counts = [F.size(F.filter("findings", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(secret_scan.BASE)]
+    counts = [F.size(F.filter("findings", _of_kind(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(secret_scan.BASE)]
     return found.select("doc_id", *counts, F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"), secret_scan.span_text(F.col("findings")).alias("spans"))
 
 
