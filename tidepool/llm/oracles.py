@@ -43,6 +43,23 @@ FROM w JOIN root USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
 
+_OP2 = rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents
+), g AS MATERIALIZED (
+  SELECT doc_id, unnest(range(1, greatest(len(w) - 11, 1))) AS i, unnest(list_transform(range(1, greatest(len(w) - 11, 1)), lambda i: array_to_string(w[i:i + 12], ' '))) AS g FROM w
+), first AS MATERIALIZED (SELECT g, min(doc_id) AS d FROM g GROUP BY g),
+gone AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM g JOIN first USING (g) WHERE d < doc_id
+), kept AS (
+  SELECT p.doc_id, count(gone.i) AS n_removed, string_agg(CASE WHEN gone.i IS NULL THEN p.x END, ' ' ORDER BY p.i) AS t
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM w) p LEFT JOIN gone ON gone.doc_id = p.doc_id AND gone.i = p.i GROUP BY p.doc_id
+)
+SELECT w.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
 def _spans(kind: int, pattern: str, least: str) -> str:
     """Starts and ends of one rule's matches: the gaps and matches before them."""
     return rf"""
@@ -71,4 +88,4 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN s USING (doc_id)
 """
 
-ORACLE = {"op6_chat": _OP6, "op7_near_duplicates": _OP7, "op8_secret_scan": _OP8}
+ORACLE = {"op2_substring": _OP2, "op6_chat": _OP6, "op7_near_duplicates": _OP7, "op8_secret_scan": _OP8}

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import bpe, chat, mixing, near_dup, quality, secret_scan, token_counts
+from tidepool.llm import ann, bpe, chat, mixing, near_dup, quality, secret_scan, substring, token_counts, token_output
 from tidepool.llm.common import scratch, ship, table
 from tidepool.llm.oracles import ORACLE  # noqa: F401
 
@@ -21,6 +21,22 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = scratch(spark, "token-shards")
+    return token_output.materialised(table(spark, sf_dir, "documents"), folder, tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.without_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encoded(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -88,5 +104,5 @@ def _shipped(query: Callable) -> Callable:
 
 QUERIES = {
     q.__name__: _shipped(q)
-    for q in (op4_bpe, op5_token_counts, op6_chat, op7_near_duplicates, op8_secret_scan, op9_mixing, op10_quality)
+    for q in (op1_token_output, op2_substring, op3_nearest, op4_bpe, op5_token_counts, op6_chat, op7_near_duplicates, op8_secret_scan, op9_mixing, op10_quality)
 }
