@@ -30,7 +30,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a cut of the lineage
     that survives lost executors."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -12,7 +12,7 @@
 4. Within a bucket, members are compared with a few pivots, never all with
    all.  Pairs already in one component are not compared; a bucket is done
    when its members that have not been pivots share one component, else it
-   goes on with more pivots (1, 4, 16, ...).  So every candidate pair is either
+   goes on with more pivots (1, 16, 256).  So every candidate pair is either
    compared or already joined, and the components are those of all links.
    Buckets are cut in parts of about ``PART`` members, each with a copy of the
    pivots, and compared in the tasks, so a bucket of any size is spread out.
@@ -45,7 +45,7 @@ REGISTERS = BANDS * ROWS
 MANTISSA_BITS = 10
 EMPTY = 0xFFFF
 #: Members of a bucket that one task compares, and most pivots a bucket in one step.
-PART, PIVOTS = 2000, 256
+PART, PIVOTS = 500, 256
 #: First hash of each bucket.
 EDGES = np.array([-(-(i << 64) // REGISTERS) for i in range(REGISTERS)], np.uint64)
 #: For each register, in which order it looks for a filled one (itself first).
@@ -175,7 +175,11 @@ def _likely(members: DataFrame, pivots: DataFrame, reps: DataFrame, percent: int
             other = np.flatnonzero(fits)
             if len(other):
                 j, used = estimate(regs[p], n[p], regs[other], n[other])
-                other = other[j >= share - 5 * np.sqrt(share * (1 - share) / used)]
+                # At the threshold the union would hold this many shingles; registers
+                # are a sample of them without replacement (hypergeometric).
+                union = np.maximum((n[other] + n[p]) / (1 + share), 2)
+                spread = np.sqrt(share * (1 - share) / used * np.maximum(union - used, 0) / (union - 1))
+                other = other[(j >= share - 5 * spread - 0.005) & (used <= union + 1)]
                 yield from zip(np.minimum(ids[other], ids[p]), np.maximum(ids[other], ids[p]))
 
     def run(batches):
@@ -252,7 +256,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             open_ = rooted.join(spans, "bucket", "left_semi")
             ranked = open_.join(open_.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")), ["bucket", "root"])
             order = F.row_number().over(Window.partitionBy("bucket").orderBy("n", "root", "id"))
-            pivots = ranked.withColumn("place", order).filter(F.col("place") <= min(4**step, PIVOTS)).select("bucket", F.col("id").alias("pivot"), F.col("root").alias("pivot_root"))
+            pivots = ranked.withColumn("place", order).filter(F.col("place") <= min(16**step, PIVOTS)).select("bucket", F.col("id").alias("pivot"), F.col("root").alias("pivot_root"))
         pivots = stored(pivots, f"{base}/pivots-{step}")
         if pivots.isEmpty():
             break
