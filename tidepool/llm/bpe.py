@@ -40,7 +40,7 @@ LEAF = 1024
 #: Bytes of a text that are encoded in one task at most.
 SEGMENT = 1 << 18
 #: Stretches in each of the two generations of a Python worker's cache at most.
-CACHED = 200_000
+CACHED = 80_000
 
 
 class Bpe:
@@ -54,7 +54,6 @@ class Bpe:
             model = json.load(f)
         self.special = [t["content"] for t in model["added_tokens"]]
         model = model["model"]
-        self.vocab = model["vocab"]
         self.suffix = model["end_of_word_suffix"] or ""
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.rank = {p: i for i, p in enumerate(pairs)}

@@ -167,20 +167,28 @@ def _likely(members: DataFrame, pivots: DataFrame, reps: DataFrame, percent: int
     share = percent / 100
 
     def pairs(rows):
-        """Of the rows of one part of one bucket."""
-        key, ids, root, is_pivot, n, regs = rows
+        """Of the rows of one part of one bucket.  A pair that meets in several
+        buckets of a pivot goes out in the first of them only."""
+        bucket, part, ids, root, is_pivot, n, buckets, regs = rows
+        keys: dict[int, set] = {}
         for p in np.flatnonzero(is_pivot):
-            fits = (root != root[p]) & (ids != ids[p]) & ~(is_pivot & (ids < ids[p]))
+            fits = (root != root[p]) & (ids != ids[p])
+            if part:  # pivots stand in every part
+                fits &= ~is_pivot
             fits &= 100 * np.minimum(n, n[p]) >= percent * np.maximum(n, n[p])
             other = np.flatnonzero(fits)
-            if len(other):
-                j, used = estimate(regs[p], n[p], regs[other], n[other])
-                # At the threshold the union would hold this many shingles; registers
-                # are a sample of them without replacement (hypergeometric).
-                union = np.maximum((n[other] + n[p]) / (1 + share), 2)
-                spread = np.sqrt(share * (1 - share) / used * np.maximum(union - used, 0) / (union - 1))
-                other = other[(j >= share - 5 * spread - 0.005) & (used <= union + 1)]
-                yield from zip(np.minimum(ids[other], ids[p]), np.maximum(ids[other], ids[p]))
+            if not len(other):
+                continue
+            j, used = estimate(regs[p], n[p], regs[other], n[other])
+            # At the threshold the union would hold this many shingles; registers
+            # are a sample of them without replacement (hypergeometric).
+            union = np.maximum((n[other] + n[p]) / (1 + share), 2)
+            spread = np.sqrt(share * (1 - share) / used * np.maximum(union - used, 0) / (union - 1))
+            for o in other[(j >= share - 5 * spread - 0.005) & (used <= union + 1)].tolist():
+                if o not in keys:
+                    keys[o] = set(band_keys(regs[o]).view(np.int64).tolist())
+                if bucket == min((x for x in buckets[p] if x in keys[o]), default=bucket):
+                    yield min(ids[o], ids[p]), max(ids[o], ids[p])
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -189,11 +197,12 @@ def _likely(members: DataFrame, pivots: DataFrame, reps: DataFrame, percent: int
             keys = t["bucket"].to_numpy()
             part = t["part"].to_numpy()
             cut = np.flatnonzero((keys[1:] != keys[:-1]) | (part[1:] != part[:-1])) + 1
-            cols = [keys, t["id"].to_numpy(), t["root"].to_numpy(), t["is_pivot"].to_numpy(), t["n_shingles"].to_numpy().astype(np.float64)]
+            cols = [t["id"].to_numpy(), t["root"].to_numpy(), t["is_pivot"].to_numpy(), t["n_shingles"].to_numpy().astype(np.float64)]
             regs = np.frombuffer(b"".join(t["registers"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
+            buckets = t["buckets"].to_pylist()
             found = set()
             for a, b in zip([0, *cut], [*cut, len(keys)]):
-                found.update(pairs((*(c[a:b] for c in cols), regs[a:b])))
+                found.update(pairs((int(keys[a]), int(part[a]), *(c[a:b] for c in cols), buckets[a:b], regs[a:b])))
             pair = np.array(sorted(found), np.int64).reshape(-1, 2)
             return pa.record_batch([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
 
@@ -212,14 +221,17 @@ def _likely(members: DataFrame, pivots: DataFrame, reps: DataFrame, percent: int
 
     # Pivots stand in every part of their bucket, the other members in one.
     parts = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
-    pivots = pivots.join(parts, "bucket").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    pivots = pivots.select("bucket", "part", F.col("pivot").alias("id"), F.col("pivot_root").alias("root"), F.lit(True).alias("is_pivot"))
-    others = members.join(pivots.select("bucket", "id").distinct(), ["bucket", "id"], "left_anti").join(parts, "bucket")
+    own = pivots.groupBy("pivot").agg(F.collect_set("bucket").alias("buckets"))
+    chosen = pivots.join(parts, "bucket").join(own, "pivot").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    chosen = chosen.select("bucket", "part", F.col("pivot").alias("id"), F.col("pivot_root").alias("root"), F.lit(True).alias("is_pivot"), "buckets")
+    others = members.join(pivots.select("bucket", F.col("pivot").alias("id")), ["bucket", "id"], "left_anti").join(parts, "bucket")
     others = others.join(pivots.select("bucket").distinct(), "bucket", "left_semi")
-    others = others.select("bucket", F.expr("int(pmod(xxhash64(id), parts))").alias("part"), "id", "root", F.lit(False).alias("is_pivot"))
-    rows = pivots.unionByName(others).join(reps, "id")
+    part = F.expr("int(pmod(xxhash64(id), parts))").alias("part")
+    others = others.select("bucket", part, "id", "root", F.lit(False).alias("is_pivot"), F.lit(None).cast("array<long>").alias("buckets"))
+    rows = chosen.unionByName(others).join(reps, "id")
     rows = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
-    return rows.select("bucket", "part", "id", "root", "is_pivot", "n_shingles", "registers").mapInArrow(run, "a long, b long").distinct()
+    rows = rows.select("bucket", "part", "id", "root", "is_pivot", "n_shingles", "buckets", "registers")
+    return rows.mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 85) -> DataFrame:

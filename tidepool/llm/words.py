@@ -42,7 +42,7 @@ def powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-_BLOCK = 1 << 21
+_BLOCK = 1 << 18
 _UP, _DOWN = powers(_BASE, _BLOCK), powers(pow(_BASE, -1, 1 << 64), _BLOCK)
 
 
@@ -65,7 +65,7 @@ def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return out
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20):
     """Parts of a batch whose texts hold about ``limit`` bytes at most (one
     text at least), so that array work on a part stays small."""
     texts = batch.column(batch.schema.get_field_index(column))
