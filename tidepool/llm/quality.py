@@ -29,12 +29,12 @@ from tidepool.llm.common import WORD, text_of
 
 BUCKETS = 1 << 16
 #: Lowest mean log-likelihood ratio of a document that stays.
-THRESHOLD = -0.09
+THRESHOLD = -0.07
 #: Trusted documents that the target is fitted on at most.
 MAX_TRUSTED = 20_000
 #: Added to every bucket's count in the target, and to what the raw counts
 #: expect there: a bucket that few grams fall in says little either way.
-SMOOTHING = 4.0
+SMOOTHING = 40.0
 
 
 def word_list(text: Column) -> Column:
@@ -121,12 +121,13 @@ def flagged(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_co
     grams = 2 * F.size(w) - 1
     out = out.withColumn("score", F.when(F.size(w) > 0, total / grams).otherwise(F.lit(0.0))).drop("words")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= F.lit(threshold)))
+    out = out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= F.lit(threshold)))
+    # The results pass through a generator: a filter on them is then not pushed
+    # into the projections above, which would repeat their expressions.
+    judged = [c for c in out.columns if c != "row"]
+    return out.select("row", F.explode_outer(F.array(F.struct(*judged))).alias("v")).select("row", "v.*")
 
 
 def accepted(docs: DataFrame, trusted: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged."""
-    # The verdict passes through a generator: a filter on it is then not pushed
-    # into the projections below, which would repeat their expressions.
-    rows = flagged(docs, trusted, **settings).select("row", F.explode_outer(F.array("kept")).alias("stays"))
-    return rows.filter("stays").select("row.*")
+    return flagged(docs, trusted, **settings).filter("kept").select("row.*")

@@ -110,7 +110,7 @@ class Automaton:
             q = nxt[v].get(w)
             if q is not None:
                 v, size = q, size + 1
-            while ln[link[v]] >= span:  # the state of the last ``span`` words
+            while v and ln[link[v]] >= span:  # the state of the last ``span`` words
                 v = link[v]
                 size = ln[v]
             if i >= span - 1:
