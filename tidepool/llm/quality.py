@@ -60,7 +60,7 @@ def log_ratios(texts: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     both = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
     rows = both.select("bucket", F.coalesce("t", F.lit(0)).alias("t"), F.coalesce("r", F.lit(0)).alias("r"))
-    one = rows.agg(F.sort_array(F.collect_list(F.struct("bucket", "t", "r"))).alias("c"), (F.sum("t") / F.sum("r")).alias("scale"))
+    one = rows.agg(F.sort_array(F.collect_list(F.struct("bucket", "t", "r"))).alias("c"), F.try_divide(F.sum("t"), F.sum("r")).alias("scale"))
     scale = F.coalesce("scale", F.lit(0.0))
     return one.select(F.transform("c", lambda c: F.log((c["t"] + SMOOTHING) / (c["r"] * scale + SMOOTHING))).alias("weights"))
 
