@@ -142,19 +142,6 @@ def test_detail_timeframe_is_global(spark):
     assert M.pair_details(h, p, "nope", 3).count() == 0
 
 
-def test_distributed_snapshot_path_equals_local(spark, monkeypatch):
-    # Above the local bound the snapshot set stays distributed (scalar subquery).
-    from tidepool.sources import testdata as td
-
-    d = "/root/testdata/sf0.001"
-    h, p = td.events_history(spark, d), td.customer_pairs(spark, d)
-    local = sorted(M.summary(h, p, 15).collect())
-    view_local = M.metrics_view(h, p, 15).count()
-    monkeypatch.setattr(M, "MAX_LOCAL_SNAPSHOTS", 0)
-    assert sorted(M.summary(h, p, 15).collect()) == local
-    assert M.metrics_view(h, p, 15).count() == view_local
-
-
 def test_output_schema_is_the_contract(spark):
     from tidepool.schema import METRICS, SUMMARIES
     from tidepool.sources import testdata as td

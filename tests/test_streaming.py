@@ -18,7 +18,7 @@ def test_stream_equals_batch(spark, scratch):
         1
     ).write.mode("append").parquet(src)
     t = Tables(scratch + "/tables")
-    q = ingest_stream(spark, src, t, scratch + "/ckpt", delay="1 hour", max_files_per_trigger=1, refresh_summaries=True)
+    q = ingest_stream(spark, src, t, scratch + "/ckpt", max_files_per_trigger=1, refresh_summaries=True)
     q.awaitTermination()
     h = t.history(spark).join(t.pairs(spark).select(F.col("id").alias("pair_id"), "pair_address"), "pair_id")
     got = sorted((r["pair_address"], r["created_at"].minute, r["fees"]) for r in h.collect())
@@ -48,9 +48,25 @@ def test_staging_stream_reads_json_pages(spark, scratch):
     for i, doc in enumerate(docs + docs[:1]):  # the first page is delivered twice
         with open(f"{src}/p{i}.json", "w") as fh:
             fh.write(json.dumps(doc) + "\n")
-    q = stage_stream(spark, src, scratch + "/staged", scratch + "/ckpt", delay="1 hour", fmt="json", pages=True,
+    q = stage_stream(spark, src, scratch + "/staged", scratch + "/ckpt", fmt="json", pages=True,
                      max_files_per_trigger=1)
     q.awaitTermination()
     staged = spark.read.parquet(scratch + "/staged")
     assert staged.count() == 3
     assert stage_snapshot(staged).count() == 3
+
+
+def test_late_row_and_new_checkpoint_lose_nothing(spark, scratch):
+    """Minutes 0, 40, 41, then 5: the late one is kept aside, and a second
+    checkpoint over the same tables takes new batch ids."""
+    src, t = scratch + "/feed", Tables(scratch + "/tables")
+    for m in (0, 40, 41, 5):
+        rows = [{"m": m, "address": "A", "counter": str(10 + m), "name": "A-Q", "mint_x": "A", "mint_y": "q"}]
+        raw_entries(spark, rows).coalesce(1).write.mode("append").parquet(src)
+    ingest_stream(spark, src, t, scratch + "/ckpt", max_files_per_trigger=1).awaitTermination()
+    minutes = sorted(r["created_at"].minute for r in t.history(spark).collect())
+    late = [r["created_at"].minute for r in spark.read.parquet(t.path("late")).collect()]
+    assert sorted(minutes + late) == [0, 5, 40, 41]
+    ingest_stream(spark, src, t, scratch + "/ckpt2", max_files_per_trigger=4).awaitTermination()
+    assert sorted(r["created_at"].minute for r in t.history(spark).collect()) == minutes
+    assert spark.read.parquet(t.path("raw")).count() == 8

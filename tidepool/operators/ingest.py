@@ -14,7 +14,7 @@ dedupe, so a partition holds at most one row per snapshot of the batch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -77,16 +77,15 @@ def activity_cutoff(raw: DataFrame, pages_per_batch: int = PAGES_PER_BATCH) -> D
 def stage_snapshot(raw: DataFrame) -> DataFrame:
     """Type, dedupe and split a raw snapshot feed.
 
-    * the counter text is cast to 32-bit FLOAT; entries whose counter does not
-      parse, or that have no address, are left out (``rejected_entries``
-      lists them);
+    * the counter text is cast to 32-bit FLOAT; entries that break a NOT NULL
+      rule are left out (``rejected_entries`` lists them with the reason);
     * one entry per (snapshot, address): the smallest counter wins, ties broken
       by the remaining fields so the choice is deterministic;
     * ``name`` splits on the first dash into the x and y symbols.
     """
     counter = F.col("cumulative_fee_volume").try_cast("float")
     fee_pct = F.col("base_fee_percentage").cast("string").try_cast("float")
-    typed = raw.select(
+    typed = raw.filter(_reason(raw, mints=False).isNull()).select(
         "created_at",
         "address",
         counter.alias("counter"),
@@ -103,23 +102,37 @@ def stage_snapshot(raw: DataFrame) -> DataFrame:
     fields = [c for c in typed.columns if c not in ("created_at", "address")]
     best = F.min(F.struct(*fields)).alias("best")
     dedup = (
-        typed.filter(F.col("counter").isNotNull() & F.col("address").isNotNull())
-        .groupBy("created_at", "address")
-        .agg(best)
+        typed.groupBy("created_at", "address").agg(best)
     )
     x, y = split_name(F.col("best.name"))
     return dedup.select("created_at", "address", *[F.col(f"best.{f}").alias(f) for f in fields], x.alias("x"), y.alias("y"))
 
 
-def rejected_entries(raw: DataFrame) -> DataFrame:
-    """Raw entries that cannot be loaded, with the reason: no address, a
-    counter that is not a number (``stage_snapshot`` leaves both out), or a
-    missing mint (no pair can be created for it)."""
-    reason = (
-        F.when(F.col("address").isNull(), F.lit("address"))
-        .when(F.col("cumulative_fee_volume").try_cast("float").isNull(), F.lit("counter"))
-        .when(F.col("mint_x").isNull() | F.col("mint_y").isNull(), F.lit("mint"))
-    )
+def _reason(raw: DataFrame, mints: bool = True) -> Column:
+    """Why a raw entry cannot be loaded, or NULL: the one definition that
+    ``stage_snapshot`` and ``rejected_entries`` share.  Every NOT NULL rule of the
+    stored tables is in it.  An entry without one of its mints gets no pair, but
+    its other mint is a token, so staging keeps it (``mints=False``)."""
+    corrupt = F.when(F.col("_corrupt_record").isNotNull(), F.lit("json")) if "_corrupt_record" in raw.columns else F.lit(None).cast("string")
+    missing = {
+        "created_at": F.col("created_at").isNull(),
+        "address": F.col("address").isNull(),
+        "counter": F.col("cumulative_fee_volume").try_cast("float").isNull(),
+        "mint": F.col("mint_x").isNull() | F.col("mint_y").isNull(),
+        "name": F.col("name").isNull(),
+        "bin_step": F.col("bin_step").isNull(),
+        "base_fee_percentage": F.col("base_fee_percentage").cast("string").try_cast("float").isNull(),
+        "current_price": F.col("current_price").isNull(),
+        "liquidity": F.col("liquidity").isNull(),
+    }
+    return F.coalesce(corrupt, *[F.when(c, F.lit(n)) for n, c in missing.items() if mints or n != "mint"])
+
+
+def rejected_entries(raw: DataFrame, cutoff: bool = False) -> DataFrame:
+    """Raw entries that cannot be loaded, with the reason; ``stage_snapshot``
+    leaves them out.  With ``cutoff`` also those without a page number, which the
+    activity cut-off cannot place."""
+    reason = F.coalesce(_reason(raw), F.when(F.col("page").isNull(), F.lit("page"))) if cutoff else _reason(raw)
     return raw.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 

@@ -1,6 +1,6 @@
 """Snapshot load (Q11): stage -> tokens -> pairs -> history -> counters.
 
-The batch's feed is written first (``raw``, after the activity cut-off) and
+The batch's feed is written first (``raw``, before the activity cut-off) and
 everything else is computed from that copy.  The order is the reference's:
 dimensions before the fact (the fact needs the
 pair ids), the fact before the state (the fact reads the *old* counter).
@@ -40,16 +40,16 @@ def load_snapshot(
     With ``report`` it returns the row counts written per table (one extra
     read of each batch partition).
     """
-    if cutoff:
-        raw = activity_cutoff(raw)
-    # The feed of this batch is written once (an archive, and the point the
+    tables.check_replay(spark, batch_id)
+    # The uncut feed of this batch is written once (an archive, and the point the
     # rest of the load recomputes from); everything below reads the copy.
     tables.write(raw, "raw", batch_id)
-    raw = spark.read.parquet(tables.path("raw")).filter(F.col("batch_id") == batch_id).drop("batch_id")
-    # Entries whose counter is not a number are kept aside, not lost.
-    tables.write_if_any(rejected_entries(raw), "rejected", batch_id)
-    tables.write(stage_snapshot(raw), "staged", batch_id)
-    staged = spark.read.parquet(tables.path("staged")).filter(F.col("batch_id") == batch_id).drop("batch_id")
+    raw = tables.batch(spark, "raw", raw.schema, batch_id)
+    # Entries that cannot be loaded are kept aside with the reason, not lost.
+    tables.write_if_any(rejected_entries(raw, cutoff), "rejected", batch_id)
+    staging = stage_snapshot(activity_cutoff(raw) if cutoff else raw)
+    tables.write(staging, "staged", batch_id)
+    staged = tables.batch(spark, "staged", staging.schema, batch_id)
 
     tokens_before = tables.tokens(spark, before=batch_id)
     tables.write(new_tokens(staged, tokens_before), "tokens", batch_id)
@@ -70,9 +70,12 @@ def load_snapshot(
     # Sorted by pair inside each file: parquet min/max statistics on pair_id
     # then let a single-pair read skip most row groups.
     tables.write(hist.sortWithinPartitions("snapshot_date", "pair_id"), "history", batch_id, partition_by=("snapshot_date",))
-    tables.write_if_any(late_entries(staged, counters_before), "late", batch_id)
+    # Late rows that the history holds already are replays; the others are kept.
+    stored = tables.history(spark, before=batch_id).join(pairs_now.select(F.col("id").alias("pair_id"), F.col("pair_address").alias("address")), "pair_id")
+    late = late_entries(staged, counters_before).join(stored.select("address", "created_at"), ["address", "created_at"], "left_anti")
+    tables.write_if_any(late, "late", batch_id)
     # The snapshot axis of this batch, from the rows just written.
-    written = spark.read.parquet(tables.path("history")).filter(F.col("batch_id") == batch_id)
+    written = tables.batch(spark, "history", hist.schema, batch_id)
     tables.write(written.groupBy("created_at").agg(F.count(F.lit(1)).alias("rows")), "snapshots", batch_id)
     # The state covers stored pairs only (an entry without both mints gets no pair).
     state = counter_upsert(staged, counters_before).join(

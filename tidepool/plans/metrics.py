@@ -38,26 +38,15 @@ from tidepool.schema import PRESENCE_SHARE, TIMEFRAMES
 PAIR_COLUMNS = ("name", "pair_address", "bin_step", "base_fee_percentage")
 
 
-# The snapshot set is resolved once, as a bounded action, when it holds at
-# most this many rows (24 bytes each; every listed timeframe is <= 1440).
-MAX_LOCAL_SNAPSHOTS = 100_000
-
-
 def _snapshot_set(axis: DataFrame, n: int) -> tuple[DataFrame, Column | None, Column | None]:
     """The latest ``n`` snapshots, plus range filters for the fact scan.
 
-    Up to ``MAX_LOCAL_SNAPSHOTS`` the set (at most ``n`` rows, a proven
-    bound) is fetched once and re-enters the plan as a small local relation;
-    its oldest timestamp becomes a literal ``created_at >=`` filter that
-    parquet pushes down and that prunes ``snapshot_date`` folders at planning
-    time.  Above the bound everything stays distributed: the filter is a
-    scalar subquery (pruned at run time) and the join side is sized by the
-    planner.
+    The set, ``n`` rows at most, is fetched once and re-enters the plan as a small
+    local relation; its oldest timestamp becomes a literal ``created_at >=`` filter
+    that parquet pushes down and that prunes ``snapshot_date`` folders at planning
+    time.
     """
     snaps = latest_snapshots(axis, n)
-    if n > MAX_LOCAL_SNAPSHOTS:
-        lo = snaps.agg(F.min("created_at")).scalar()
-        return snaps, lo, F.to_date(lo)
     rows = snaps.collect()
     local = axis.sparkSession.createDataFrame(rows, snaps.schema)
     if not rows:
@@ -292,11 +281,11 @@ def pair_details(
     the same rows while computing windows for a single pair.
     """
     one = pairs.filter(F.col("pair_address") == F.lit(pair_address))
-    # The address is unique, so the lookup returns at most one id (bounded);
-    # as a literal, the id filter reaches the parquet reader and skips row
+    # The address is unique, so the lookup returns one id (a table that breaks
+    # the rule: all of them); as a literal, the id filter reaches the parquet reader and skips row
     # groups of other pairs (the loader sorts files by pair_id).
     # The time axis still comes from the whole history.
-    ids = [r["id"] for r in one.select("id").limit(2).collect()]
+    ids = [r["id"] for r in one.select("id").distinct().collect()]
     own = history.filter(F.col("pair_id").isin(ids) if ids else F.lit(False))
     rows = _window_rows(own, one, n, _axis(history, snapshots))
     df = series_second_level(running_metrics(rows)).withColumnRenamed("created_at", "dttm")

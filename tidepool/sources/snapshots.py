@@ -20,13 +20,7 @@ def read_entries(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return spark.read.schema(RAW_SNAPSHOT).format(fmt).load(path)
 
 
-def to_pandas_bounded(df: DataFrame, max_rows: int = 100_000):
-    """Fetch a result to pandas only when it is known to be small.
-
-    Counts first and refuses above ``max_rows``; large results should be
-    written with ``df.write.parquet`` instead.
-    """
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"result has {n} rows, above the {max_rows}-row export bound; write it instead")
-    return df.toPandas()
+def export(df: DataFrame, path: str, fmt: str = "csv") -> None:
+    """Write a result of any size as files."""
+    writer = df.write.mode("overwrite")
+    (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(path)

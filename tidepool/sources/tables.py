@@ -2,8 +2,9 @@
 
 Layout (parquet):
 
-* ``raw/batch_id=N``       the batch's feed entries (after the activity cut-off)
-* ``rejected/batch_id=N``  feed entries whose counter text does not parse
+* ``raw/batch_id=N``       the batch's feed entries (before the activity cut-off)
+* ``rejected/batch_id=N``  feed entries that cannot be loaded, with the reason
+* ``epochs/batch_id=N``    which stream and epoch loaded batch N
 * ``staged/batch_id=N``    raw entries of batch N after staging
 * ``tokens/batch_id=N``    tokens first seen in batch N
 * ``pairs/batch_id=N``     pairs first seen in batch N
@@ -55,6 +56,39 @@ class Tables:
     def path(self, name: str) -> str:
         return os.path.join(self.root, name)
 
+    # -- batches ---------------------------------------------------------
+    def batch(self, spark: SparkSession, name: str, schema: T.StructType, batch_id: int) -> DataFrame:
+        """What batch ``batch_id`` wrote to a table, under its declared schema: a
+        batch without rows reads as none."""
+        full = T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])
+        return spark.read.schema(full).parquet(self.path(name)).filter(F.col("batch_id") == batch_id).drop("batch_id")
+
+    def check_replay(self, spark: SparkSession, batch_id: int) -> None:
+        """Refuse a batch whose earlier counter state is gone (``retain_versions``
+        removed it): its fees would come out as first sights."""
+        versions = read_or_none(spark, self.path("counters"))
+        loaded = read_or_none(spark, self.path("snapshots"))
+        if versions is None or loaded is None:
+            return
+        last = loaded.filter(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
+        if last is not None and versions.filter((F.col("batch_id") < batch_id) & (F.col("batch_id") >= last)).isEmpty():
+            raise ValueError(f"batch {batch_id} cannot be loaded again: the counter state before it has been removed")
+
+    def batch_of(self, spark: SparkSession, owner: str, epoch: int) -> int:
+        """The batch id of a stream's epoch: the stored one if the epoch has been
+        seen, else the next free one, stored before the load begins.  So a new
+        checkpoint, a second stream or a batch load never reuses an id."""
+        seen = read_or_none(spark, self.path("epochs"))
+        if seen is not None:
+            known = seen.filter((F.col("owner") == owner) & (F.col("epoch") == epoch)).agg(F.max("batch_id")).first()[0]
+            if known is not None:
+                return int(known)
+        tops = [t.agg(F.max("batch_id")).first()[0] for t in (seen, read_or_none(spark, self.path("raw")), read_or_none(spark, self.path("counters"))) if t is not None]
+        batch_id = max([int(x) for x in tops if x is not None], default=0) + 1
+        row = spark.range(1).select(F.lit(owner).alias("owner"), F.lit(epoch).cast("long").alias("epoch"))
+        self.write(row, "epochs", batch_id)
+        return batch_id
+
     # -- readers ---------------------------------------------------------
     def _read(self, spark: SparkSession, name: str, schema: T.StructType, before: int | None) -> DataFrame:
         df = read_or_none(spark, self.path(name))

@@ -2,19 +2,13 @@
 
 Two forms:
 
-* ``stage_stream`` (callback-free, build first): file source of raw entries
-  -> event-time watermark -> drop replayed entries within the watermark ->
-  native parquet sink.  Nothing calls back into Python, the sink is
-  exactly-once through the checkpoint, and the staged table feeds the batch
-  loader (``plans.load``) or ``operators.ingest`` directly.
-* ``ingest_stream`` (incremental): the same source, each micro-batch handed to
-  ``load_snapshot`` through ``foreachBatch`` with the epoch id as batch id, so
-  a replayed epoch rewrites its own partitions.  Snapshot files must arrive in
-  time order and hold whole snapshots (one poll = one file); several snapshots
-  per micro-batch are fine.
-
-Watermarks need a TIMESTAMP column; ``created_at`` is TIMESTAMP_NTZ, so the
-watermark runs on a session-time-zone copy that is dropped before writing.
+* ``stage_stream``: file source of raw entries, each micro-batch written to the
+  staged table without the entries that it holds already, so a replay is dropped
+  and a late row is kept, however late either comes.
+* ``ingest_stream`` (incremental): each micro-batch handed to ``load_snapshot``
+  through ``foreachBatch``.  The batch id of an epoch is stored before its load, so
+  a replayed epoch rewrites its own partitions and no other stream's.  Late rows
+  reach the loader's ``late`` table; replays of loaded rows are dropped there.
 """
 
 from __future__ import annotations
@@ -27,7 +21,7 @@ from tidepool.operators.ingest import flatten_pages
 from tidepool.plans.load import load_snapshot
 from tidepool.plans.metrics import summaries
 from tidepool.schema import RAW_PAGE, RAW_SNAPSHOT
-from tidepool.sources.tables import Tables
+from tidepool.sources.tables import Tables, read_or_none
 
 # Identity of one raw entry: a replayed page repeats all of these.
 ENTRY_KEY = ("created_at", "page", "address", "cumulative_fee_volume")
@@ -52,16 +46,6 @@ def read_entries(
     return flatten_pages(df) if pages else df
 
 
-def dedupe_replays(entries: DataFrame, delay: str) -> DataFrame:
-    """Drop entries seen before within the watermark (T5)."""
-    return (
-        entries.withColumn("_event_time", F.col("created_at").cast("timestamp"))
-        .withWatermark("_event_time", delay)
-        .dropDuplicatesWithinWatermark(list(ENTRY_KEY))
-        .drop("_event_time")
-    )
-
-
 def _trigger(writer, trigger: str):
     if trigger == "availableNow":
         return writer.trigger(availableNow=True)
@@ -73,16 +57,30 @@ def stage_stream(
     source_dir: str,
     sink_dir: str,
     checkpoint: str,
-    delay: str = "10 minutes",
     fmt: str = "parquet",
     pages: bool = False,
     max_files_per_trigger: int | None = None,
     trigger: str = "availableNow",
 ) -> StreamingQuery:
     """Start the callback-free staging stream."""
-    entries = dedupe_replays(read_entries(spark, source_dir, fmt, pages, max_files_per_trigger), delay)
-    writer = entries.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
-    return _trigger(writer, trigger).start(sink_dir)
+    entries = read_entries(spark, source_dir, fmt, pages, max_files_per_trigger)
+
+    def stage(batch: DataFrame, epoch_id: int) -> None:
+        session = batch.sparkSession
+        owner = session.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
+        rows = batch.dropDuplicates(list(ENTRY_KEY))
+        before = read_or_none(session, sink_dir)
+        if before is not None:
+            # Replays of stored entries are dropped however late they come; an
+            # epoch's own rows are those that its repetition overwrites.
+            before = before.filter(~((F.col("owner") == owner) & (F.col("epoch") == epoch_id)))
+            same = [F.col(f"n.{c}").eqNullSafe(F.col(f"s.{c}")) for c in ENTRY_KEY]
+            rows = rows.alias("n").join(before.select(*ENTRY_KEY).alias("s"), same, "left_anti")
+        rows = rows.withColumn("owner", F.lit(owner)).withColumn("epoch", F.lit(epoch_id).cast("long"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("owner", "epoch").parquet(sink_dir)
+
+    writer = entries.writeStream.foreachBatch(stage).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
 
 
 def ingest_stream(
@@ -90,7 +88,6 @@ def ingest_stream(
     source_dir: str,
     tables: Tables,
     checkpoint: str,
-    delay: str = "10 minutes",
     fmt: str = "parquet",
     pages: bool = False,
     max_files_per_trigger: int | None = None,
@@ -106,10 +103,13 @@ def ingest_stream(
     the counter state and summaries beyond ``keep_counter_versions`` are
     removed.
     """
-    entries = dedupe_replays(read_entries(spark, source_dir, fmt, pages, max_files_per_trigger), delay)
+    entries = read_entries(spark, source_dir, fmt, pages, max_files_per_trigger)
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        batch_id = int(epoch_id) + 1
+        # No watermark: a late row reaches the loader, which keeps it in ``late``.
+        owner = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
+        batch_id = tables.batch_of(batch.sparkSession, owner, int(epoch_id))
+        batch = batch.dropDuplicates(list(ENTRY_KEY))
         load_snapshot(batch.sparkSession, batch, tables, batch_id)
         tables.retain_versions(batch.sparkSession, "counters", keep=keep_counter_versions)
         if refresh_summaries:
