@@ -274,10 +274,8 @@ QUERIES.update(
 # ---------------------------------------------------------------------------
 
 
-# The replayed day, and a watermark delay covering the whole
-# 30-day backfill (a live feed uses minutes).
+# Fixed value: the replayed day.
 STREAM_REPLAY_DAY = "2024-01-20"
-STREAM_BACKFILL_DELAY = "31 days"
 
 
 def _q_stream_fee_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,7 +288,7 @@ def _q_stream_fee_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.col("created_at") == F.lit(STREAM_REPLAY_DAY).cast("timestamp_ntz")
     raw.filter(day).write.mode("append").parquet(f"{root}/feed")
     q = stage_stream(
-        spark, f"{root}/feed", f"{root}/staged", f"{root}/_checkpoint", delay=STREAM_BACKFILL_DELAY, max_files_per_trigger=1
+        spark, f"{root}/feed", f"{root}/staged", f"{root}/_checkpoint", max_files_per_trigger=1
     )
     q.awaitTermination()
     staged = I.stage_snapshot(spark.read.parquet(f"{root}/staged"))
