@@ -126,6 +126,7 @@ def _best(index: DataFrame, probes: DataFrame, dim: int, top: int) -> DataFrame:
             return none
         left = left.combine_chunks()
         v, cls = _matrix(left["vec"].chunk(0), dim), left["cls"].to_numpy()
+        small, longest = v.astype(np.float32), np.sqrt((v * v).sum(axis=1).max())
         names, of = np.unique(left["bucket"].to_numpy(), return_inverse=True)
         ids, found = [], []
         for batch in right.combine_chunks().to_batches(max_chunksize=256):
@@ -137,11 +138,15 @@ def _best(index: DataFrame, probes: DataFrame, dim: int, top: int) -> DataFrame:
             at = np.searchsorted(names, flat).clip(max=len(names) - 1)
             hit = names[at] == flat
             seen[row[hit], at[hit]] = True
-            rough = np.where(seen[:, of], q @ v.T, -np.inf)
-            k = min(top + 8, len(cls))
-            best = np.argpartition(-rough, k - 1, axis=1)[:, :k]
+            # Single precision selects, with room for all that its rounding could
+            # put below the last place; double precision ranks.
+            rough = q.astype(np.float32) @ small.T
+            rough[~seen[:, of]] = -np.inf
+            k = min(top + 1, len(cls))
+            last = np.partition(rough, len(cls) - k, axis=1)[:, len(cls) - k]
+            last = last - (dim + 2) * 2.0**-22 * longest * np.sqrt((q * q).sum(axis=1))
             for i, query in enumerate(batch.column(batch.schema.get_field_index("query")).to_pylist()):
-                mine = best[i][rough[i, best[i]] > -np.inf]
+                mine = np.flatnonzero((rough[i] >= last[i]) & (rough[i] > -np.inf))
                 if len(mine):
                     # One fixed order of additions: a pair scores alike in every group.
                     exact = (v[mine] * q[i]).sum(axis=1)
@@ -193,8 +198,10 @@ def nearest(vectors: DataFrame, is_query, top: int = 20, seed: int = 11, id_col:
     index = stored(_indexed(classes, dim, norm, groups, seed), f"{base}/index")
     probes = stored(_probing(queries, dim, norm, groups, seed), f"{base}/probes")
     # Each query's best classes of all parts and tables.
-    found = _best(index, probes, dim, top).groupBy("query").agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"))
-    ranked = F.slice(F.array_sort(F.transform("found", lambda x: F.struct((-x["score"]).alias("far"), x["cls"].alias("cls")))), 1, top + 1)
+    found = _best(index, probes, dim, top).groupBy("query").agg(F.flatten(F.collect_list("found")).alias("found"))
+    ranked = F.sort_array(F.transform("found", lambda x: F.struct((-x["score"]).alias("far"), x["cls"].alias("cls"))))
+    # A class comes from each table once at most: the first places hold enough different ones.
+    ranked = F.slice(F.array_distinct(F.slice(ranked, 1, (top + 1) * TABLES)), 1, top + 1)
     best = found.select("query", F.explode(ranked).alias("f")).select("query", "f.far", F.col("f.cls").alias("cls"))
     # Members of those classes, then the nearest ids of each query class.
     members = best.join(classes.select("cls", "ids"), "cls").select("query", "far", F.explode("ids").alias("id"))
