@@ -4,8 +4,9 @@ each stage's result to the session's shared folder and reads it back, which cuts
 the lineage.
 
 1. quality: rejected documents go; ties, repeated rows and null ids are judged row by row.
-2. near duplicates: one document of each component stays, the one of smallest id,
-   once each; rows with a null id stay.
+2. near duplicates: documents are linked at a similarity of 0.8 or more (five-word
+   shingles); one of each component stays, the one of smallest id, once each; rows
+   with a null id stay.
 3. secrets: spans found are replaced by a mark, and ``n_chars`` is that of the new text.
 4. mixing: every document stays at least once; sources below their weight are
    repeated by whole and part passes, at most ``REPEAT`` times the least repeated one.
@@ -24,6 +25,8 @@ from tidepool.llm.common import scratch, ship, stored, table
 from tidepool.llm.queries import tokenizer_file
 
 REPEAT = 1.5
+#: Least similarity, in percent, of near duplicates here (op7's contract has 85).
+SIMILAR = 80
 
 #: Neither sketches, hashes nor tokens are SQL's: the run is tested against a
 #: brute-force version in tests/llm.
@@ -37,7 +40,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    gone = near_dup.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    gone = near_dup.near_duplicates(docs, percent=SIMILAR).filter("not kept").select("doc_id").distinct()
     left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     # Rows that repeat an id are copies of one document.
     return left.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id is null")) if _repeats(left) else left

@@ -281,3 +281,20 @@ def test_pipeline_stages(spark):
     assert out and {r.doc_id for r in out} <= {r.doc_id for r in texts.select("doc_id").collect()}
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, texts.limit(0), SF).count() == 0, name
+
+
+def test_pipeline_links_from_080(spark):
+    import corpus_pipeline
+
+    # 36 of 40 shingles in common: 36 / 44 = 0.818; 35 of 40: 35 / 45 = 0.778.
+    base = [f"w{i}" for i in range(44)]
+    near = [*base[:-4], *"abcd"]
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join([f"v{i}" for i in range(44)])), (4, " ".join([*[f"v{i}" for i in range(39)], *"abcde"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(_shingles(rows[0][1]) & _shingles(rows[1][1])) == 36
+    assert {r.doc_id for r in corpus_pipeline.near_dup_stage(spark, df, SF).collect()} == {1, 3, 4}
+    assert {r.doc_id for r in near_dup.near_duplicates(df).filter("kept").collect()} == {1, 2, 3, 4}
+    for percent in (95, 85, 80, 60):
+        width = near_dup.band_rows(percent)
+        assert (1 - (percent / 100) ** width) ** (near_dup.REGISTERS // width) <= 1e-6
+    assert (near_dup.band_rows(85), near_dup.band_rows(80)) == (8, 6)

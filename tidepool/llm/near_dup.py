@@ -7,8 +7,9 @@
    one in a fixed random order of its own, so short texts have full bands too
    and each register still agrees with a chance of about the similarity.
 2. Texts with equal sets form one class, which goes on as its smallest id.
-3. Sketches are cut in ``BANDS`` bands of registers.  Two sets of similarity
-   0.85 share no band's bucket with a chance of 3e-7.
+3. Sketches are cut in bands of up to ``ROWS`` registers, as many as leave two
+   sets at the threshold without a common bucket in one case of a million at
+   most (``band_rows``): 48 bands of 8 at 0.85 (3e-7), 64 bands of 6 at 0.8 (4e-9).
 4. Within a bucket, members are compared with a few pivots, never all with
    all.  Pairs already in one component are not compared; a bucket is done
    when its members that have not been pivots share one component, else it
@@ -40,8 +41,10 @@ from tidepool.llm import words as W
 from tidepool.llm.common import scratch, stored
 from tidepool.llm.components import components
 
-BANDS, ROWS = 48, 8
-REGISTERS = BANDS * ROWS
+ROWS = 8
+REGISTERS = 48 * ROWS
+#: Largest chance that two sets at the threshold share no bucket.
+MISSED = 1e-6
 MANTISSA_BITS = 10
 EMPTY = 0xFFFF
 #: Members of a bucket that one task compares, and most pivots a bucket in one step.
@@ -68,17 +71,24 @@ def sketch(distinct: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(registers: np.ndarray) -> np.ndarray:
-    """One 64-bit key for each band of one sketch."""
+def band_rows(percent: int) -> int:
+    """Registers a band: the most, up to ``ROWS``, that keep to ``MISSED``."""
+    fits = (r for r in range(ROWS, 1, -1) if REGISTERS % r == 0 and (1 - (percent / 100) ** r) ** (REGISTERS // r) <= MISSED)
+    return next(fits, 1)
+
+
+def band_keys(registers: np.ndarray, rows: int) -> np.ndarray:
+    """One 64-bit key for each band, of ``rows`` registers, of one sketch."""
+    bands = REGISTERS // rows
     full = registers != EMPTY
     if not full.all():
         empty = np.flatnonzero(~full)
         look = LOOK[empty]
         registers = registers.copy()
         registers[empty] = registers[look[np.arange(len(empty)), full[look].argmax(axis=1)]]
-    quads = registers.reshape(BANDS, ROWS).astype(np.uint64)
-    weights = W.powers(W.SEQ_BASE, ROWS)
-    return W.mix((quads * weights).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x5851F42D4C957F2D))
+    quads = registers.reshape(bands, rows).astype(np.uint64)
+    weights = W.powers(W.SEQ_BASE, rows)
+    return W.mix((quads * weights).sum(axis=1, dtype=np.uint64) + np.arange(bands, dtype=np.uint64) * np.uint64(0x5851F42D4C957F2D))
 
 
 def estimate(one: np.ndarray, n_one: float, many: np.ndarray, n_many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,15 +157,15 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, size:
     return rows.join(ids, "id", "left_semi").mapInArrow(run, "id long, shingles array<long>")
 
 
-def _bands(reps: DataFrame) -> DataFrame:
+def _bands(reps: DataFrame, width: int) -> DataFrame:
     """``(bucket, id)``: one row for each band of each class."""
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
                 regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, REGISTERS)
-                keys = np.concatenate([band_keys(r) for r in regs]).view(np.int64)
-                ids = np.repeat(batch.column(0).to_numpy(), BANDS)
+                keys = np.concatenate([band_keys(r, width) for r in regs]).view(np.int64)
+                ids = np.repeat(batch.column(0).to_numpy(), REGISTERS // width)
                 yield pa.record_batch([pa.array(keys), pa.array(ids)], ["bucket", "id"])
 
     return reps.select("id", "registers").mapInArrow(run, "bucket long, id long")
@@ -165,6 +175,7 @@ def _likely(members: DataFrame, pivots: DataFrame, reps: DataFrame, percent: int
     """Pairs ``(a, b)`` of a bucket's pivots and its other members that lie in
     different components and that the sketches do not rule out."""
     share = percent / 100
+    width = band_rows(percent)
 
     def pairs(rows):
         """Of the rows of one part of one bucket.  A pair that meets in several
@@ -186,7 +197,7 @@ def _likely(members: DataFrame, pivots: DataFrame, reps: DataFrame, percent: int
             spread = np.sqrt(share * (1 - share) / used * np.maximum(union - used, 0) / (union - 1))
             for o in other[(j >= share - 5 * spread - 0.005) & (used <= union + 1)].tolist():
                 if o not in keys:
-                    keys[o] = set(band_keys(regs[o]).view(np.int64).tolist())
+                    keys[o] = set(band_keys(regs[o], width).view(np.int64).tolist())
                 if bucket == min((x for x in buckets[p] if x in keys[o]), default=bucket):
                     yield min(ids[o], ids[p]), max(ids[o], ids[p])
 
@@ -247,7 +258,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = sk.join(classes, (sk.id == classes.rep) & (sk.set_key == classes.set_key), "left_semi").select("id", "n_shingles", "registers").dropDuplicates(["id", "n_shingles"])
     reps = stored(reps, f"{base}/reps")
 
-    rows = _bands(reps)
+    rows = _bands(reps, band_rows(percent))
     shared = rows.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("bucket")
     members = stored(rows.join(shared, "bucket").distinct(), f"{base}/members")
     sets = stored(full_sets(docs, id_col, text_col, members.select("id").distinct(), size), f"{base}/sets")
