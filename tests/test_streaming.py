@@ -70,3 +70,67 @@ def test_late_row_and_new_checkpoint_lose_nothing(spark, scratch):
     ingest_stream(spark, src, t, scratch + "/ckpt2", max_files_per_trigger=4).awaitTermination()
     assert sorted(r["created_at"].minute for r in t.history(spark).collect()) == minutes
     assert spark.read.parquet(t.path("raw")).count() == 8
+
+
+def _page_files(folder):
+    """A whole page, a truncated one, one with a field of a wrong type, one
+    without pairs, and two entries that lack their address."""
+    import json
+    import os
+
+    os.makedirs(folder)
+    entry = {"address": "A", "name": "X-Y", "mint_x": "x", "mint_y": "y", "bin_step": 10,
+             "base_fee_percentage": "0.2", "hide": False, "is_blacklisted": False,
+             "cumulative_fee_volume": "1", "current_price": 1.5, "liquidity": 10.0, "fees": {"min_30": 1.0}}
+    no_address = {k: v for k, v in entry.items() if k != "address"}
+    at = {"created_at": "2024-01-01T00:00:00", "page": 0}
+    docs = [
+        json.dumps(at | {"pairs": [entry, no_address, dict(no_address, name="P-Q")]}),
+        json.dumps(at | {"page": 1, "pairs": [dict(entry, address="B"), dict(entry, address="C")]})[:-150],
+        json.dumps(at | {"page": 2, "pairs": [dict(entry, address="D", bin_step="ten"), dict(entry, address="E")]}),
+        json.dumps(at | {"page": 3}),
+        json.dumps(at | {"page": 4, "pairs": []}),
+    ]
+    for i, doc in enumerate(docs):
+        with open(f"{folder}/p{i}.json", "w") as fh:
+            fh.write(doc + "\n")
+    return docs
+
+
+def test_corrupt_pages_and_entries_without_address_are_rejected(spark, scratch):
+    from tidepool.plans.load import load_snapshot
+    from tidepool.sources.snapshots import read_pages
+
+    docs = _page_files(scratch + "/pages")
+    by_batch, by_stream = Tables(scratch + "/batch"), Tables(scratch + "/stream")
+    load_snapshot(spark, read_pages(spark, scratch + "/pages"), by_batch, 1)
+    ingest_stream(spark, scratch + "/pages", by_stream, scratch + "/ckpt", fmt="json", pages=True, max_files_per_trigger=1).awaitTermination()
+    for t in (by_batch, by_stream):
+        rejected = spark.read.parquet(t.path("rejected")).collect()
+        assert {r["_corrupt_record"] for r in rejected if r["reason"] == "json"} == {docs[1], docs[2]}
+        assert sorted(r["name"] for r in rejected if r["reason"] == "address" and r["name"]) == ["P-Q", "X-Y"]
+        assert {r["page"] for r in rejected if r["reason"] == "address"} == {0, 3}
+        assert [r["address"] for r in rejected if r["reason"] == "bin_step"] == ["D"]
+        assert {"A", "E"} <= {r["pair_address"] for r in t.pairs(spark).collect()} <= {"A", "B", "E"}
+
+
+def test_staging_keeps_entries_without_a_whole_key(spark, scratch):
+    from tidepool.streaming.ingest import stage_stream
+
+    docs = _page_files(scratch + "/pages")
+    stage_stream(spark, scratch + "/pages", scratch + "/staged", scratch + "/ckpt", fmt="json", pages=True, max_files_per_trigger=2).awaitTermination()
+    rows = spark.read.parquet(scratch + "/staged").collect()
+    assert sorted(r["name"] for r in rows if r["address"] is None and r["name"]) == ["P-Q", "X-Y"]
+    assert {r["_corrupt_record"] for r in rows} >= {docs[1], docs[2]}
+
+
+def test_corrupt_json_entries_are_rejected(spark, scratch):
+    import os
+
+    from tidepool.operators.ingest import rejected_entries
+    from tidepool.sources.snapshots import read_entries
+
+    os.makedirs(scratch + "/entries")
+    with open(scratch + "/entries/e.json", "w") as fh:
+        fh.write('{"created_at": "2024-01-01T00:00:00", "page": 0, "addr\n')
+    assert [r["reason"] for r in rejected_entries(read_entries(spark, scratch + "/entries", "json")).collect()] == ["json"]

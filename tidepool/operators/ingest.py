@@ -36,10 +36,20 @@ def token_id(mint) -> F.Column:
 
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
-    """Page documents ``{created_at, page, pairs: [...]}`` -> one row per entry."""
-    return pages.select("created_at", "page", F.explode("pairs").alias("e")).select(
-        "created_at", "page", "e.*"
-    )
+    """Page documents ``{created_at, page, pairs: [...]}`` -> one row per entry.
+
+    A document without ``pairs``, or one that does not parse (whole or in part),
+    gives a row without entry fields, which ``rejected_entries`` lists: the second
+    with its text in ``_corrupt_record``.  Entries that such a document still
+    yields go on as entries."""
+    corrupt = [c for c in ("_corrupt_record",) if c in pages.columns]
+    lost = F.col("pairs").isNull()
+    for c in corrupt:
+        lost = lost | F.col(c).isNotNull()
+    with_self = F.transform(F.coalesce("pairs", F.array()), lambda e: F.struct(e.alias("e"), F.lit(False).alias("lost")))
+    itself = F.array(F.struct(F.lit(None).alias("e"), F.lit(True).alias("lost")))
+    rows = pages.select("created_at", "page", *corrupt, F.explode(F.when(lost, F.concat(with_self, itself)).otherwise(with_self)).alias("x"))
+    return rows.select("created_at", "page", "x.e.*", *[F.when(F.col("x.lost"), F.col(c)).alias(c) for c in corrupt])
 
 
 def activity_cutoff(raw: DataFrame, pages_per_batch: int = PAGES_PER_BATCH) -> DataFrame:

@@ -43,6 +43,16 @@ RAW_SNAPSHOT = T.StructType(
     + list(RAW_ENTRY.fields)
 )
 
+#: Where the JSON readers put the text of a record that does not parse; only
+#: JSON reads ask for it.
+CORRUPT = T.StructField("_corrupt_record", T.StringType())
+
+
+def read_schema(schema: T.StructType, fmt: str) -> T.StructType:
+    """The schema to read ``schema`` with from files of format ``fmt``."""
+    return T.StructType([*schema.fields, CORRUPT]) if fmt == "json" else schema
+
+
 TOKENS = T.StructType(
     [
         T.StructField("id", T.LongType(), False),

@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidepool.operators.ingest import flatten_pages
-from tidepool.schema import RAW_PAGE, RAW_SNAPSHOT
+from tidepool.schema import RAW_PAGE, RAW_SNAPSHOT, read_schema
 
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Page documents ``{created_at, page, pairs: [...]}`` (JSON lines or
     parquet), flattened to one row per entry.  The explicit schema skips
-    inference; a folder of many page files is read as one concatenation."""
-    return flatten_pages(spark.read.schema(RAW_PAGE).format(fmt).load(path))
+    inference; a folder of many page files is read as one concatenation.  A JSON
+    document that does not parse goes on with its text in ``_corrupt_record``."""
+    return flatten_pages(spark.read.schema(read_schema(RAW_PAGE, fmt)).format(fmt).load(path))
 
 
 def read_entries(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Already-flattened raw entries (``RAW_SNAPSHOT`` schema)."""
-    return spark.read.schema(RAW_SNAPSHOT).format(fmt).load(path)
+    return spark.read.schema(read_schema(RAW_SNAPSHOT, fmt)).format(fmt).load(path)
 
 
 def export(df: DataFrame, path: str, fmt: str = "csv") -> None:

@@ -20,13 +20,24 @@ from pyspark.sql.streaming import StreamingQuery
 from tidepool.operators.ingest import flatten_pages
 from tidepool.plans.load import load_snapshot
 from tidepool.plans.metrics import summaries
-from tidepool.schema import RAW_PAGE, RAW_SNAPSHOT
+from tidepool.schema import RAW_PAGE, RAW_SNAPSHOT, read_schema
 from tidepool.sources.tables import Tables, read_or_none
 
-# Identity of one raw entry: a replayed page repeats all of these.
+# Identity of one raw entry: a replayed page repeats all of these.  Entries that
+# lack one of them cannot be told apart, so all of them stay.
 ENTRY_KEY = ("created_at", "page", "address", "cumulative_fee_volume")
 
 
+def _once(batch: DataFrame) -> DataFrame:
+    """The entries of a batch without replays.  A row without a whole key has a
+    number of its own as part of it."""
+    whole = F.lit(True)
+    for c in ENTRY_KEY:
+        whole = whole & F.col(c).isNotNull()
+    numbered = batch.withColumn("own", F.when(whole, F.lit(-1)).otherwise(F.monotonically_increasing_id()))
+    return numbered.dropDuplicates([*ENTRY_KEY, "own"]).drop("own")
+
+
 def read_entries(
     spark: SparkSession,
     source_dir: str,
@@ -39,7 +50,7 @@ def read_entries(
     ``pages=True`` reads page documents (``{created_at, page, pairs: [...]}``),
     otherwise files already hold one entry per row.
     """
-    reader = spark.readStream.format(fmt).schema(RAW_PAGE if pages else RAW_SNAPSHOT)
+    reader = spark.readStream.format(fmt).schema(read_schema(RAW_PAGE if pages else RAW_SNAPSHOT, fmt))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.load(source_dir)
@@ -68,13 +79,13 @@ def stage_stream(
     def stage(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
         owner = session.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
-        rows = batch.dropDuplicates(list(ENTRY_KEY))
+        rows = _once(batch)
         before = read_or_none(session, sink_dir)
         if before is not None:
             # Replays of stored entries are dropped however late they come; an
             # epoch's own rows are those that its repetition overwrites.
             before = before.filter(~((F.col("owner") == owner) & (F.col("epoch") == epoch_id)))
-            same = [F.col(f"n.{c}").eqNullSafe(F.col(f"s.{c}")) for c in ENTRY_KEY]
+            same = [F.col(f"n.{c}") == F.col(f"s.{c}") for c in ENTRY_KEY]
             rows = rows.alias("n").join(before.select(*ENTRY_KEY).alias("s"), same, "left_anti")
         rows = rows.withColumn("owner", F.lit(owner)).withColumn("epoch", F.lit(epoch_id).cast("long"))
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("owner", "epoch").parquet(sink_dir)
@@ -109,7 +120,7 @@ def ingest_stream(
         # No watermark: a late row reaches the loader, which keeps it in ``late``.
         owner = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
         batch_id = tables.batch_of(batch.sparkSession, owner, int(epoch_id))
-        batch = batch.dropDuplicates(list(ENTRY_KEY))
+        batch = _once(batch)
         load_snapshot(batch.sparkSession, batch, tables, batch_id)
         tables.retain_versions(batch.sparkSession, "counters", keep=keep_counter_versions)
         if refresh_summaries:
