@@ -71,12 +71,20 @@ def _spans(kind: int, pattern: str, least: str) -> str:
 
 _ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+"""
 _VALUE = r"""(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_LINE_END = r"[\x20\x09]*(?:\r?\n|\r|(?:\\r)?\\n)[\x20\x09]*"
+_GAP = r"(?:[\x20\x09-\x0D]|\\r|\\n)"
+_PEM = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+    rf"(?:{_GAP}{{0,64}}Proc-Type:\x20?4,ENCRYPTED{_GAP}{{1,64}}DEK-Info:\x20?[A-Za-z0-9-]+,[0-9A-Fa-f]+)?"
+    r"(?:[A-Za-z0-9+/=\\\x20\x09-\x0D]*-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?:{_GAP}{{0,64}}[A-Za-z0-9+/]{{16,}}={{0,2}}(?:(?:{_LINE_END}|[\x20\x09]+)[A-Za-z0-9+/]{{16,}}={{0,2}})*(?:{_LINE_END}[A-Za-z0-9+/]{{1,15}}={{0,2}})?)?)"
+)
 _OP8 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS (
 {_spans(0, _ASSIGN, f"length(regexp_extract(m, '{_VALUE}', 1)) >= 6")}
 UNION ALL {_spans(1, "AKIA[A-Z0-9]+", "length(m) >= 20")}
 UNION ALL {_spans(2, "[0-9a-f]+", "length(m) >= 24")}
-UNION ALL {_spans(3, "-----BEGIN [A-Z ]*PRIVATE KEY-----", "true")}
+UNION ALL {_spans(3, _PEM, "true")}
 UNION ALL {_spans(4, "eyJ[A-Za-z0-9_-]{8,}[.]eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,}", "true")}
 ), s AS (
   SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,

@@ -11,8 +11,11 @@ set of paths, scans only what is new; a new rule version scans all blobs anew.
 
 A finding is (start, end, kind), in code points, end exclusive.  Base kinds are
 ``assign`` (a credential assigned to a name), ``access`` (access key ids) and
-``hex`` (long hex runs); ``pem`` (private key headers) and ``jwt`` (signed web
-tokens) are added.  Spans of one kind never overlap; kinds may.
+``hex`` (long hex runs); ``pem`` (private key blocks) and ``jwt`` (signed web
+tokens) are added.  A key block runs from its BEGIN line over the base64 text to
+its END line; where that is missing, over the base64 lines that follow, the last
+of which may be short.  Line ends may be written as ``\\n``.  Spans of one kind
+never overlap; kinds may.
 
 Nulls count as empty texts: a blob without findings.  Rows are paths one by one,
 so repeated rows and null ids keep theirs; other columns are not read.  Empty
@@ -28,13 +31,24 @@ from pyspark.sql import functions as F
 from tidepool.llm.common import text_of
 
 #: Changes whenever ``RULES`` do.
-RULE_VERSION = 1
+RULE_VERSION = 2
+#: A private key block: its BEGIN line, the header lines of an encrypted key, and
+#: the text up to its END line, else base64 lines.  The repeated group is
+#: possessive, so it needs no stack a line.
+_LINE_END = r"[\x20\x09]*(?:\r?\n|\r|(?:\\r)?\\n)[\x20\x09]*"
+_GAP = r"(?:[\x20\x09-\x0D]|\\r|\\n)"
+PEM = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+    rf"(?:{_GAP}{{0,64}}Proc-Type:\x20?4,ENCRYPTED{_GAP}{{1,64}}DEK-Info:\x20?[A-Za-z0-9-]+,[0-9A-Fa-f]+)?"
+    r"(?:[A-Za-z0-9+/=\\\x20\x09-\x0D]*-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?:{_GAP}{{0,64}}[A-Za-z0-9+/]{{16,}}={{0,2}}(?:(?:{_LINE_END}|[\x20\x09]+)[A-Za-z0-9+/]{{16,}}={{0,2}})*+(?:{_LINE_END}[A-Za-z0-9+/]{{1,15}}={{0,2}})?)?)"
+)
 #: Kind, pattern, group whose length counts, least length.
 RULES = (
     ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
-    ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("pem", PEM, 0, 1),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
 )
 BASE = ("assign", "access", "hex")
