@@ -134,3 +134,36 @@ def test_corrupt_json_entries_are_rejected(spark, scratch):
     with open(scratch + "/entries/e.json", "w") as fh:
         fh.write('{"created_at": "2024-01-01T00:00:00", "page": 0, "addr\n')
     assert [r["reason"] for r in rejected_entries(read_entries(spark, scratch + "/entries", "json")).collect()] == ["json"]
+
+
+def test_registered_view_follows_loads_and_inserts(spark, scratch):
+    from helpers import history, minute, pairs
+
+    from tidepool.plans.load import load_snapshot
+    from tidepool.plans.views import VIEWS, register_views
+
+    def seen():
+        return sorted((r["dttm"], r["num_minutes"]) for r in spark.sql("SELECT dttm, num_minutes FROM v_pair_history").collect())
+
+    def load(m):
+        load_snapshot(spark, raw_entries(spark, [{"m": m, "address": "A", "counter": str(m), "name": "A-Q"}]), t, m + 1)
+
+    t = Tables(scratch + "/tables")
+    load(0)
+    register_views(spark, t.history(spark), t.pairs(spark), n=2)
+    assert seen() == [(minute(0), 1)]
+    load(1)
+    load(2)
+    assert seen() == [(minute(1), 1), (minute(2), 2)]
+    assert spark.sql("SELECT * FROM pair_history").count() == 3
+    # A table of the catalog.
+    try:
+        history(spark, [(0, 1, 10, 2000, 1)]).write.option("path", scratch + "/h").saveAsTable("view_test_history")
+        register_views(spark, spark.table("view_test_history"), pairs(spark, [(1, "P1", 10, False)]), n=2)
+        assert seen() == [(minute(0), 1)]
+        history(spark, [(m, 1, 10, 2000, 1) for m in (1, 2)]).write.insertInto("view_test_history")
+        assert seen() == [(minute(1), 1), (minute(2), 2)]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS view_test_history")
+        for name in VIEWS:
+            spark.catalog.dropTempView(name)

@@ -28,6 +28,7 @@ from tidepool.operators.ingest import (
     rejected_entries,
     stage_snapshot,
 )
+from tidepool.plans.views import refresh_views
 from tidepool.sources.tables import Tables, read_or_none
 
 
@@ -82,6 +83,7 @@ def load_snapshot(
         pairs_now.select(F.col("id").alias("pair_id")), "pair_id", "left_semi"
     )
     tables.write(state, "counters", batch_id)
+    refresh_views(spark)
 
     if not report:
         return None

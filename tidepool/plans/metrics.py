@@ -56,6 +56,15 @@ def _snapshot_set(axis: DataFrame, n: int) -> tuple[DataFrame, Column | None, Co
     return F.broadcast(local), lo, F.lit(oldest.date().isoformat()).cast("date")
 
 
+def _open_snapshot_set(axis: DataFrame, n: int) -> tuple[DataFrame, Column | None, Column | None]:
+    """``_snapshot_set`` without its fetch: the set and its oldest timestamp are
+    part of the plan, so each run of a view takes the snapshots of its time.  The
+    bound is a scalar subquery, which prunes ``snapshot_date`` folders at run time."""
+    snaps = latest_snapshots(axis, n)
+    lo = snaps.agg(F.min("created_at")).scalar()
+    return F.broadcast(snaps), lo, snaps.agg(F.min("created_at").cast("date")).scalar()
+
+
 def _facts(history: DataFrame, snaps: DataFrame, lo: Column | None, lo_date: Column | None) -> DataFrame:
     """History restricted to the snapshot set, values widened to double.
 
@@ -144,8 +153,8 @@ def _axis(history: DataFrame, snapshots: DataFrame | None) -> DataFrame:
     return history if snapshots is None else snapshots
 
 
-def _window_rows(history: DataFrame, pairs: DataFrame, n: int, snapshots: DataFrame | None = None) -> DataFrame:
-    snaps, lo, lo_date = _snapshot_set(_axis(history, snapshots), n)
+def _window_rows(history: DataFrame, pairs: DataFrame, n: int, snapshots: DataFrame | None = None, frozen: bool = True) -> DataFrame:
+    snaps, lo, lo_date = (_snapshot_set if frozen else _open_snapshot_set)(_axis(history, snapshots), n)
     return _facts(history, snaps, lo, lo_date).join(_live_pairs(pairs), "pair_id")
 
 
@@ -292,9 +301,10 @@ def pair_details(
     return project(df).orderBy("dttm")
 
 
-def metrics_view(history: DataFrame, pairs: DataFrame, n: int = 60, snapshots: DataFrame | None = None) -> DataFrame:
-    """All rows of all pairs with running metrics over ``n`` snapshots (Q4)."""
-    df = series_second_level(running_metrics(_window_rows(history, pairs, n, snapshots)))
+def metrics_view(history: DataFrame, pairs: DataFrame, n: int = 60, snapshots: DataFrame | None = None, frozen: bool = True) -> DataFrame:
+    """All rows of all pairs with running metrics over ``n`` snapshots (Q4).
+    ``frozen`` fetches the snapshot set now; a named view leaves it to each run."""
+    df = series_second_level(running_metrics(_window_rows(history, pairs, n, snapshots, frozen)))
     return project(df.withColumnRenamed("created_at", "dttm"))
 
 
