@@ -335,3 +335,13 @@ def test_private_key_blocks_go_whole(spark, tmp_path):
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
     con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
     assert dict(con.execute(f"SELECT doc_id, spans FROM ({ORACLE['op8_secret_scan']})").fetchall()) == spans
+
+
+def test_rounding_takes_no_whole_pass(spark):
+    # The source of tokens / p sets the budget; sizes as of very large sources.
+    rng = random.Random(8)
+    rows = [(rng.randrange(10**11, 10**12), rng.uniform(0.3, 0.99), rng.uniform(1, 50)) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "tokens long, a double, rest double").withColumn("p", F.expr("pow(tokens, a)")).withColumn("z", F.expr("p * rest"))
+    args = (F.col("tokens"), F.col("p"), F.col("z"), F.expr("tokens / p * z"))
+    got = df.select("tokens", mixing.share(*args, True).alias("once"), mixing.share(*args, False).alias("plain")).collect()
+    assert all(r.once >= r.tokens for r in got) and any(r.plain < r.tokens for r in got)

@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from math import log
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import WORD, scratch, stored, text_of
@@ -72,6 +72,14 @@ def exponent(totals: DataFrame, entropy: float | None, repeat_limit: float | Non
     return low if entropy is not None else high
 
 
+def share(tokens: Column, p: Column, z: Column, total: Column, whole: bool) -> Column:
+    """Tokens of the budget ``total`` for a source of weight p / z.  With ``whole``
+    the budget holds one pass of every source at least, and rounding, which grows
+    with the source, does not take a token of it away."""
+    dealt = F.floor(total * p / z + 1e-6).cast("long")
+    return F.greatest(dealt, tokens) if whole else dealt
+
+
 def schedule(
     docs: DataFrame,
     entropy: float | None = 0.95,
@@ -110,7 +118,7 @@ def schedule(
         "tokens",
         (F.col("p") / F.lit(z)).alias("weight"),
         F.greatest(F.lit(1), F.ceil(tokens / F.lit(block_tokens))).cast("long").alias("blocks"),
-        F.floor(F.lit(total) * F.col("p") / F.lit(z) + 1e-6).cast("long").alias("share"),
+        share(tokens, F.col("p"), F.lit(z), F.lit(total), budget is None).alias("share"),
     ).select(
         "source",
         "weight",
