@@ -29,7 +29,7 @@ REPEAT = 1.5
 SIMILAR = 80
 
 #: Neither sketches, hashes nor tokens are SQL's: the run is tested against a
-#: brute-force version in tests/llm.
+#: brute-force version in tests/llm (test_pipeline_equals_brute_force).
 ORACLE_SQL = None
 
 
