@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import ann, bpe, chat, mixing, near_dup, quality, secret_scan, substring, token_counts, token_output
+from tidepool.llm import alignment, ann, bpe, chat, mixing, near_dup, quality, secret_scan, sharding, substring, token_counts, token_output, whitening
 from tidepool.llm.common import scratch, ship, table
 from tidepool.llm.oracles import ORACLE  # noqa: F401
 
@@ -94,6 +94,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), k=4)
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.sharded(table(spark, sf_dir, "documents"), shards=16, law="rows")
+    return out.withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def _shipped(query: Callable) -> Callable:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -104,5 +117,5 @@ def _shipped(query: Callable) -> Callable:
 
 QUERIES = {
     q.__name__: _shipped(q)
-    for q in (op1_token_output, op2_substring, op3_nearest, op4_bpe, op5_token_counts, op6_chat, op7_near_duplicates, op8_secret_scan, op9_mixing, op10_quality)
+    for q in (op1_token_output, op2_substring, op3_nearest, op4_bpe, op5_token_counts, op6_chat, op7_near_duplicates, op8_secret_scan, op9_mixing, op10_quality, op11_whitening, op12_sharding, op13_alignment)
 }
