@@ -31,7 +31,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -46,12 +45,16 @@ MARK = "▁"
 #: Text of one chunk, in characters, and its rows, at most (a longer text is one alone).
 CHUNK, CHUNK_ROWS = 2_000_000, 2_000
 #: Stretches in each of the two generations of a worker's cache at most; longer ones are not kept.
-CACHED, CACHED_LENGTH = 250_000, 64
+CACHED, CACHED_LENGTH = 300_000, 64
+#: Stretches that are encoded at once.
+TOGETHER = 500
 #: Chunks that one salt of a pair serves on the way back.
 CHUNKS_A_SALT = 20_000
 
 #: Where both tokenizers cut: in front of a lone space or line break.
 _LONE = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: A stretch that may stand between others, and leaves no doubt about its bytes.
+_WORD = re.compile(r"[ \n](?:(?!▁|<0x)\S)+")
 #: White space that is not a lone space or line break within a text.
 _UNEVEN = re.compile(r"\A\s|\s\s|\s\Z|[^\S \n]")
 #: Fixed value: the type of pre-tokenizer whose rule is known to cut there.
@@ -66,16 +69,6 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-def _refined(coarse: list[int], ids: list[int], decoded: dict[int, bytes]) -> list[int]:
-    """Byte offsets where tokens end: the coarse one where it is known (not -1), else
-    that of the token before and the token's decoded bytes."""
-    out, at = [], 0
-    for i, end in zip(ids, coarse):
-        at = end if end >= 0 else at + len(decoded[i])
-        out.append(at)
-    return out
-
-
 def _lines(part: str) -> list[str]:
     first, *others = part.split("\n")
     return [first, *["\n" + x for x in others]]
@@ -104,8 +97,11 @@ class Pair:
         for i in range(m.get_piece_size()):
             piece = m.id_to_piece(i)
             self.b_bytes[i] = bytes([int(piece[1:-1], 16)]) if m.is_byte(i) else piece.replace(MARK, " ").encode()
-        self.b_size = [len(self.b_bytes[i]) for i in range(m.get_piece_size())]
-        self.single = {i for i in self.b_bytes if m.is_byte(i)}
+        self.b_size = np.array([len(self.b_bytes[i]) for i in range(m.get_piece_size())])
+        self.single = np.array([m.is_byte(i) for i in range(m.get_piece_size())])
+        self.a_size = np.zeros(max(self.a_bytes) + 1, np.int64)
+        for i, raw in self.a_bytes.items():
+            self.a_size[i] = len(raw)
         # The proofs.  A cuts in front of a lone space or line break by its rule.  B does
         # where no piece holds a mark behind another character or a line break, its
         # normaliser has no table, keeps spaces and puts one in front, and line breaks are bytes.
@@ -121,7 +117,7 @@ class Pair:
             and simple
             and not spec.trainer_spec.treat_whitespace_as_suffix
             and not spec.trainer_spec.user_defined_symbols
-            and len(self.single) == 256
+            and self.single.sum() == 256
             and not any(MARK in p.lstrip(MARK) or "\n" in p for p in plain)
         )
         self.cache: dict = {}
@@ -138,54 +134,82 @@ class Pair:
             parts = [x for w in parts for x in (_lines(w) if "\n" in w else (w,))]
         return parts
 
-    def _a_ends(self, s: str, e) -> list[int]:
-        """Ends of A's tokens; a token whose end the next one's start runs back over
-        ends within a character."""
-        offsets = e.offsets
-        if s.isascii():
-            return [end for _, end in offsets]
-        at = [0]
-        for c in s:
-            at.append(at[-1] + len(c.encode()))
-        starts = [start for start, _ in offsets[1:]] + [len(s)]
-        return _refined([at[end] if start >= end else -1 for (_, end), start in zip(offsets, starts)], e.ids, self.a_bytes)
-
-    def _b_ends(self, pieces: list, ids: list[int], lead: int) -> list[int]:
-        """``lead``: 1 behind a space, which B adds, else 0.  Byte pieces have no span
-        of their own."""
-        if self.single.isdisjoint(ids):
-            return [p.end + lead for p in pieces]
-        return _refined([-1 if i in self.single else p.end + lead for p, i in zip(pieces, ids)], ids, self.b_bytes)
-
-    def _align(self, s: str, a, b) -> tuple | None:
-        """``(tokens of A, tokens of B, groups as text, links)`` of one stretch, links
-        as ids of A times 2^32 plus those of B; None where the bytes differ."""
-        size = len(s) if s.isascii() else len(s.encode())
-        a_ids, lead, pieces = a.ids, 1, list(b.pieces)
-        if s[0] != " ":
-            lead = 0
+    def _a_ends(self, text: str, ids: np.ndarray, offsets: list) -> np.ndarray:
+        """Byte offsets where A's tokens end: their character offsets, and where the next
+        token's character begins before a token's ends, the decoded bytes so far."""
+        spans = np.array(offsets, np.int64).reshape(-1, 2)
+        if text.isascii():
+            return spans[:, 1]
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        sizes = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        within = np.zeros(len(ids), bool)
+        within[:-1] = spans[1:, 0] < spans[:-1, 1]
+        return np.where(within, np.cumsum(self.a_size[ids]), at[spans[:, 1]])
+
+    def _b_ends(self, ids: np.ndarray, ends: np.ndarray, lead: int) -> np.ndarray:
+        """Byte offsets where B's pieces end: their spans (``lead``: 1 behind a space that B
+        adds, else 0), and for byte pieces, which have none, the decoded bytes so far."""
+        return np.where(self.single[ids], np.cumsum(self.b_size[ids]), ends + lead)
+
+    def _encoded(self, text: str, a, b) -> tuple | None:
+        """``(ids of A, ends of A, ids of B, ends of B)`` of a text that begins with a space
+        or line break; None where the bytes differ."""
+        a_ids = np.array(a.ids, np.int64)
+        pieces = list(b.pieces)
+        lead = 1 if text[0] == " " else 0
+        if not lead:
             del pieces[0]  # the mark that B puts in front
-        b_ids = [p.id for p in pieces]
+        b_ids = np.fromiter((p.id for p in pieces), np.int64, len(pieces))
+        ends = np.fromiter((p.end for p in pieces), np.int64, len(pieces))
         if self.cuts:
             # All bytes are tokens of A, and B's pieces are the text's own but for marks and
             # bytes' names, which are shorter when decoded.
-            same = sum([self.b_size[i] for i in b_ids]) == size
+            same = self.b_size[b_ids].sum() == (len(text) if text.isascii() else len(text.encode()))
         else:
-            raw = s.encode()
-            same = b"".join(self.a_bytes[i] for i in a_ids) == raw and b"".join(self.b_bytes[i] for i in b_ids) == raw
+            raw = text.encode()
+            same = b"".join(self.a_bytes[i] for i in a.ids) == raw and b"".join(self.b_bytes[i] for i in b_ids.tolist()) == raw
         if not same:
             return None
-        if len(a_ids) == 1 or len(b_ids) == 1:
-            return len(a_ids), len(b_ids), ",".join(map(str, a_ids)) + "|" + ",".join(map(str, b_ids)), (a_ids[-1] << 32 | b_ids[-1],)
-        a_at = {end: k for k, end in enumerate(self._a_ends(s, a), 1)}
-        groups, links, a_from, b_from = [], [], 0, 0
-        for k, end in enumerate(self._b_ends(pieces, b_ids, lead), 1):
-            j = a_at.get(end)
-            if j:
-                groups.append(",".join(map(str, a_ids[a_from:j])) + "|" + ",".join(map(str, b_ids[b_from:k])))
-                links.append(a_ids[j - 1] << 32 | b_ids[k - 1])
-                a_from, b_from = j, k
-        return len(a_ids), len(b_ids), ";".join(groups), tuple(links)
+        return a_ids, self._a_ends(text, a_ids, a.offsets), b_ids, self._b_ends(b_ids, ends, lead)
+
+    def _align(self, texts: list[str], a, b) -> list[tuple] | None:
+        """``(tokens of A, tokens of B, groups as text, links)`` of stretches that were encoded
+        as one text, links as ids of A times 2^32 plus those of B; None where bytes differ."""
+        joined = "".join(texts)
+        encoded = self._encoded(joined, a, b)
+        if encoded is None:
+            return None
+        a_ids, a_ends, b_ids, b_ends = encoded
+        _, i, j = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
+        links = (a_ids[i] << 32 | b_ids[j]).tobytes()
+        bounds = np.cumsum([len(t) if t.isascii() else len(t.encode()) for t in texts])
+        a_upto = [0, *np.searchsorted(a_ends, bounds, "right").tolist()]
+        b_upto = [0, *np.searchsorted(b_ends, bounds, "right").tolist()]
+        upto = [0, *np.searchsorted(a_ends[i], bounds, "right").tolist()]
+        a_names, b_names = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
+        groups, p, q = [], 0, 0
+        for x, y in zip((i + 1).tolist(), (j + 1).tolist()):
+            head = a_names[p] if x == p + 1 else ",".join(a_names[p:x])
+            tail = b_names[q] if y == q + 1 else ",".join(b_names[q:y])
+            groups.append(f"{head}|{tail}")
+            p, q = x, y
+        return [
+            (a_upto[k + 1] - a_upto[k], b_upto[k + 1] - b_upto[k], ";".join(groups[upto[k] : upto[k + 1]]), links[8 * upto[k] : 8 * upto[k + 1]])
+            for k in range(len(texts))
+        ]
+
+    def _each(self, texts: list[str]) -> list:
+        a = self.a.encode_batch(texts, add_special_tokens=False)
+        b = self.b.encode([s[1:] if s[0] == " " else s for s in texts], return_type="proto", num_threads=1)
+        return [(self._align([s], x, y) or [None])[0] for s, x, y in zip(texts, a, b)]
+
+    def _together(self, words: list[str]) -> list:
+        """Stretches without white space inside, encoded as one text: both tokenizers cut
+        between them as they do in theirs."""
+        text = "".join(words)
+        b = self.b.encode(text[1:] if text[0] == " " else text, return_type="proto")
+        return self._align(words, self.a.encode(text, add_special_tokens=False), b) or self._each(words)
 
     def aligned(self, parts: set[str]) -> dict:
         """Alignment of every stretch of ``parts``."""
@@ -199,16 +223,17 @@ class Pair:
                     continue
                 self.cache[s] = held
             found[s] = held
-        for at in range(0, len(missing), 1000):
-            some = missing[at : at + 1000]
-            a = self.a.encode_batch(some, add_special_tokens=False)
-            b = self.b.encode([s[1:] if s[0] == " " else s for s in some], return_type="proto", num_threads=1)
-            for s, x, y in zip(some, a, b):
-                found[s] = held = self._align(s, x, y)
-                if len(s) <= CACHED_LENGTH:
-                    self.cache[s] = held
-            if len(self.cache) > CACHED:
-                self.cache, self.old = {}, self.cache
+        words = [s for s in missing if self.cuts and _WORD.fullmatch(s)]
+        others = [s for s in missing if not (self.cuts and _WORD.fullmatch(s))]
+        for some, align in ((words, self._together), (others, self._each)):
+            for at in range(0, len(some), TOGETHER):
+                part = some[at : at + TOGETHER]
+                for s, held in zip(part, align(part)):
+                    found[s] = held
+                    if len(s) <= CACHED_LENGTH:
+                        self.cache[s] = held
+                if len(self.cache) > CACHED:
+                    self.cache, self.old = {}, self.cache
         return found
 
 
@@ -263,7 +288,7 @@ def spans(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
                 if not got or any(g is None for g in got):
                     out.append((chunk, True, ident, 0, 0, 0, "", b""))
                     continue
-                links = np.fromiter(chain.from_iterable(g[3] for g in got), np.int64)
+                links = np.frombuffer(b"".join([g[3] for g in got]), np.int64)
                 every.append(links)
                 out.append((chunk, True, ident, sum(g[0] for g in got), sum(g[1] for g in got), len(links), ";".join(g[2] for g in got), _packed(links)[0]))
             del known
