@@ -1,12 +1,13 @@
 """Contract rows C9-C14, C18 and the batch loader (hand-built)."""
 
-from helpers import by_key, raw_entries
+from helpers import by_key, minute, raw_entries
 from pyspark.sql import functions as F
 
+from tidepool import schema
 from tidepool.operators import ingest as I
 from tidepool.plans.load import load_snapshot
 from tidepool.schema import COUNTERS, PAIRS, TOKENS
-from tidepool.sources.tables import Tables
+from tidepool.sources.tables import Tables, read_or_none
 
 
 def _empty(spark):
@@ -110,22 +111,75 @@ def test_loader_is_replay_safe_and_sums_match(spark, scratch):
     assert all(r["violations"] == 0 for r in rep.collect())
 
 
-def test_late_snapshot_is_kept_apart(spark, scratch):
+def _one(m, c, address="A"):
+    return {"m": m, "address": address, "counter": c, "name": f"{address}-Q", "mint_x": address, "mint_y": "q"}
+
+
+def _fees(spark, t):
+    names = t.pairs(spark).select(F.col("id").alias("pair_id"), "pair_address")
+    return sorted((r["pair_address"], r["created_at"], r["fees"]) for r in t.history(spark).join(names, "pair_id").collect())
+
+
+def test_late_snapshot_is_merged(spark, scratch):
     t = Tables(scratch + "/late")
-    rows = lambda m, c: [{"m": m, "address": "A", "counter": c, "name": "A-Q", "mint_x": "A", "mint_y": "q"}]
-    load_snapshot(spark, raw_entries(spark, rows(0, "10")), t, 1)
-    load_snapshot(spark, raw_entries(spark, rows(5, "30")), t, 2)
-    load_snapshot(spark, raw_entries(spark, rows(3, "20")), t, 3)  # arrives after minute 5
+    load_snapshot(spark, raw_entries(spark, [_one(0, "10")]), t, 1)
+    load_snapshot(spark, raw_entries(spark, [_one(5, "30")]), t, 2)
+    load_snapshot(spark, raw_entries(spark, [_one(3, "20"), _one(5, "30")]), t, 3)  # behind minute 5, with a replay
     fees = sorted((r["created_at"].minute, r["fees"]) for r in t.history(spark).collect())
-    assert fees == [(0, 0.0), (5, 20.0)]
-    late = spark.read.parquet(t.path("late")).collect()
-    assert [(r["created_at"].minute, r["counter"]) for r in late] == [(3, 20.0)]
+    assert fees == [(0, 0.0), (3, 10.0), (5, 10.0)]
+    assert read_or_none(spark, t.path("late")) is None
+    repairs = spark.read.parquet(t.path("repairs")).collect()
+    assert sorted((r["created_at"].minute, r["fees"], r["is_late"]) for r in repairs) == [(3, 10.0, True), (5, 10.0, False)]
+    assert sorted(r["created_at"].minute for r in t.snapshots(spark).collect()) == [0, 3, 5]
     state = t.counters(spark).collect()
     assert [(r["cumulative_fee_volume"], r["updated_at"].minute) for r in state] == [(30.0, 5)]
+    assert t.last_loaded(spark) == 3
+    # Before the batch, and after another attempt of it, the tables are the same.
+    assert sorted((r["created_at"].minute, r["fees"]) for r in t.history(spark, before=3).collect()) == [(0, 0.0), (5, 20.0)]
+    load_snapshot(spark, raw_entries(spark, [_one(3, "20"), _one(5, "30")]), t, 3)
+    assert sorted((r["created_at"].minute, r["fees"]) for r in t.history(spark).collect()) == fees
     assert t.retain_versions(spark, "counters", keep=1) == [1, 2]
     assert [r["cumulative_fee_volume"] for r in t.counters(spark).collect()] == [30.0]
 
 
+def test_late_rows_days_back_touch_only_their_dates(spark, scratch):
+    day = 24 * 60
+    snaps = [_one(d * day + m, str(100 * d + m)) for d in range(12) for m in (0, 1)] + [_one(d * day, str(7 * d + 1), "B") for d in (0, 6, 11)]
+    late = [s for s in snaps if s["m"] in (2 * day, 2 * day + 1, 9 * day) or (s["address"], s["m"]) == ("B", 6 * day)]
+    # B's row of day 6 has its predecessor days before the oldest late row's day.
+    whole, parts = Tables(scratch + "/whole"), Tables(scratch + "/parts")
+    load_snapshot(spark, raw_entries(spark, snaps), whole, 1)
+    load_snapshot(spark, raw_entries(spark, [s for s in snaps if s not in late]), parts, 1)
+    load_snapshot(spark, raw_entries(spark, late[:1] + [_one(12 * day, "9000")]), parts, 2)
+    load_snapshot(spark, raw_entries(spark, late[1:]), parts, 3)
+    load_snapshot(spark, raw_entries(spark, [_one(12 * day, "9000")]), whole, 2)
+    assert _fees(spark, parts) == _fees(spark, whole)
+    rewritten = {(r["batch_id"], (r["snapshot_date"] - minute(0).date()).days) for r in spark.read.parquet(parts.path("rewrites")).collect()}
+    assert rewritten == {(2, 2), (2, 3), (3, 2), (3, 3), (3, 6), (3, 9), (3, 11)}
+
+
+def test_first_sight_that_arrives_late(spark, scratch):
+    t = Tables(scratch + "/t")
+    load_snapshot(spark, raw_entries(spark, [_one(5, "30")]), t, 1)
+    load_snapshot(spark, raw_entries(spark, [_one(1, "4"), _one(2, "6")]), t, 2)
+    assert [(at.minute, f) for _, at, f in _fees(spark, t)] == [(1, 0.0), (2, 2.0), (5, 24.0)]
+
+
+def test_quiet_batch_reads_no_history(spark, scratch, monkeypatch):
+    t = Tables(scratch + "/t")
+    load_snapshot(spark, raw_entries(spark, [_one(0, "1")]), t, 1)
+    monkeypatch.setattr(Tables, "facts", None)
+    load_snapshot(spark, raw_entries(spark, [_one(1, "2")]), t, 2)
+
+
+def test_another_attempt_without_rows_leaves_none(spark, scratch):
+    t = Tables(scratch + "/t")
+    load_snapshot(spark, raw_entries(spark, [_one(0, "1"), _one(0, "x", "B")]), t, 1)
+    load_snapshot(spark, raw_entries(spark, []), t, 1)
+    for name in ("raw", "rejected", "tokens", "pairs", "history", "snapshots", "counters"):
+        assert t._read(spark, name, spark.read.parquet(t.batch_path("raw", 1)).schema if name in ("raw", "rejected") else getattr(schema, "STORED_HISTORY" if name == "history" else name.upper()), None).count() == 0, name
+
+
 def test_constraint_report_counts_violations(spark):
     import datetime as dt
 

@@ -129,7 +129,9 @@ def test_single_pass_summaries_equal_per_timeframe(spark):
     for n in (5, 15, 30):
         one = sorted(tuple(r) for r in M.summary(h, p, n).collect())
         part = sorted(tuple(r)[1:] for r in allx.filter(f"timeframe = {n}").collect())
-        assert one == part
+        # Merged variances agree up to the last digits.
+        assert len(one) == len(part)
+        assert all(a == b or a == pytest.approx(b, rel=1e-9) for x, y in zip(one, part) for a, b in zip(x, y))
 
 
 def test_detail_timeframe_is_global(spark):

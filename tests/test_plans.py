@@ -64,3 +64,41 @@ def test_view_windows_share_one_shuffle(stored):
     assert shuffles == ["pair_id", "pair_id"], shuffles
     above_join = top.split("Join")[0]
     assert "Exchange" not in above_join
+
+
+def test_first_rows_need_no_sort_aggregate(spark):
+    from tidepool.operators import ingest as I
+
+    raw = td.events_raw_snapshots(spark, SF)
+    staged = I.stage_snapshot(raw)
+    tokens = spark.createDataFrame([], "id long, mint string, symbol string")
+    pairs = spark.createDataFrame([], "pair_address string")
+    for df in (staged, I.new_tokens(staged, tokens), I.new_pairs(staged, tokens, pairs)):
+        txt = plan(df)
+        # A row a key and task goes to the shuffle.
+        assert "SortAggregate" not in txt and "WindowGroupLimit" in txt
+
+
+def test_timeframes_copy_no_facts(stored):
+    h, p = stored
+    txt = plan(M.summaries(h, p, (5, 15, 30)))
+    tree = txt.split("\n\n")[0]
+    # Rows are multiplied by timeframe above the aggregates by (pair, band) only.
+    assert "SortAggregate" not in txt
+    lines = [x for x in tree.splitlines() if "Generate" in x or "HashAggregate" in x]
+    generates = [i for i, x in enumerate(lines) if "Generate" in x]
+    assert generates and all(any("HashAggregate" in y for y in lines[i:]) for i in generates)
+
+
+def test_heavy_keys_meet_where_they_lie(spark):
+    from tidepool.operators import heavy
+
+    rows = spark.range(20000).selectExpr("IF(id % 10 = 0, id, 7) AS k", "id AS v")
+    side = spark.range(20000).selectExpr("id AS k", "id * 2 AS w")
+    assert heavy.heavy_keys(rows, "k") == [7]
+    joined = heavy.join_heavy(rows, side, "k")
+    assert joined.count() == 20000 and joined.filter("w != 2 * k").count() == 0
+    assert heavy.join_heavy(rows.filter("k != 7"), side, "k").count() == 2000
+    assert heavy.join_heavy(rows.limit(0), side, "k").count() == 0
+    txt = plan(joined)
+    assert "BroadcastHashJoin" in txt and "Union" in txt

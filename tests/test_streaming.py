@@ -1,6 +1,6 @@
 """The foreachBatch loader over snapshot files equals the batch load."""
 
-from helpers import raw_entries
+from helpers import minute, raw_entries
 from pyspark.sql import functions as F
 
 from tidepool.sources.tables import Tables
@@ -57,21 +57,50 @@ def test_staging_stream_reads_json_pages(spark, scratch):
 
 
 def test_late_row_and_new_checkpoint_lose_nothing(spark, scratch):
-    """Minutes 0, 40, 41, then 5: the late one is kept aside, and a second
+    """Minutes 0, 40, 41, then 5: the late one is merged, and a second
     checkpoint over the same tables takes new batch ids."""
     src, t = scratch + "/feed", Tables(scratch + "/tables")
     for m in (0, 40, 41, 5):
         rows = [{"m": m, "address": "A", "counter": str(10 + m), "name": "A-Q", "mint_x": "A", "mint_y": "q"}]
         raw_entries(spark, rows).coalesce(1).write.mode("append").parquet(src)
     ingest_stream(spark, src, t, scratch + "/ckpt", max_files_per_trigger=1).awaitTermination()
-    minutes = sorted(r["created_at"].minute for r in t.history(spark).collect())
-    late = [r["created_at"].minute for r in spark.read.parquet(t.path("late")).collect()]
-    assert sorted(minutes + late) == [0, 5, 40, 41]
+    fees = sorted((r["created_at"].minute, r["fees"]) for r in t.history(spark).collect())
+    assert fees == [(0, 0.0), (5, 5.0), (40, 35.0), (41, 1.0)]
     ingest_stream(spark, src, t, scratch + "/ckpt2", max_files_per_trigger=4).awaitTermination()
-    assert sorted(r["created_at"].minute for r in t.history(spark).collect()) == minutes
+    assert sorted((r["created_at"].minute, r["fees"]) for r in t.history(spark).collect()) == fees
     assert spark.read.parquet(t.path("raw")).count() == 8
 
 
+def _staged(spark, folder):
+    return sorted((r["created_at"], r["address"], r["cumulative_fee_volume"]) for r in spark.read.parquet(folder).collect())
+
+
+def test_staging_stream_with_late_rows_and_replays(spark, scratch):
+    """Rows far behind the watermark leave by the side exit: the new ones are kept
+    once, the stored ones dropped; a second stream adds nothing."""
+    from tidepool.streaming.ingest import stage_stream
+
+    day = 24 * 60
+    entry = lambda m, c="1", a="A": {"m": m, "address": a, "counter": c}
+    files = [
+        [entry(0), entry(0, a="B")],
+        [entry(5 * day), entry(5 * day)],  # a repeat within a file
+        [entry(5 * day), entry(5 * day + 1)],  # a replay within the delay
+        [entry(0), entry(1 * day), entry(1 * day), entry(5 * day, "2")],  # behind: a replay, and a late row twice
+        [entry(1 * day), entry(6 * day)],  # behind: a replay of the late row
+    ]
+    for f in files:
+        raw_entries(spark, f).coalesce(1).write.mode("append").parquet(scratch + "/feed")
+    want = sorted({(minute(e["m"]), e["address"], e["counter"]) for f in files for e in f})
+    for checkpoint in ("/one", "/two"):
+        stage_stream(spark, scratch + "/feed", scratch + "/staged", scratch + checkpoint, max_files_per_trigger=1, state_partitions=2).awaitTermination()
+        assert _staged(spark, scratch + "/staged") == want
+    # New files go on where the first stream ended.
+    raw_entries(spark, [entry(2 * day), entry(6 * day), entry(7 * day)]).coalesce(1).write.mode("append").parquet(scratch + "/feed")
+    stage_stream(spark, scratch + "/feed", scratch + "/staged", scratch + "/one", max_files_per_trigger=1, state_partitions=2).awaitTermination()
+    assert _staged(spark, scratch + "/staged") == sorted([*want, (minute(2 * day), "A", "1"), (minute(7 * day), "A", "1")])
+
+
 def _page_files(folder):
     """A whole page, a truncated one, one with a field of a wrong type, one
     without pairs, and two entries that lack their address."""

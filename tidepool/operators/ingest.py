@@ -5,11 +5,11 @@ the results.  A batch may hold one snapshot or many: first sight, the x-before-y
 symbol priority and the counter deltas are all resolved by ``created_at``
 inside the batch, seeded from the stored state.
 
-Skew: the only groupings are by (snapshot, address), by address, by mint and
-by (snapshot, page batch); all are aggregations with map-side partial
-combine, so a hot address or snapshot is pre-reduced before any shuffle.  The
-one window (counter lag) is partitioned by pair after the per-snapshot
-dedupe, so a partition holds at most one row per snapshot of the batch.
+Skew: the groupings are by (snapshot, address), by address, by mint and by
+(snapshot, page batch); all are aggregations or first-row windows that Spark
+reduces map-side, so a hot address, mint or snapshot shrinks before any shuffle.
+The counter lag is a window by pair after the per-snapshot dedupe, so a partition
+holds at most one row per snapshot of the batch.
 """
 
 from __future__ import annotations
@@ -110,12 +110,25 @@ def stage_snapshot(raw: DataFrame) -> DataFrame:
         F.coalesce(F.col("is_blacklisted"), F.lit(False)).alias("is_blacklisted"),
     )
     fields = [c for c in typed.columns if c not in ("created_at", "address")]
-    best = F.min(F.struct(*fields)).alias("best")
-    dedup = (
-        typed.groupBy("created_at", "address").agg(best)
-    )
-    x, y = split_name(F.col("best.name"))
-    return dedup.select("created_at", "address", *[F.col(f"best.{f}").alias(f) for f in fields], x.alias("x"), y.alias("y"))
+    x, y = split_name(F.col("name"))
+    return _first(typed, ["created_at", "address"], fields).select("created_at", "address", *fields, x.alias("x"), y.alias("y"))
+
+
+def _first(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key: Spark keeps one row a key and task before the
+    shuffle (a group limit), so a frequent key is reduced where it lies."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn("nth", F.row_number().over(w)).filter(F.col("nth") == 1).drop("nth")
+
+
+# Why an entry cannot be loaded, in the order in which they are looked at.
+REASONS = ("json", "created_at", "address", "counter", "mint", "name", "bin_step", "base_fee_percentage", "current_price", "liquidity", "page")
+
+
+def reject_reason(raw: DataFrame, cutoff: bool, mints: bool = True) -> Column:
+    """The first of ``REASONS`` that holds for an entry, or NULL."""
+    reason = _reason(raw, mints)
+    return F.coalesce(reason, F.when(F.col("page").isNull(), F.lit("page"))) if cutoff else reason
 
 
 def _reason(raw: DataFrame, mints: bool = True) -> Column:
@@ -142,8 +155,7 @@ def rejected_entries(raw: DataFrame, cutoff: bool = False) -> DataFrame:
     """Raw entries that cannot be loaded, with the reason; ``stage_snapshot``
     leaves them out.  With ``cutoff`` also those without a page number, which the
     activity cut-off cannot place."""
-    reason = F.coalesce(_reason(raw), F.when(F.col("page").isNull(), F.lit("page"))) if cutoff else _reason(raw)
-    return raw.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    return raw.withColumn("reason", reject_reason(raw, cutoff)).filter(F.col("reason").isNotNull())
 
 
 def new_tokens(staged: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -156,12 +168,7 @@ def new_tokens(staged: DataFrame, tokens: DataFrame) -> DataFrame:
     sides = staged.select("created_at", F.col("mint_x").alias("mint"), F.lit(0).alias("side"), F.col("x").alias("symbol")).unionByName(
         staged.select("created_at", F.col("mint_y").alias("mint"), F.lit(1).alias("side"), F.col("y").alias("symbol"))
     )
-    first = (
-        sides.filter(F.col("mint").isNotNull())
-        .groupBy("mint")
-        .agg(F.min(F.struct("created_at", "side", "symbol")).alias("f"))
-        .select("mint", F.col("f.symbol").alias("symbol"))
-    )
+    first = _first(sides.filter(F.col("mint").isNotNull()), ["mint"], ["created_at", "side", "symbol"])
     fresh = first.join(tokens.select("mint"), "mint", "left_anti")
     return fresh.select(token_id(F.col("mint")).alias("id"), "mint", "symbol")
 
@@ -169,22 +176,21 @@ def new_tokens(staged: DataFrame, tokens: DataFrame) -> DataFrame:
 def new_pairs(staged: DataFrame, tokens: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs first seen in this batch, with attributes of their first snapshot.
 
-    ``tokens`` must already contain this batch's new tokens.  Pairs whose
-    address is stored already are skipped: stored attributes never change.
+    ``tokens`` must already contain this batch's new tokens, and so every mint of
+    ``staged``: token ids are hashes of the mints, so they are computed rather than
+    joined (a mint that most pairs share would meet in one task), and
+    ``constraint_report`` looks for orphans.  Pairs whose address is stored already
+    are skipped: stored attributes never change.  A pair needs both its mints.
     """
     attrs = ["name", "mint_x", "mint_y", "bin_step", "base_fee_percentage", "hide", "is_blacklisted"]
-    first = staged.groupBy("address").agg(F.min_by(F.struct(*attrs), F.col("created_at")).alias("f"))
-    first = first.select("address", *[F.col(f"f.{a}").alias(a) for a in attrs])
+    first = _first(staged.select("created_at", "address", *attrs), ["address"], ["created_at", *attrs])
     fresh = first.join(pairs.select(F.col("pair_address").alias("address")), "address", "left_anti")
-    tx = tokens.select(F.col("mint").alias("mint_x"), F.col("id").alias("mint_x_id"))
-    ty = tokens.select(F.col("mint").alias("mint_y"), F.col("id").alias("mint_y_id"))
-    joined = fresh.join(tx, "mint_x").join(ty, "mint_y")
-    return joined.select(
+    return fresh.filter(F.col("mint_x").isNotNull() & F.col("mint_y").isNotNull()).select(
         pair_id(F.col("address")).alias("id"),
         F.col("address").alias("pair_address"),
         "name",
-        "mint_x_id",
-        "mint_y_id",
+        token_id(F.col("mint_x")).alias("mint_x_id"),
+        token_id(F.col("mint_y")).alias("mint_y_id"),
         "bin_step",
         "base_fee_percentage",
         "hide",
@@ -192,7 +198,9 @@ def new_pairs(staged: DataFrame, tokens: DataFrame, pairs: DataFrame) -> DataFra
     )
 
 
-def _with_state(staged: DataFrame, counters: DataFrame) -> DataFrame:
+def with_state(staged: DataFrame, counters: DataFrame) -> DataFrame:
+    """Staged rows beside their pair's stored counter (J3): ``stored`` and
+    ``stored_at``, NULL at first sight."""
     rows = staged.select(
         "created_at", "address", pair_id(F.col("address")).alias("pair_id"), "counter", "current_price", "liquidity"
     )
@@ -206,6 +214,25 @@ def _in_order() -> F.Column:
     return F.col("stored_at").isNull() | (F.col("created_at") > F.col("stored_at"))
 
 
+def _fact(fees: Column) -> list[Column | str]:
+    return [
+        "created_at",
+        "pair_id",
+        "address",
+        F.col("current_price").cast("float").alias("price"),
+        F.col("liquidity").cast("float").alias("liquidity"),
+        fees.cast("float").alias("fees"),
+        "counter",
+    ]
+
+
+def deltas_in_order(rows: DataFrame) -> DataFrame:
+    """``fee_deltas`` of rows that ``with_state`` has placed."""
+    w = Window.partitionBy("pair_id").orderBy("created_at")
+    prev = F.coalesce(F.lag("counter").over(w), F.col("stored"), F.col("counter"))
+    return rows.filter(_in_order()).select(*_fact(F.col("counter") - prev))
+
+
 def fee_deltas(staged: DataFrame, counters: DataFrame) -> DataFrame:
     """History rows with per-snapshot fees from the cumulative counter.
 
@@ -216,32 +243,63 @@ def fee_deltas(staged: DataFrame, counters: DataFrame) -> DataFrame:
     Rows not newer than the pair's stored counter are late and left to
     ``late_entries``.
     """
-    rows = _with_state(staged, counters).filter(_in_order())
-    w = Window.partitionBy("pair_id").orderBy("created_at")
-    prev = F.coalesce(F.lag("counter").over(w), F.col("stored"), F.col("counter"))
-    return rows.select(
-        "created_at",
-        "pair_id",
-        "address",
-        F.col("current_price").cast("float").alias("price"),
-        F.col("liquidity").cast("float").alias("liquidity"),
-        (F.col("counter") - prev).alias("fees"),
-    )
+    return deltas_in_order(with_state(staged, counters))
+
+
+def late_rows(rows: DataFrame) -> DataFrame:
+    """``late_entries`` of rows that ``with_state`` has placed."""
+    return rows.filter(~_in_order()).select(*_fact(F.lit(None)))
 
 
 def late_entries(staged: DataFrame, counters: DataFrame) -> DataFrame:
     """Staged rows at or before their pair's stored counter (a snapshot that
-    arrives after a newer one was loaded).  They are kept apart, not loaded:
-    loading them would rewrite the deltas of the later snapshots."""
-    return _with_state(staged, counters).filter(~_in_order()).drop("stored", "stored_at")
+    arrives after a newer one was loaded), or replays of stored ones."""
+    return late_rows(with_state(staged, counters))
+
+
+def neighbours(late: DataFrame, stored: DataFrame) -> DataFrame:
+    """Late rows among the stored rows of their pairs: as history rows with
+    ``is_late``, and ``after_late`` for the row right behind a late one.
+
+    ``stored`` are the fact rows from the oldest late date on.  Late rows whose
+    snapshot and pair are stored are replays and left out.  Fees are taken from
+    the row before; where a late row has none, they are NULL (``first_fees``).
+    A window holds one pair's rows of those dates."""
+    own = stored.join(late.select("pair_id").distinct(), "pair_id", "left_semi")
+    fresh = late.join(own.select("pair_id", "created_at"), ["pair_id", "created_at"], "left_anti")
+    columns = ["created_at", "pair_id", "price", "liquidity", "fees", "counter"]
+    both = own.select(*columns, F.lit(False).alias("is_late")).unionByName(fresh.select(*columns, F.lit(True).alias("is_late")))
+    w = Window.partitionBy("pair_id").orderBy("created_at")
+    placed = both.withColumn("before", F.lag("counter").over(w)).withColumn("after_late", F.coalesce(F.lag("is_late").over(w), F.lit(False)))
+    changed = placed.filter(F.col("is_late") | F.col("after_late"))
+    # A stored row whose counter was not kept has nothing to difference.
+    fees = F.when(F.col("counter").isNull(), F.col("fees")).otherwise(F.col("counter") - F.col("before"))
+    first = F.col("is_late") & F.col("before").isNull()
+    return changed.select("created_at", "pair_id", "price", "liquidity", fees.alias("fees"), "counter", "is_late", first.alias("first"))
+
+
+def first_fees(changed: DataFrame, older: DataFrame) -> DataFrame:
+    """Fees of the changed rows that have no row before them among ``neighbours``:
+    taken from the pair's newest row in ``older``, else a first sight."""
+    last = older.join(changed.filter("first").select("pair_id").distinct(), "pair_id", "left_semi")
+    last = last.groupBy("pair_id").agg(F.max_by("counter", "created_at").alias("last"))
+    fees = F.when(F.col("first"), F.col("counter") - F.coalesce("last", "counter")).otherwise(F.col("fees"))
+    return changed.join(last, "pair_id", "left").withColumn("fees", fees).drop("last")
+
+
+def newest_counters(rows: DataFrame) -> DataFrame:
+    """Each pair's newest counter of rows (``pair_id``, ``created_at``, ``counter``):
+    what a batch changes in the counter state."""
+    return rows.groupBy("pair_id").agg(
+        F.max_by("counter", "created_at").alias("cumulative_fee_volume"), F.max("created_at").alias("updated_at")
+    )
 
 
 def counter_upsert(staged: DataFrame, counters: DataFrame) -> DataFrame:
     """New last-counter state (S10, J7): the batch's newest counter per pair,
     else the stored one; late rows never move the state back."""
-    fresh = _with_state(staged, counters).filter(_in_order())
-    latest = fresh.groupBy("pair_id").agg(
-        F.max_by("counter", "created_at").alias("new_counter"), F.max("created_at").alias("new_at")
+    latest = newest_counters(with_state(staged, counters).filter(_in_order())).select(
+        "pair_id", F.col("cumulative_fee_volume").alias("new_counter"), F.col("updated_at").alias("new_at")
     )
     merged = counters.join(latest, "pair_id", "full_outer")
     return merged.select(

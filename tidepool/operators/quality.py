@@ -37,8 +37,9 @@ def _rules(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame:
 
 
 def _orphans(child: DataFrame, key: Column, parent: DataFrame, parent_key: str, table: str, rule: str) -> DataFrame:
+    """Rows whose key is in no parent row; those without a key break a null rule."""
     keys = parent.select(F.col(parent_key).alias("_k"))
-    missing = child.join(keys, key == keys["_k"], "left_anti")
+    missing = child.filter(key.isNotNull()).join(keys, key == keys["_k"], "left_anti")
     return missing.agg(F.count(F.lit(1)).alias("violations")).select(
         F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations"
     )
@@ -56,6 +57,7 @@ def constraint_report(
             tokens,
             "tokens",
             {
+                "null_id": _nulls(F.col("id").isNull()),
                 "null_mint": _nulls(F.col("mint").isNull()),
                 "duplicate_mint": _extra_rows("mint"),
                 "duplicate_id": _extra_rows("id"),
@@ -65,7 +67,9 @@ def constraint_report(
             pairs,
             "pairs",
             {
+                "null_id": _nulls(F.col("id").isNull()),
                 "null_pair_address": _nulls(F.col("pair_address").isNull()),
+                **{f"null_{c}": _nulls(F.col(c).isNull()) for c in ("name", "mint_x_id", "mint_y_id", "bin_step", "base_fee_percentage", "hide", "is_blacklisted")},
                 "duplicate_pair_address": _extra_rows("pair_address"),
                 "duplicate_id": _extra_rows("id"),
             },
@@ -77,12 +81,22 @@ def constraint_report(
             history,
             "pair_history",
             {
+                "null_created_at": _nulls(F.col("created_at").isNull()),
+                "null_pair_id": _nulls(F.col("pair_id").isNull()),
                 "duplicate_pair_snapshot": _extra_rows("pair_id", "created_at"),
                 "null_price_or_liquidity": _nulls(F.col("price").isNull() | F.col("liquidity").isNull()),
             },
         ),
         _orphans(counters, F.col("pair_id"), pairs, "id", "counters", "orphan_pair"),
-        _rules(counters, "counters", {"duplicate_pair": _extra_rows("pair_id")}),
+        _rules(
+            counters,
+            "counters",
+            {
+                "null_pair_id": _nulls(F.col("pair_id").isNull()),
+                "null_counter": _nulls(F.col("cumulative_fee_volume").isNull()),
+                "duplicate_pair": _extra_rows("pair_id"),
+            },
+        ),
     ]
     if raw is not None:
         parts.append(

@@ -37,6 +37,12 @@ def latest_snapshots(history: DataFrame, n: int) -> DataFrame:
     )
 
 
+def readiness(history: DataFrame) -> DataFrame:
+    """One row, whatever the history holds: its number of snapshots and whether they
+    are enough to show a summary (P14: at least five)."""
+    return update_count(history).select("update_count", (F.col("update_count") >= F.lit(MIN_SNAPSHOTS)).alias("ready"))
+
+
 def eligible_timeframes(history: DataFrame, timeframes=TIMEFRAMES) -> DataFrame:
     """Timeframes that have enough snapshots (P12) plus the readiness gate.
 

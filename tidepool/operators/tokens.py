@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepool.operators.heavy import join_heavy
+
 # Quote-token mints of the live feed.
 SOL_MINT = "So11111111111111111111111111111111111111112"
 USDC_MINT = "EPjFWdd5AufqSSqeM2qN1xzybapC8G4wEGGkZwyTDt1v"
@@ -38,7 +40,8 @@ def base_tokens(
     y = F.struct(F.lit(1).alias("side"), F.col("mint_y_id").alias("tid"))
     both = F.when(F.col("mint_x_id") == F.col("mint_y_id"), F.array(x)).otherwise(F.array(x, y))
     sides = pairs.select("pair_address", F.explode(both).alias("c")).select("pair_address", "c.side", "c.tid")
-    cand = sides.join(tokens.select(F.col("id").alias("tid"), "mint", "symbol"), "tid")
+    # A quote token is in most pairs: its rows must not meet in one task.
+    cand = join_heavy(sides, tokens.select(F.col("id").alias("tid"), "mint", "symbol"), "tid")
     prio = F.when(~F.col("mint").isin(*quote_mints), F.lit(0))
     for i, m in enumerate(preferred):
         prio = prio.when(F.col("mint") == F.lit(m), F.lit(i + 1))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +23,14 @@ from tidepool.operators.tokens import base_tokens, token_scores
 from tidepool.plans import metrics as M
 from tidepool.plans.dashboard import freshness, pair_header
 from tidepool.plans.load import load_snapshot
+from tidepool.plans.refresh import current_summaries
 from tidepool.plans.views import pair_row, register_views
-from tidepool.schema import COUNTERS
+from tidepool.schema import COUNTERS, PAIRS, RAW_ENTRY
 from tidepool.session import checkpoint_dir
 from tidepool.sources import testdata as td
-from tidepool.sources.snapshots import read_entries
+from tidepool.sources.snapshots import export, read_entries, read_payload
 from tidepool.sources.tables import Tables
-from tidepool.streaming.ingest import stage_stream
+from tidepool.streaming.ingest import history_stream, ingest_stream, stage_stream
 
 # The pools whose detail series the catalog shows.
 DETAIL_CUSTOMER = "Customer#000000007"
@@ -99,6 +101,29 @@ def _loaded(spark: SparkSession, sf_dir: str) -> Tables:
     return _LOADED[key]
 
 
+# The first days of parts of the events feed, and the order in which
+# ``late_merged`` loads them: two parts arrive after newer ones.
+LATE_PARTS = ("2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22")
+LATE_ORDER = (0, 2, 1, 3)
+
+
+def _parts(raw: DataFrame, order: tuple[int, ...]) -> list[DataFrame]:
+    """The feed in parts of whole days, in the order given."""
+    at = F.col("created_at")
+    lows = [F.lit(d).cast("timestamp_ntz") for d in LATE_PARTS]
+    inside = [(at >= low if k else F.lit(True)) & (at < lows[k + 1] if k + 1 < len(lows) else F.lit(True)) for k, low in enumerate(lows)]
+    return [raw.filter(inside[k]) for k in order]
+
+
+def _q_late_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days loaded in another order than theirs: late rows are merged into the
+    history, so its rows are those of ``fee_delta``."""
+    tables = Tables(f"{checkpoint_dir(spark)}/tidepool-late-{uuid.uuid4().hex}")
+    for batch_id, part in enumerate(_parts(td.events_raw_snapshots(spark, sf_dir), LATE_ORDER), 1):
+        load_snapshot(spark, part, tables, batch_id, cutoff=False)
+    return _history_by_pair(spark, tables)
+
+
 def _pair_names(spark: SparkSession, t: Tables) -> DataFrame:
     return t.pairs(spark).select(F.col("id").alias("pair_id"), "pair_address")
 
@@ -155,7 +180,10 @@ def _q_new_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _q_fee_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _loaded(spark, sf_dir)
+    return _history_by_pair(spark, _loaded(spark, sf_dir))
+
+
+def _history_by_pair(spark: SparkSession, t: Tables) -> DataFrame:
     return t.history(spark).join(_pair_names(spark, t), "pair_id").select(
         "created_at",
         "pair_address",
@@ -186,6 +214,7 @@ QUERIES.update(
         "new_tokens": _q_new_tokens,
         "new_pairs": _q_new_pairs,
         "fee_delta": _q_fee_delta,
+        "late_merged": _q_late_merged,
         "counter_upsert": _q_counter_upsert,
         "constraint_report": _q_constraint_report,
     }
@@ -279,16 +308,20 @@ STREAM_REPLAY_DAY = "2024-01-20"
 
 
 def _q_stream_fee_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed files -> staging stream (replays dropped) -> batch staging and
+    """Feed files, some of them late by more than the state's delay, and a replayed
+    day -> staging stream (replays dropped, late rows kept) -> batch staging and
     counter deltas.  Same rows as ``fee_delta``."""
     root = f"{checkpoint_dir(spark)}/tidepool-stream-{uuid.uuid4().hex}"
-    raw = td.events_raw_snapshots(spark, sf_dir)
-    # Range-partitioned files hold whole days; the replayed day is written again.
-    raw.repartitionByRange(4, "created_at").write.parquet(f"{root}/feed")
-    day = F.col("created_at") == F.lit(STREAM_REPLAY_DAY).cast("timestamp_ntz")
-    raw.filter(day).write.mode("append").parquet(f"{root}/feed")
+    raw = td.events_raw_snapshots(spark, sf_dir).persist()
+    try:
+        for part in _parts(raw, LATE_ORDER):
+            part.coalesce(1).write.mode("append").parquet(f"{root}/feed")
+        day = F.col("created_at") == F.lit(STREAM_REPLAY_DAY).cast("timestamp_ntz")
+        raw.filter(day).coalesce(1).write.mode("append").parquet(f"{root}/feed")
+    finally:
+        raw.unpersist()
     q = stage_stream(
-        spark, f"{root}/feed", f"{root}/staged", f"{root}/_checkpoint", max_files_per_trigger=1
+        spark, f"{root}/feed", f"{root}/staged", f"{root}/_checkpoint", max_files_per_trigger=1, delay="2 days", state_partitions=8
     )
     q.awaitTermination()
     staged = I.stage_snapshot(spark.read.parquet(f"{root}/staged"))
@@ -303,7 +336,118 @@ def _q_stream_fee_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES["stream_fee_delta"] = _q_stream_fee_delta
+# Fixed value: blocks of four days for a history of daily snapshots.
+STREAM_BLOCK_SECONDS = 4 * 86400
+# Fixed value: epochs between two refreshes of the summaries.
+STREAM_REFRESH_EVERY = 10
+
+
+def _q_stream_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events history fed to ``history_stream`` snapshot by snapshot (30 epochs),
+    blocks sealed on the way; the summaries are those of the last refresh.  Same
+    rows as ``summaries_all``."""
+    root = f"{checkpoint_dir(spark)}/tidepool-current-{uuid.uuid4().hex}"
+    history = td.events_history(spark, sf_dir)
+    # One file a snapshot.
+    day = F.col("created_at").cast("date").alias("day")
+    history.repartition("created_at").select("*", day).write.partitionBy("day").parquet(f"{root}/feed")
+    tables = Tables(f"{root}/tables")
+    pairs = td.customer_pairs(spark, sf_dir).select(*PAIRS.fieldNames())
+    tables.write(pairs, "pairs", 0)
+    q = history_stream(
+        spark, f"{root}/feed", tables, f"{root}/_checkpoint", max_files_per_trigger=1,
+        block_seconds=STREAM_BLOCK_SECONDS, refresh_every=STREAM_REFRESH_EVERY,
+    )
+    q.awaitTermination()
+    return current_summaries(spark, tables, tables.last_loaded(spark) + 1, STREAM_BLOCK_SECONDS)
+
+
+def _q_summary_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs with several rows at the newest snapshot: a summary row for each."""
+    return M.summary(td.events_history_peers(spark, sf_dir), td.customer_pairs(spark, sf_dir), 15)
+
+
+QUERIES.update(
+    {
+        "stream_fee_delta": _q_stream_fee_delta,
+        "stream_summaries": _q_stream_summaries,
+        "summary_duplicates": _q_summary_duplicates,
+        "readiness": lambda s, d: SN.readiness(td.events_history(s, d)),
+        "readiness_young": lambda s, d: SN.readiness(td.events_history_young(s, d)),
+    }
+)
+
+
+# ---------------------------------------------------------------------------
+# The payload as the feed delivers it, a dirty feed accounted for, and an export.
+# ---------------------------------------------------------------------------
+
+
+def _q_load_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day's pages written as ``{pairs: [...]}`` files, read as that day's poll
+    (page from the file's path, snapshot from the argument) and loaded with the
+    activity cut-off."""
+    root = f"{checkpoint_dir(spark)}/tidepool-pages-{uuid.uuid4().hex}"
+    raw = td.events_raw_snapshots(spark, sf_dir)
+    day = F.col("created_at").cast("date").cast("string").alias("day")
+    pages = raw.groupBy(day, "page").agg(F.collect_list(F.struct(*RAW_ENTRY.fieldNames())).alias("pairs"))
+    pages.write.partitionBy("day", "page").json(f"{root}/feed")
+    days = [r["day"] for r in raw.select(day).distinct().collect()]
+    polls = [read_payload(spark, f"{root}/feed/day={d}", created_at=d) for d in sorted(days)]
+    tables = Tables(f"{root}/tables")
+    load_snapshot(spark, reduce(DataFrame.unionByName, polls), tables, 1)
+    return _history_by_pair(spark, tables)
+
+
+def _q_load_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of a feed that breaks every rule, late rows and replays included:
+    where each row went, counted while the batches were written."""
+    tables = Tables(f"{checkpoint_dir(spark)}/tidepool-dirty-{uuid.uuid4().hex}")
+    feed = td.events_dirty_feed(spark, sf_dir)
+    found = []
+    for batch in (1, 2):
+        part = feed.filter(F.col("batch") == batch).drop("batch")
+        counts = load_snapshot(spark, part, tables, batch, report=True)
+        found += [(batch, outcome, int(n)) for outcome, n in counts.items()]
+    return spark.createDataFrame(found, "batch int, outcome string, rows long")
+
+
+def _q_constraint_report_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = td.events_dirty_feed(spark, sf_dir)
+    return constraint_report(*td.unguarded_tables(feed), raw=feed)
+
+
+def _q_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A summary exported as CSV (S13) and read back."""
+    out = M.summary(*_ev(spark, sf_dir), 30)
+    path = f"{checkpoint_dir(spark)}/tidepool-export-{uuid.uuid4().hex}"
+    export(out, path)
+    return spark.read.schema(out.schema).option("header", True).csv(path)
+
+
+def _q_stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events feed loaded by ``ingest_stream`` in four epochs, one of them late:
+    the counter state merged from its changes (T2, T3)."""
+    root = f"{checkpoint_dir(spark)}/tidepool-ingest-{uuid.uuid4().hex}"
+    for part in _parts(td.events_raw_snapshots(spark, sf_dir), LATE_ORDER):
+        # All in one page batch: the cut-off keeps them.
+        part.withColumn("page", F.lit(0)).coalesce(1).write.mode("append").parquet(f"{root}/feed")
+    tables = Tables(f"{root}/tables")
+    ingest_stream(spark, f"{root}/feed", tables, f"{root}/_checkpoint", max_files_per_trigger=1).awaitTermination()
+    return tables.counters(spark).join(_pair_names(spark, tables), "pair_id").select(
+        "pair_address", F.col("cumulative_fee_volume").cast("double").alias("cumulative_fee_volume"), "updated_at"
+    )
+
+
+QUERIES.update(
+    {
+        "load_pages": _q_load_pages,
+        "load_accounting": _q_load_accounting,
+        "constraint_report_dirty": _q_constraint_report_dirty,
+        "export_roundtrip": _q_export_roundtrip,
+        "stream_counters": _q_stream_counters,
+    }
+)
 
 
 # ---------------------------------------------------------------------------

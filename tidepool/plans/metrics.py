@@ -14,11 +14,12 @@ Physical shape
   most one row per snapshot (the loader keeps one entry per address and
   snapshot; ``constraint_report`` checks it), so a window partition is bounded
   by N rows.
-* **Aggregate form** (summary default): at the newest row a running window over
+* **Aggregate form** (summary default): at the newest rows a running window over
   the pair's series equals a plain group aggregate over the same rows, and the
-  lag at that row is the price at the pair's previous snapshot.  So the summary
-  is a partial + final hash aggregate by pair — no sort, and a hot pair is
-  pre-combined map-side before the shuffle.
+  lag there is the price at the pair's previous snapshot.  So the summary is a
+  partial + final hash aggregate by pair — no sort, and a hot pair is
+  pre-combined map-side before the shuffle.  The pair's rows at the latest
+  snapshot are read beside it and the statistics fanned back to them.
 * Pairs are joined after aggregation (one row per pair instead of one per
   history row); Spark picks broadcast or shuffle from the measured size.
 """
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidepool.operators.measures import cached_columns, first_level, project, second_level
+from tidepool.operators.moments import PARTIAL, band_of, by_timeframe, moment_columns, statistics
 from tidepool.operators.snapshots import latest_snapshots
 from tidepool.schema import PRESENCE_SHARE, TIMEFRAMES
 
@@ -76,14 +78,18 @@ def _facts(history: DataFrame, snaps: DataFrame, lo: Column | None, lo_date: Col
         history = history.filter(F.col("created_at") >= lo)
         if "snapshot_date" in history.columns:
             history = history.filter(F.col("snapshot_date") >= lo_date)
-    h = history.select(
+    return widened(history).join(snaps, "created_at")
+
+
+def widened(history: DataFrame) -> DataFrame:
+    """History rows with their values as doubles."""
+    return history.select(
         "created_at",
         "pair_id",
         F.col("price").cast("double").alias("price"),
         F.col("liquidity").cast("double").alias("liquidity"),
         F.col("fees").cast("double").alias("fees"),
     )
-    return h.join(snaps, "created_at")
 
 
 def _live_pairs(pairs: DataFrame) -> DataFrame:
@@ -175,64 +181,53 @@ def _window_summary(history: DataFrame, pairs: DataFrame, n: int, second: str, s
 # ---------------------------------------------------------------------------
 
 
-def _pair_aggregates(prev_cond: Column, latest_cond: Column) -> list[Column]:
-    price, liq, fees, at = F.col("price"), F.col("liquidity"), F.col("fees"), F.col("created_at")
-    # Scalar max_by per value column (not one struct) keeps every buffer
-    # fixed-width, so the aggregate stays a hash aggregate (a struct buffer
-    # would force a sort-based aggregate on both sides of the shuffle).
-    return [
-        F.count(F.lit(1)).alias("num_minutes"),
-        F.avg(price).alias("avg_price"),
-        F.sum(fees).alias("cumulative_fees"),
-        F.avg(liq).alias("avg_liquidity"),
-        F.stddev_samp(liq).alias("liquidity_sd_raw"),
-        F.count(F.when(fees > F.lit(0.0), F.lit(1))).alias("num_minutes_with_volume"),
-        F.min(price).alias("min_price"),
-        F.max(price).alias("max_price"),
-        F.stddev_samp(price).alias("std_dev_price"),
-        F.max("created_at").alias("dttm"),
-        F.max(latest_cond).alias("at_latest"),
-        F.max_by(price, at).alias("last_price"),
-        F.max_by(liq, at).alias("last_liquidity"),
-        F.max_by(fees, at).alias("last_fees"),
-        # The lag at the newest row: price at the pair's previous snapshot.
-        F.max_by(price, F.when(prev_cond, F.col("created_at"))).alias("prev_price"),
-    ]
-
-
-def _summary_aggregates() -> list[Column]:
-    return cached_columns(
-        "summary_aggregates", lambda: _pair_aggregates(F.col("recency") > F.lit(1), F.col("recency") == F.lit(1))
-    )
-
-
-def _finish_aggregate(agg: DataFrame, pairs: DataFrame, threshold: Column | float, keys: tuple[str, ...]) -> DataFrame:
-    kept = agg.filter(F.col("at_latest") & _presence(threshold))
-    rows = kept.join(_live_pairs(pairs), "pair_id").select(
+def newest_rows(facts: DataFrame) -> DataFrame:
+    """Per pair its rows at the latest snapshot, as an array in the order of their
+    values: one, or peers where the history holds several."""
+    row = F.struct("price", "liquidity", "fees", "created_at")
+    return facts.filter(F.col("recency") == F.lit(1)).groupBy("pair_id").agg(F.array_sort(F.collect_list(row)).alias("newest"))
+
+
+def _finish_aggregate(agg: DataFrame, newest: DataFrame, pairs: DataFrame, threshold: Column | float, keys: tuple[str, ...]) -> DataFrame:
+    """From statistics per pair (and key) to the summary: pairs at the latest
+    snapshot, one row for each of their rows there.  Such peers share all running
+    statistics (the frame ends behind them); each one's lag is the peer before it."""
+    kept = agg.filter(_presence(threshold)).join(newest, "pair_id").join(_live_pairs(pairs), "pair_id")
+    at = F.col("newest")
+    before = F.transform(at, lambda x, i: F.when(i == 0, F.col("prev_price")).otherwise(F.get(at, i - 1)["price"]))
+    kept = kept.withColumn("before", before)
+    kept = kept.withColumn("moves", F.zip_with("before", at, lambda b, x: F.when(b < x["price"], F.lit(1)).when(b > x["price"], F.lit(-1)).otherwise(F.lit(0))))
+    rows = kept.select("*", F.posexplode(at).alias("peer", "row"))
+    rows = rows.select(
         *keys,
         "pair_id",
-        "dttm",
+        F.col("row.created_at").alias("dttm"),
         *PAIR_COLUMNS,
-        F.col("last_price").alias("price"),
-        F.col("last_liquidity").alias("liquidity"),
-        F.col("last_fees").alias("fees"),
+        F.col("row.price").alias("price"),
+        F.col("row.liquidity").alias("liquidity"),
+        F.col("row.fees").alias("fees"),
         "num_minutes",
         "avg_price",
         "cumulative_fees",
         "avg_liquidity",
         "liquidity_sd_raw",
         "num_minutes_with_volume",
-        "prev_price",
+        F.get("before", F.col("peer")).alias("prev_price"),
         "min_price",
         "max_price",
         "std_dev_price",
+        F.size("newest").alias("peers"),
+        F.size(F.filter("moves", lambda m: m > 0)).alias("ups"),
+        F.size(F.filter("moves", lambda m: m < 0)).alias("downs"),
     )
     df = first_level(rows)
-    # Outer windows see one row per pair: the sample stddev of one value is
-    # NULL and the running tick sums are the row's own flags.
+    # The outer windows see a pair's peers only: the sample stddev of one value is
+    # NULL and that of equal ones 0; the running tick sums are over the peers.
     second = cached_columns(
         "second_level_latest",
-        lambda: second_level(F.lit(None).cast("double"), F.col("tick_up").cast("int"), F.col("tick_down").cast("int")),
+        lambda: second_level(
+            F.when((F.col("peers") > 1) & F.col("pct_geek_fees_liquidity_24h").isNotNull(), F.lit(0.0)), F.col("ups"), F.col("downs")
+        ),
     )
     return project(df, keys, second)
 
@@ -240,8 +235,10 @@ def _finish_aggregate(agg: DataFrame, pairs: DataFrame, threshold: Column | floa
 def _aggregate_summary(history: DataFrame, pairs: DataFrame, n: int, snapshots: DataFrame | None) -> DataFrame:
     snaps, lo, lo_date = _snapshot_set(_axis(history, snapshots), n)
     facts = _facts(history, snaps, lo, lo_date)
-    agg = facts.groupBy("pair_id").agg(*_summary_aggregates())
-    return _finish_aggregate(agg, pairs, n * PRESENCE_SHARE, ())
+    parts = cached_columns("summary_moments", lambda: moment_columns(F.col("recency") == F.lit(1)))
+    agg = facts.groupBy("pair_id").agg(*parts)
+    agg = agg.select("pair_id", F.struct(*PARTIAL).alias("stats")).select("pair_id", *statistics("stats"))
+    return _finish_aggregate(agg, newest_rows(facts), pairs, n * PRESENCE_SHARE, ())
 
 
 # ---------------------------------------------------------------------------
@@ -266,8 +263,10 @@ def summary(
     std-dev-of-24h-ratio and tick counts over the surviving row only;
     ``'series'`` evaluates them over the pair's whole series in the timeframe.
     ``method='aggregate'`` (default) is the group-aggregate plan; ``'window'`` is
-    the literal running-window plan, exact also when a pair has several rows at
-    one snapshot.  ``'series'`` always uses the window plan.
+    the literal running-window plan.  A pair with several rows at the latest
+    snapshot has a row for each; in which order they follow one another for the lag
+    is open in the window plan, by price, liquidity and fees in the other.
+    ``'series'`` always uses the window plan.
     ``snapshots`` (optional) is a table with one row per loaded snapshot
     (``Tables.snapshots``); it spares the scan of the history's time column.
     """
@@ -316,19 +315,21 @@ def summaries(
 ) -> DataFrame:
     """Summaries for every eligible timeframe in one pass (Q6).
 
-    Each history row inside the largest timeframe is fanned out to the
-    timeframes that contain its snapshot (at most 8 copies, generated in the
-    scan stage and immediately pre-aggregated), then grouped by
-    (timeframe, pair).  A timeframe is eligible when the history has at least
-    that many snapshots.  Output: ``timeframe`` + the summary columns.
+    A row is aggregated once, into its pair's moments of the band of recency that
+    its snapshot is in (as many bands as timeframes); a timeframe merges the bands
+    it covers, 8 partials a pair at most.  A timeframe is eligible when the history
+    has at least that many snapshots.  Output: ``timeframe`` + the summary columns.
     """
     tfs = sorted(set(int(t) for t in timeframes))
     snaps, lo, lo_date = _snapshot_set(_axis(history, snapshots), max(tfs))
     facts = _facts(history, snaps, lo, lo_date)
-    arr = F.array(*[F.lit(t) for t in tfs])
-    fanned = facts.withColumn(
-        "timeframe",
-        F.explode(F.filter(arr, lambda t: (t >= F.col("recency")) & (t <= F.col("snapshots_kept")))),
-    )
-    agg = fanned.groupBy("timeframe", "pair_id").agg(*_summary_aggregates())
-    return _finish_aggregate(agg, pairs, F.col("timeframe") * F.lit(PRESENCE_SHARE), ("timeframe",))
+    parts = cached_columns("summary_moments", lambda: moment_columns(F.col("recency") == F.lit(1)))
+    partials = facts.groupBy("pair_id", band_of(F.col("recency"), tfs).alias("band"), "snapshots_kept").agg(*parts)
+    return merged_summaries(partials, newest_rows(facts), pairs, tfs)
+
+
+def merged_summaries(partials: DataFrame, newest: DataFrame, pairs: DataFrame, timeframes: list[int]) -> DataFrame:
+    """Summaries of all eligible timeframes from partials by ``(pair_id, band)``;
+    ``newest`` holds each pair's rows at the latest snapshot."""
+    agg = by_timeframe(partials, timeframes).select("pair_id", "timeframe", *statistics("stats"))
+    return _finish_aggregate(agg, newest, pairs, F.col("timeframe") * F.lit(PRESENCE_SHARE), ("timeframe",))

@@ -17,12 +17,16 @@ from tidepool.plans.metrics import metrics_view
 VIEWS = ("pair_history", "pairs", "tokens", "v_pair_history")
 
 
-def register_views(spark: SparkSession, history: DataFrame, pairs: DataFrame, tokens: DataFrame | None = None, n: int = 60) -> None:
+def register_views(
+    spark: SparkSession, history: DataFrame, pairs: DataFrame, tokens: DataFrame | None = None, n: int = 60, snapshots: DataFrame | None = None
+) -> None:
+    """``snapshots`` (``Tables.snapshots``) spares the view its scans of the history for
+    the time axis."""
     history.createOrReplaceTempView("pair_history")
     pairs.createOrReplaceTempView("pairs")
     if tokens is not None:
         tokens.createOrReplaceTempView("tokens")
-    metrics_view(history, pairs, n, frozen=False).createOrReplaceTempView("v_pair_history")
+    metrics_view(history, pairs, n, snapshots, frozen=False).createOrReplaceTempView("v_pair_history")
 
 
 def refresh_views(spark: SparkSession) -> None:

@@ -37,6 +37,9 @@ RAW_PAGE = T.StructType(
     ]
 )
 
+# A page as the feed delivers it.
+PAYLOAD = T.StructType([T.StructField("pairs", T.ArrayType(RAW_ENTRY))])
+
 # Flattened entry with its snapshot time and page number.
 RAW_SNAPSHOT = T.StructType(
     [T.StructField("created_at", T.TimestampNTZType()), T.StructField("page", T.IntegerType())]
@@ -95,6 +98,34 @@ HISTORY = T.StructType(
     ]
 )
 
+# The fact as stored: with the counter each fee was taken from (NULL in rows stored
+# before it was kept), so that a late neighbour can be differenced against it.
+STORED_HISTORY = T.StructType([*HISTORY.fields, T.StructField("counter", T.FloatType()), T.StructField("snapshot_date", T.DateType())])
+
+# Moments of a pair's rows in a block of time (``operators.moments``).
+MOMENTS = T.StructType(
+    [
+        T.StructField("pair_id", T.LongType()),
+        T.StructField("block", T.LongType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("n_price", T.LongType()),
+        T.StructField("sum_price", T.DoubleType()),
+        T.StructField("m2_price", T.DoubleType()),
+        T.StructField("n_liquidity", T.LongType()),
+        T.StructField("sum_liquidity", T.DoubleType()),
+        T.StructField("m2_liquidity", T.DoubleType()),
+        T.StructField("sum_fees", T.DoubleType()),
+        T.StructField("n_volume", T.LongType()),
+        T.StructField("min_price", T.DoubleType()),
+        T.StructField("max_price", T.DoubleType()),
+        T.StructField("last_at", T.TimestampNTZType()),
+        T.StructField("last_price", T.DoubleType()),
+    ]
+)
+
+SNAPSHOTS = T.StructType([T.StructField("created_at", T.TimestampNTZType()), T.StructField("rows", T.LongType())])
+
+
 def _metric_type(name: str) -> T.DataType:
     if name == "dttm":
         return T.TimestampNTZType()
@@ -109,7 +140,7 @@ def _metric_type(name: str) -> T.DataType:
     return T.DoubleType()
 
 
-# Output of the metrics plans (summary, detail, view): 33 columns.
+# The output of the metrics plans (summary, detail, view), 33 columns.
 METRIC_COLUMNS = (
     "dttm", "name", "pair_address", "bin_step", "base_fee_percentage", "price", "liquidity", "fees",
     "num_minutes", "avg_price", "cumulative_fees", "avg_liquidity", "liquidity_std_dev",

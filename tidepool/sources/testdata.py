@@ -66,6 +66,27 @@ def events_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def events_history_peers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events_history`` with several rows a pair at the newest snapshot: one for
+    each type of its events there."""
+    ev = table(spark, sf_dir, "events")
+    day = _day("ts")
+    newest = ev.agg(F.max(day)).scalar()
+    peers = ev.filter(day == newest).groupBy(day.alias("created_at"), F.col("user_id").alias("pair_id"), "event_type").agg(
+        F.avg("value").cast("float").alias("price"),
+        F.sum("value").cast("float").alias("liquidity"),
+        F.sum(F.when(F.col("event_type") == "purchase", F.col("value")).otherwise(F.lit(0.0))).cast("float").alias("fees"),
+    )
+    older = events_history(spark, sf_dir).filter(F.col("created_at") < newest)
+    return older.unionByName(peers.drop("event_type"))
+
+
+def events_history_young(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events history as it was on its fourth day."""
+    h = events_history(spark, sf_dir)
+    return h.filter(F.col("created_at") < table(spark, sf_dir, "events").agg(F.min(_day("ts")) + F.expr("INTERVAL 4 DAYS")).scalar())
+
+
 def _customer_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -193,6 +214,48 @@ def events_raw_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Which entries of the dirty feed lack or break which field, by the
+# cents of their price modulo ``DIRTY_CYCLE``.
+DIRTY_CYCLE = 61
+DIRTY_FIELDS = ("created_at", "address", "cumulative_fee_volume", "mint_x", "mint_y", "name", "bin_step",
+                "base_fee_percentage", "current_price", "liquidity", "page", "hide", "is_blacklisted")
+# The dirty feed's second batch, these days, and a day sent twice.
+DIRTY_LATE_DAYS = ("2024-01-10", "2024-01-20")
+DIRTY_REPLAY_DAY = "2024-01-05"
+
+
+def events_dirty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw feed with every rule of the stored tables broken by some entries, as
+    two batches (``batch``): the second one brings late days and a replayed one."""
+    raw = events_raw_snapshots(spark, sf_dir)
+    case = F.round(F.col("current_price") * F.lit(100.0)).cast("bigint") % F.lit(DIRTY_CYCLE)
+    day = F.col("created_at")
+    late = (day >= F.lit(DIRTY_LATE_DAYS[0]).cast("timestamp_ntz")) & (day < F.lit(DIRTY_LATE_DAYS[1]).cast("timestamp_ntz"))
+    twice = day == F.lit(DIRTY_REPLAY_DAY).cast("timestamp_ntz")
+    batches = F.when(late, F.array(F.lit(2))).when(twice, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    marked = raw.withColumn("case", case).withColumn("batch", F.explode(batches))
+    text = {"cumulative_fee_volume": "n/a", "base_fee_percentage": "free"}
+    broken = {c: F.when(F.col("case") == i, F.lit(text.get(c))).otherwise(F.col(c)).alias(c) for i, c in enumerate(DIRTY_FIELDS)}
+    return marked.select(*[broken.get(c, F.col(c)) for c in raw.columns], "batch")
+
+
+def unguarded_tables(feed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Tokens, pairs, history and counters as the entries of a feed would make them
+    without any rule: one row an entry, x-side tokens only."""
+    def ident(c: str):
+        return F.when(F.col(c).isNotNull(), F.xxhash64(c))
+
+    tokens = feed.select(ident("mint_x").alias("id"), F.col("mint_x").alias("mint"), "name")
+    pairs = feed.select(
+        ident("address").alias("id"), F.col("address").alias("pair_address"), "name", ident("mint_x").alias("mint_x_id"),
+        ident("mint_y").alias("mint_y_id"), "bin_step", F.col("base_fee_percentage").try_cast("float").alias("base_fee_percentage"),
+        "hide", "is_blacklisted",
+    )
+    history = feed.select("created_at", ident("address").alias("pair_id"), F.col("current_price").alias("price"), "liquidity")
+    counters = feed.select(ident("address").alias("pair_id"), F.col("cumulative_fee_volume").try_cast("float").alias("cumulative_fee_volume"))
+    return tokens, pairs, history, counters
+
+
 def nation_score_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token score search results as JSON text, one document per nation mint.
 

@@ -29,6 +29,13 @@ ORACLE: dict[str, str] = {
 ORACLE.update(IG.ORACLE)
 ORACLE.update(DB.ORACLE)
 ORACLE["stream_fee_delta"] = ORACLE["fee_delta"]
+ORACLE["export_roundtrip"] = ORACLE["summary_30"]
+ORACLE["stream_summaries"] = ORACLE["summaries_all"]
+ORACLE["summary_duplicates"] = C.summary_sql(15, history=C.EVENTS_HISTORY_PEERS)
+_READY = "SELECT count(DISTINCT created_at) AS update_count, count(DISTINCT created_at) >= 5 AS ready FROM history"
+ORACLE["readiness"] = f"WITH {C.EVENTS_HISTORY} {_READY}"
+ORACLE["readiness_young"] = f"WITH {C.EVENTS_HISTORY_YOUNG} {_READY}"
+ORACLE["late_merged"] = ORACLE["fee_delta"]
 
 LOADED = dict(history=IG.LOADED_HISTORY, pairs=IG.LOADED_PAIRS)
 ORACLE.update(

@@ -34,6 +34,19 @@ EVENTS_HISTORY = """history AS (
   GROUP BY 1, 2
 )"""
 
+EVENTS_HISTORY_PEERS = """history AS (
+  SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS created_at, user_id AS pair_id,
+         CAST(avg(value) AS FLOAT) AS price, CAST(sum(value) AS FLOAT) AS liquidity,
+         CAST(sum(CASE WHEN event_type = 'purchase' THEN value ELSE 0e0 END) AS FLOAT) AS fees
+  FROM events
+  GROUP BY 1, 2, CASE WHEN CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) THEN event_type END
+)"""
+
+EVENTS_HISTORY_YOUNG = """history AS (
+  SELECT DISTINCT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS created_at
+  FROM events WHERE CAST(ts AS DATE) < (SELECT min(CAST(ts AS DATE)) + 4 FROM events)
+)"""
+
 CUSTOMER_PAIRS = """pairs AS (
   SELECT c.c_custkey AS id,
          c.c_name AS pair_address,
@@ -99,7 +112,7 @@ def metric_ctes(n: int) -> str:
     avg(liquidity) OVER w AS avg_liquidity,
     stddev_samp(liquidity) OVER w AS liquidity_sd_raw,
     count(*) FILTER (WHERE fees > 0) OVER w AS num_minutes_with_volume,
-    lag(price) OVER w AS prev_price,
+    lag(price) OVER (PARTITION BY pair_id ORDER BY created_at, price, liquidity, fees) AS prev_price,
     min(price) OVER w AS min_price,
     max(price) OVER w AS max_price,
     stddev_samp(price) OVER w AS std_dev_price

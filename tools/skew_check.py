@@ -5,7 +5,8 @@ Usage: python tools/skew_check.py [sf_dir]
        python tools/skew_check.py --log <event log folder>   (report only)
 
 The feed is the events feed of the catalog with every third event re-keyed
-to one hot address (and, second run, collapsed into a single snapshot).  For
+to one hot address (second run: collapsed into a single snapshot; third run: with
+one mint on nine of ten pairs instead).  For
 every stage with a shuffle read the script prints the largest task's share of
 the stage's shuffle-read records; a stage that funnels a hot key into one
 task shows a share near the hot key's share of rows.
@@ -60,6 +61,7 @@ def main() -> None:
         },
     )
     from tidepool.operators import ingest as I
+    from tidepool.operators.tokens import base_tokens
     from tidepool.plans import metrics as M
     from tidepool.plans.load import load_snapshot
     from tidepool.sources import testdata as td
@@ -69,7 +71,9 @@ def main() -> None:
     hot = F.xxhash64("address", "cumulative_fee_volume", "current_price") % 3 == 0
     skewed = raw.withColumn("address", F.when(hot, F.lit("HOT")).otherwise(F.col("address")))
     one_snapshot = skewed.withColumn("created_at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
-    for label, feed in (("hot address", skewed), ("hot address, one snapshot", one_snapshot)):
+    # A quote token that nine of ten pairs share.
+    common = F.when(F.xxhash64("address") % 10 == 0, F.col("mint_y")).otherwise(F.lit("HOT"))
+    for label, feed in (("hot address", skewed), ("hot address, one snapshot", one_snapshot), ("hot mint", raw.withColumn("mint_y", common))):
         spark.sparkContext.setJobGroup(label, label)
         t = Tables(os.path.join(scratch, label.replace(" ", "_").replace(",", "")))
         load_snapshot(spark, feed, t, 1)
@@ -77,6 +81,7 @@ def main() -> None:
             "overwrite"
         ).save()
         I.stage_snapshot(feed).write.format("noop").mode("overwrite").save()
+        base_tokens(t.pairs(spark), t.tokens(spark)).write.format("noop").mode("overwrite").save()
     spark.stop()
     report(scratch)
 
