@@ -5,8 +5,8 @@ the lineage.
 
 1. quality: rejected documents go; ties, repeated rows and null ids are judged row by row.
 2. near duplicates: documents are linked at a similarity of 0.8 or more (five-word
-   shingles); one of each component stays, the one of smallest id, once each; rows
-   with a null id stay.
+   shingles); one of each component stays, the one of smallest id; rows equal in id and
+   text stay once, other texts under one id and rows with a null id stay.
 3. secrets: spans found are replaced by a mark, and ``n_chars`` is that of the new text.
 4. mixing: every document stays at least once; sources below their weight are
    repeated by whole and part passes, at most ``REPEAT`` times the least repeated one.
@@ -42,13 +42,16 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     ship(spark)
     gone = near_dup.near_duplicates(docs, percent=SIMILAR).filter("not kept").select("doc_id").distinct()
     left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    # Rows that repeat an id are copies of one document.
-    return left.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id is null")) if _repeats(left) else left
+    # Rows equal in id and text are copies of one document; other texts under an id stay.
+    named = left.filter("doc_id is not null")
+    if not _repeats(named):
+        return left
+    return named.dropDuplicates(["doc_id", "text"]).unionByName(left.filter("doc_id is null"))
 
 
 def _repeats(docs: DataFrame) -> bool:
-    """Whether any id stands in several rows."""
-    return not docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+    """Whether any id and text stand in several rows."""
+    return not docs.groupBy("doc_id", F.xxhash64("text")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
