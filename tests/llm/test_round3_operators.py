@@ -352,3 +352,16 @@ def test_alignment_repeats_null_ids_empty_tables_and_salts(spark, monkeypatch):
     want = collections.Counter(_aligned_by_hand(texts))
     assert collections.Counter(tuple(r)[1:8] for r in got) == want
     assert all(hashlib.sha256(r["groups"].encode()).hexdigest() == r["groups_sha256"] for r in got if r["groups"])
+
+
+# -- pipeline --------------------------------------------------------------------
+
+
+def test_near_dup_stage_keeps_other_texts_of_an_id(spark):
+    import corpus_pipeline
+
+    a, b, c = ("one two three four five six seven", "eight nine ten eleven twelve thirteen", "some words that stand nowhere else here")
+    rows = [(5, a, 1), (5, a, 1), (5, b, 2), (6, a, 3), (None, c, 4), (None, c, 4), (7, c, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    kept = sorted((r["doc_id"] or -1, r["text"]) for r in corpus_pipeline.near_dup_stage(spark, docs, SF).collect())
+    assert kept == sorted([(5, a), (5, b), (-1, c), (-1, c), (7, c)])

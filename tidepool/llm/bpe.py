@@ -30,6 +30,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +41,9 @@ LEAF = 1024
 #: Bytes of a text that are encoded in one task at most.
 SEGMENT = 1 << 18
 #: Stretches in each of the two generations of a Python worker's cache at most.
-CACHED = 80_000
+CACHED = 300_000
+#: Bytes of the texts that are looked up together, about.
+TOGETHER = 1 << 20
 
 
 class Bpe:
@@ -161,24 +164,42 @@ class Bpe:
 
     def encode(self, text: bytes, leaf: int = LEAF) -> tuple[int, bytes, bytes]:
         """Number of tokens, decimal ids and tokens, both joined by spaces."""
-        parts = text.split()  # at ASCII white space
-        cache = self.cache
-        found = list(map(cache.get, parts))
-        if None in found:
-            new = list(dict.fromkeys(p for p, f in zip(parts, found) if f is None))
-            got = {p: self.old[p] for p in new if p in self.old}
-            new = [p for p in new if p not in got]
-            short = [p for p in new if len(p) <= leaf]
-            coded = self.tokenizer.encode_batch_fast([p.decode() for p in short], add_special_tokens=False)
-            got.update((p, self.entry(e.ids)) for p, e in zip(short, coded))
-            got.update((p, self.entry(self.long(p.decode(), leaf))) for p in new if len(p) > leaf)
-            found = [f or got[p] for p, f in zip(parts, found)]
-            if len(cache) + len(got) > CACHED:  # what is still in use comes back from the old generation
-                self.old, self.cache = cache, {}
-            if len(got) <= CACHED:
-                self.cache.update((p, e) for p, e in got.items() if len(p) <= 64)
-        full = [f for f in found if f[0]]
-        return sum(f[0] for f in full), b" ".join([f[1] for f in full]), b" ".join([f[2] for f in full])
+        return self.encode_all([text], leaf)[0]
+
+    def encode_all(self, texts: list[bytes], leaf: int = LEAF) -> list[tuple[int, bytes, bytes]]:
+        """``encode`` of several texts; what none of them has in the cache goes to the
+        library at once."""
+        parts = [text.split() for text in texts]  # at ASCII white space
+        known = self._known({p for some in parts for p in some}, leaf)
+        out = []
+        for some in parts:
+            full = [f for f in map(known.__getitem__, some) if f[0]]
+            out.append((sum([f[0] for f in full]), b" ".join([f[1] for f in full]), b" ".join([f[2] for f in full])))
+        return out
+
+    def _known(self, parts: set[bytes], leaf: int) -> dict[bytes, tuple[int, bytes, bytes]]:
+        found, missing = {}, []
+        for p in parts:
+            held = self.cache.get(p)
+            if held is None:
+                held = self.old.get(p)
+                if held is None:
+                    missing.append(p)
+                    continue
+                self.cache[p] = held  # what is still in use comes back from the old generation
+            found[p] = held
+        short = [p for p in missing if len(p) <= leaf]
+        for at in range(0, len(short), 10_000):
+            some = short[at : at + 10_000]
+            coded = self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)
+            for p, e in zip(some, coded):
+                found[p] = held = self.entry(e.ids)
+                if len(p) <= 64:
+                    self.cache[p] = held
+            if len(self.cache) > CACHED:
+                self.old, self.cache = self.cache, {}
+        found.update((p, self.entry(self.long(p.decode(), leaf))) for p in missing if len(p) > leaf)
+        return found
 
 
 _loaded: dict[str, Bpe] = {}
@@ -197,15 +218,26 @@ def loaded(path: str) -> Bpe:
 SCHEMA = "n_tokens long, ids string, decoded string"
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``TOGETHER`` bytes of text, a row at least."""
+    at, size = 0, 0
+    for i, n in enumerate(pc.binary_length(batch.column(1)).to_pylist()):
+        if i > at and size + (n or 0) > TOGETHER:
+            yield batch.slice(at, i - at)
+            at, size = i, 0
+        size += n or 0
+    if at < batch.num_rows:
+        yield batch.slice(at)
+
+
 def _short(rows: DataFrame, path: str, leaf: int) -> DataFrame:
     """``(id, n_tokens, ids, decoded)`` of texts that one task encodes."""
 
     def run(batches):
         bpe = loaded(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                out = [bpe.encode(t or b"", leaf) for t in part.column(1).cast(pa.binary()).to_pylist()]
+            for part in slices(batch):
+                out = bpe.encode_all([t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()], leaf)
                 yield pa.record_batch(
                     [part.column(0), pa.array([o[0] for o in out], pa.int64()), pa.array([o[1].decode() for o in out]), pa.array([o[2].decode() for o in out])],
                     ["id", "n_tokens", "ids", "decoded"],
