@@ -365,3 +365,36 @@ def test_near_dup_stage_keeps_other_texts_of_an_id(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
     kept = sorted((r["doc_id"] or -1, r["text"]) for r in corpus_pipeline.near_dup_stage(spark, docs, SF).collect())
     assert kept == sorted([(5, a), (5, b), (-1, c), (-1, c), (7, c)])
+
+
+# -- secret scans ------------------------------------------------------------------
+
+
+def test_many_secrets_in_one_text_take_time_in_proportion(spark):
+    import time
+
+    from tidepool.llm import secret_scan
+
+    took = {}
+    for n in (10_000, 40_000, 40_000):
+        text = " ".join(f"{k:032x}" for k in range(n))
+        df = spark.createDataFrame([(text,)], "text string")
+        begin = time.perf_counter()
+        row = df.select(secret_scan.findings(F.col("text")).alias("f")).select(F.transform("f", lambda x: x["start"]).alias("s"), F.size("f").alias("n")).first()
+        took[n] = time.perf_counter() - begin
+        assert row["n"] == n and row["s"] == [33 * k for k in range(n)]
+    assert took[40_000] < 10 * max(took[10_000], 1.0)
+
+
+def test_findings_reach_every_version_of_a_path(spark, tmp_path):
+    from tidepool.llm import secret_scan
+
+    ledger = str(tmp_path / "ledger")
+    secret, other = "password=hunter22", "AKIA" + "A" * 16
+    first = spark.createDataFrame([(1, secret), (2, "nothing"), (3, secret)], "doc_id long, text string")
+    later = spark.createDataFrame([(1, "nothing"), (2, other), (3, secret)], "doc_id long, text string")
+    for version, docs in (("v1", first), ("v2", later), ("v2", later)):
+        secret_scan.scan(docs, ledger, version=version).count()
+    found = {(r["path"], r["version"], secret_scan.RULES[r["findings"][0]["kind"]][0]) for r in secret_scan.historical(spark, ledger).collect()}
+    assert found == {(1, "v1", "assign"), (3, "v1", "assign"), (2, "v2", "access"), (3, "v2", "assign")}
+    assert spark.read.parquet(ledger).count() == 3 and secret_scan.historical(spark, ledger).count() == 4

@@ -25,11 +25,15 @@ texts are scanned whole in one pass a rule.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm.common import text_of
 
+#: Matches of a text whose sizes are added up one by one.
+BLOCK = 256
 #: Changes whenever ``RULES`` do.
 RULE_VERSION = 2
 #: A private key block: its BEGIN line, the header lines of an encrypted key, and
@@ -55,29 +59,50 @@ BASE = ("assign", "access", "hex")
 LEDGER = "blob string, rule_version int, findings array<struct<start:int,kind:int,end:int>>"
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sum(sizes: Column) -> Column:
+    return F.aggregate(sizes, F.lit(0), lambda acc, x: acc + x)
+
+
+def _starts(sizes: Column) -> Column:
+    """What stands before each size: sums of whole blocks, then within its block, so
+    the work on n sizes is n times a block, not n squared."""
+
+    def within(before: Column) -> Column:
+        def place(x: Column, i: Column) -> Column:
+            k = F.floor(i / F.lit(BLOCK)).cast("int")
+            return F.get(before, k) + _sum(F.slice(sizes, k * BLOCK + 1, i - k * BLOCK))
+
+        return F.transform(sizes, place)
+
+    def before(blocks: Column) -> Column:
+        return F.transform(blocks, lambda x, k: _sum(F.slice(blocks, F.lit(1), k)))
+
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(sizes) / F.lit(BLOCK)).cast("int")), lambda k: _sum(F.slice(sizes, k * BLOCK + 1, F.lit(BLOCK))))
+    return _bound(blocks, lambda b: _bound(before(b), within))
+
+
 def _found(text: Column, kind: int, pattern: str, group: int, least: int) -> Column:
     """Findings of one rule: the matches, and the gaps between them, give the
     places as running sums.  Texts without a match stop at the first search."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    sizes = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("len"), m.alias("text")))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,text:string>>")
-    placed = F.aggregate(
-        sizes,
-        F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["len"]).alias("at"),
-            F.concat(
-                acc["out"],
-                F.when(
-                    F.length(F.regexp_extract(x["text"], pattern, group)) >= least,
-                    F.array(F.struct((acc["at"] + x["gap"]).alias("start"), F.lit(kind).alias("kind"), (acc["at"] + x["gap"] + x["len"]).alias("end"), F.lit("").alias("text"))),
-                ).otherwise(none),
-            ).alias("out"),
-        ),
-        lambda acc: F.transform(acc["out"], lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))),
-    )
-    return F.when(text.rlike(pattern), placed)
+
+    def placed(both: Column) -> Column:
+        steps = F.transform(both, lambda x: x["gap"] + F.length(x["text"]))
+
+        def spans(starts: Column) -> Column:
+            return F.zip_with(both, starts, lambda x, at: F.struct((at + x["gap"]).alias("start"), F.lit(kind).alias("kind"), (at + x["gap"] + F.length(x["text"])).alias("end"), x["text"].alias("text")))
+
+        return _bound(_bound(steps, _starts), spans)
+
+    pairs = _bound(matches, lambda m: F.zip_with(F.slice(gaps, F.lit(1), F.size(m)), m, lambda g, x: F.struct(F.length(g).alias("gap"), x.alias("text"))))
+    long = F.filter(_bound(pairs, placed), lambda x: F.length(F.regexp_extract(x["text"], pattern, group)) >= least)
+    return F.when(text.rlike(pattern), F.transform(long, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))))
 
 
 def findings(text: Column) -> Column:
@@ -100,11 +125,15 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
         return spark.createDataFrame([], LEDGER)
 
 
-def scan(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_col: str = "text", version: str | None = None) -> DataFrame:
     """``(id_col, blob, findings)`` for every row of ``docs``; what the ledger
-    lacks is scanned and added to it."""
+    lacks is scanned and added to it.  With a ``version`` the ledger also notes which
+    paths held which blob in it (the same version again replaces its notes), for
+    ``historical``."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("path"), text_of(text_col).alias("text")).withColumn("blob", F.sha2("text", 256))
+    if version is not None:
+        texts.select("path", "blob").write.mode("overwrite").parquet(f"{ledger}-paths/version={version}")
     seen = read_ledger(spark, ledger).filter(F.col("rule_version") == RULE_VERSION).select("blob")
     # One path speaks for all copies of a blob; copies meet as hashes only.
     new = texts.groupBy("blob").agg(F.min("path").alias("path")).join(seen, "blob", "left_anti")
@@ -117,6 +146,15 @@ def scan(docs: DataFrame, ledger: str, id_col: str = "doc_id", text_col: str = "
     return out.select(F.col("path").alias(id_col), "blob", F.coalesce("findings", none).alias("findings"))
 
 
+def historical(spark: SparkSession, ledger: str) -> DataFrame:
+    """``(path, version, blob, findings)``: the findings of every path in every version
+    that was scanned under a name, from the present rules; blobs without any are left
+    out."""
+    paths = spark.read.parquet(f"{ledger}-paths").select("path", F.col("version").cast("string").alias("version"), "blob")
+    known = read_ledger(spark, ledger).filter((F.col("rule_version") == RULE_VERSION) & (F.size("findings") > 0))
+    return paths.join(known.select("blob", "findings").dropDuplicates(["blob"]), "blob").select("path", "version", "blob", "findings")
+
+
 def span_text(spans: Column) -> Column:
     """``kind:start:end``, comma-joined."""
     names = F.array(*[F.lit(r[0]) for r in RULES])
