@@ -7,6 +7,7 @@ from __future__ import annotations
 import collections
 import glob
 import hashlib
+import os
 import random
 import re
 
@@ -263,6 +264,48 @@ def test_shards_are_the_permuted_stream(spark, docs, tmp_path):
     assert token_output.materialised(docs.limit(0), **args).count() == 0
 
 
+def _shard_bytes(folder):
+    return {os.path.basename(f): open(f, "rb").read() for f in glob.glob(f"{folder}/shard-*.bin")}
+
+
+def test_shards_of_another_input_are_not_kept(spark, tmp_path):
+    import public_tokenizers
+
+    args = dict(folder=f"file://{tmp_path}", path=tokenizer_file("byte_bpe_50k.tiktoken"), pattern=public_tokenizers.PATTERN, length=64, per_shard=100)
+    rows = [(1, "a b c d e " * 3), (1, "a b c d e " * 3), (None, None), (4, "x " * 40_000)]  # repeated, null and very long
+    one = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    other = spark.createDataFrame([(i, t and t.replace("a", "f")) for i, t in rows], "doc_id long, text string").coalesce(1)
+    for docs in (one, other):
+        records = token_output.materialised(docs, **args).collect()
+        held = _shard_bytes(tmp_path)
+        whole = b"".join(held[name] for name in sorted(held))
+        assert len(whole) == 128 * len(records)
+        assert all(hashlib.sha256(held[f"shard-{r.shard:08d}.bin"][r.offset : r.offset + 128]).hexdigest() == r.sha256 for r in records)
+    # The same again: a complete shard stays, a missing or a cut one is written anew.
+    names = sorted(held)
+    os.utime(f"{tmp_path}/{names[0]}", (1, 1))
+    os.remove(f"{tmp_path}/{names[1]}")
+    with open(f"{tmp_path}/{names[2]}", "wb") as f:
+        f.write(b"x")
+    token_output.materialised(other, **args)
+    assert _shard_bytes(tmp_path) == held and os.path.getmtime(f"{tmp_path}/{names[0]}") == 1
+    # Fewer sequences leave no shard of the longer run.
+    token_output.materialised(one.limit(1), **args)
+    assert len(_shard_bytes(tmp_path)) < len(held)
+
+
+def test_tokens_of_wide_vocabularies(spark, tmp_path):
+    import public_tokenizers
+
+    path, args = tokenizer_file("byte_bpe_50k.tiktoken"), dict(pattern=public_tokenizers.PATTERN, length=4, per_shard=3)
+    docs = spark.createDataFrame([(1, "one two three four five six")], "doc_id long, text string")
+    records = token_output.materialised(docs, f"file://{tmp_path}", path, end=70_000, **args).collect()
+    flat = np.concatenate([np.fromfile(f, "<u4") for f in sorted(glob.glob(f"{tmp_path}/shard-*.bin"))]).reshape(-1, 4)
+    stream = flat[token_output.slot(np.arange(len(records)), len(records), 2026)].reshape(-1)
+    want = [*token_output._encoder(path, public_tokenizers.PATTERN).encode_ordinary("one two three four five six"), 70_000]
+    assert stream[: len(want)].tolist() == want and (stream[len(want) :] == 70_000).all()
+
+
 def test_words_of_a_batch():
     import pyarrow as pa
 
