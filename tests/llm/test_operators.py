@@ -142,6 +142,25 @@ def test_nearest_of_copies_and_of_nothing(spark):
     assert ann.nearest(copies.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_nearest_visits_few_buckets_of_clustered_vectors(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16))
+    data = [(i, (centres[i % 40] + 0.02 * rng.normal(size=16)).tolist()) for i in range(2000)]
+    rows = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    classes = rows.selectExpr("vec_id cls", "embedding vec")
+    norm = max(float(np.linalg.norm(v)) for _, v in data)
+    visits = ann._probes(classes, classes.filter("cls % 20 = 0"), 16, norm, 20, 11)
+    assert 1 <= visits <= len(ann._MOVES) // 20
+    x = np.array([v for _, v in data])
+    hits = 0
+    for r in ann.nearest(rows, F.col("vec_id") % 20 == 0).collect():
+        assert r.score == pytest.approx(float(x[r.query_id] @ x[r.vec_id]), abs=1e-12)
+        scores = x @ x[r.query_id]
+        scores[r.query_id] = -np.inf
+        hits += r.vec_id in np.argsort(-scores)[:20]
+    assert hits >= 0.9 * 20 * 100
+
+
 def test_bpe_equals_the_library(spark, docs):
     from tokenizers import Tokenizer
 

@@ -6,9 +6,12 @@ then the nearest by distance is the largest inner product.
 
 * Each of ``TABLES`` tables hashes a vector to the floors of ``HASHES`` Gaussian
   projections over a width; those integers name its bucket.
-* A query visits ``PROBES`` buckets a table: its own and those with integers
-  moved by one, in the order of estimated success, the sum of squared distances
-  to the borders that are crossed.
+* A query visits buckets of each table, its own and those with integers
+  moved by one, in the order of estimated success: the sum of squared distances
+  to the borders that are crossed.  How many is measured on the data: for ``SAMPLE`` query
+  classes the true neighbours among all classes are found, with the place of each one's bucket in
+  that order; the fewest probes that reach ``TARGET`` of them are taken.  Clustered vectors need few
+  probes; vectors without any structure need most buckets.
 * Candidates of a visited bucket are ranked by exact inner product; each query's
   best lists of all tables are merged.
 
@@ -35,13 +38,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidepool.llm import words as W
 from tidepool.llm.common import scratch, stored
 
-#: Chosen for a recall of 0.95 or more on vectors without any cluster structure,
-#: the hardest case; measured in tests/llm.
-TABLES, HASHES, WIDTH, PROBES = 8, 6, 1.7, 160
+#: Few tables with many probes each: a pair is compared at most once a table.
+TABLES, HASHES, WIDTH = 2, 7, 2.5
+#: Query classes whose true neighbours set the number of probes, and the share to reach.
+SAMPLE, TARGET = 64, 0.95
 CHUNK, QUERY_CHUNK = 8192, 8192
 _MOVES = np.array(list(itertools.product((0, -1, 1), repeat=HASHES)))
 
@@ -61,7 +66,67 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def _indexed(classes: DataFrame, dim: int, norm: float, groups: int, seed: int) -> DataFrame:
+def _lifted(v: np.ndarray, norm: float) -> np.ndarray:
+    return np.hstack([v, np.sqrt(np.maximum(norm * norm - (v * v).sum(axis=1), 0))[:, None]])
+
+
+def _asked(v: np.ndarray, norm: float) -> np.ndarray:
+    return np.hstack([v * (norm / np.sqrt((v * v).sum(axis=1)))[:, None], np.zeros((len(v), 1))])
+
+
+def _order(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each query's cell, and all moves from it by estimated success."""
+    cell = np.floor(p)
+    rest = p - cell
+    cost = (_MOVES == -1) @ (rest**2).T + (_MOVES == 1) @ ((1 - rest) ** 2).T
+    return cell, np.argsort(cost, axis=0, kind="stable").T
+
+
+def _probes(classes: DataFrame, queries: DataFrame, dim: int, norm: float, top: int, seed: int) -> int:
+    """The fewest probes a table that reach ``TARGET`` of the sampled queries' neighbours."""
+    sample = queries.select("cls", "vec").orderBy(F.xxhash64("cls"), "cls").limit(SAMPLE).collect()
+    if not sample:
+        return 1
+    asks, own = np.array([r["vec"] for r in sample], np.float64), np.array([r["cls"] for r in sample])
+
+    def run(batches):
+        best = [(np.zeros(0), np.zeros((0, dim)), np.zeros(0, np.int64)) for _ in own]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            v, cls = _matrix(batch.column(1), dim), batch.column(0).to_numpy()
+            scores = asks @ v.T
+            scores[own[:, None] == cls] = -np.inf
+            k = min(top, len(cls))
+            for i, row in enumerate(np.argpartition(-scores, k - 1, axis=1)[:, :k]):
+                row = row[scores[i, row] > -np.inf]
+                score, held, name = (np.concatenate(x) for x in zip(best[i], (scores[i, row], v[row], cls[row])))
+                first = np.lexsort((name, -score))[:top]
+                best[i] = score[first], held[first], name[first]
+        # Moves count in threes, digits 0, -1, 1: a move's digits are its row of _MOVES.
+        code = 3 ** np.arange(HASHES)[::-1]
+        tables = []
+        for a, b in _planes(dim, norm, seed):
+            cell, order = _order(_asked(asks, norm) @ a + b)
+            tables.append((a, b, cell, np.argsort(order, axis=1)))
+        for i, (score, held, name) in enumerate(best):
+            if not len(name):
+                continue
+            need = np.full(len(name), len(_MOVES) + 1, np.int64)
+            for a, b, cell, place in tables:
+                move = (np.floor(_lifted(held, norm) @ a + b) - cell[i]).astype(np.int64)
+                near = (np.abs(move) <= 1).all(axis=1)
+                at = ((move[near] % 3 * 2 % 3) * code).sum(axis=1)
+                need[near] = np.minimum(need[near], place[i, at] + 1)
+            yield pa.record_batch([pa.array(np.full(len(name), i)), pa.array(score), pa.array(name), pa.array(need)], ["i", "score", "cls", "need"])
+
+    found = classes.select("cls", "vec").mapInArrow(run, "i long, score double, cls long, need long")
+    place = F.row_number().over(Window.partitionBy("i").orderBy(F.desc("score"), "cls"))
+    needs = sorted(r["need"] for r in found.withColumn("place", place).filter(F.col("place") <= top).select("need").collect())
+    return min(needs[max(0, int(np.ceil(TARGET * len(needs))) - 1)], len(_MOVES)) if needs else 1
+
+
+def _indexed(classes: DataFrame, dim: int, norm: float, groups: int, seed: int, kind: str) -> DataFrame:
     """``(tab, grp, bucket, cls, vec)``: each class once a table."""
 
     def run(batches):
@@ -70,18 +135,17 @@ def _indexed(classes: DataFrame, dim: int, norm: float, groups: int, seed: int)
             if not batch.num_rows:
                 continue
             v = _matrix(batch.column(1), dim)
-            lift = np.sqrt(np.maximum(norm * norm - (v * v).sum(axis=1), 0))[:, None]
             for t, (a, b) in enumerate(planes):
-                bucket = _bucket(t, np.floor(np.hstack([v, lift]) @ a + b))
+                bucket = _bucket(t, np.floor(_lifted(v, norm) @ a + b))
                 yield pa.record_batch(
                     [pa.array(np.full(len(v), t, np.int32)), pa.array((bucket % np.uint64(groups)).astype(np.int64)), pa.array(bucket.view(np.int64)), batch.column(0), batch.column(1)],
                     ["tab", "grp", "bucket", "cls", "vec"],
                 )
 
-    return classes.select("cls", "vec").mapInArrow(run, "tab int, grp long, bucket long, cls long, vec array<float>")
+    return classes.select("cls", "vec").mapInArrow(run, f"tab int, grp long, bucket long, cls long, vec {kind}")
 
 
-def _probing(queries: DataFrame, dim: int, norm: float, groups: int, seed: int) -> DataFrame:
+def _probing(queries: DataFrame, dim: int, norm: float, groups: int, seed: int, kind: str, probes: int) -> DataFrame:
     """``(tab, grp, query, vec, buckets)``: each query once for each group that
     it probes."""
 
@@ -90,16 +154,11 @@ def _probing(queries: DataFrame, dim: int, norm: float, groups: int, seed: int)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                v = _matrix(part.column(1), dim)
-                v = v * (norm / np.sqrt((v * v).sum(axis=1)))[:, None]
+                v = _asked(_matrix(part.column(1), dim), norm)
                 out: list[list] = [[], [], [], []]
                 for t, (a, b) in enumerate(planes):
-                    p = np.hstack([v, np.zeros((len(v), 1))]) @ a + b
-                    cell = np.floor(p)
-                    rest = p - cell
-                    cost = (_MOVES == -1) @ (rest**2).T + (_MOVES == 1) @ ((1 - rest) ** 2).T
-                    order = np.argsort(cost, axis=0, kind="stable")[:PROBES].T
-                    bucket = _bucket(t, cell[:, None, :] + _MOVES[order])
+                    cell, order = _order(v @ a + b)
+                    bucket = _bucket(t, cell[:, None, :] + _MOVES[order[:, :probes]])
                     group = (bucket % np.uint64(groups)).astype(np.int64)
                     for i in range(len(v)):
                         for g in np.unique(group[i]):
@@ -113,7 +172,7 @@ def _probing(queries: DataFrame, dim: int, norm: float, groups: int, seed: int)
                     ["tab", "grp", "query", "vec", "buckets"],
                 )
 
-    return queries.select("cls", "vec").mapInArrow(run, "tab int, grp long, query long, vec array<float>, buckets array<long>")
+    return queries.select("cls", "vec").mapInArrow(run, f"tab int, grp long, query long, vec {kind}, buckets array<long>")
 
 
 def _best(index: DataFrame, probes: DataFrame, dim: int, top: int) -> DataFrame:
@@ -126,7 +185,7 @@ def _best(index: DataFrame, probes: DataFrame, dim: int, top: int) -> DataFrame:
             return none
         left = left.combine_chunks()
         v, cls = _matrix(left["vec"].chunk(0), dim), left["cls"].to_numpy()
-        small, longest = v.astype(np.float32), np.sqrt((v * v).sum(axis=1).max())
+        small = (v / np.sqrt((v * v).sum(axis=1).max())).astype(np.float32)
         names, of = np.unique(left["bucket"].to_numpy(), return_inverse=True)
         ids, found = [], []
         for batch in right.combine_chunks().to_batches(max_chunksize=256):
@@ -140,11 +199,11 @@ def _best(index: DataFrame, probes: DataFrame, dim: int, top: int) -> DataFrame:
             seen[row[hit], at[hit]] = True
             # Single precision selects, with room for all that its rounding could
             # put below the last place; double precision ranks.
-            rough = q.astype(np.float32) @ small.T
+            rough = (q / np.sqrt((q * q).sum(axis=1))[:, None]).astype(np.float32) @ small.T
             rough[~seen[:, of]] = -np.inf
             k = min(top + 1, len(cls))
             last = np.partition(rough, len(cls) - k, axis=1)[:, len(cls) - k]
-            last = last - (dim + 2) * 2.0**-22 * longest * np.sqrt((q * q).sum(axis=1))
+            last = last - (dim + 2) * 2.0**-22
             for i, query in enumerate(batch.column(batch.schema.get_field_index("query")).to_pylist()):
                 mine = np.flatnonzero((rough[i] >= last[i]) & (rough[i] > -np.inf))
                 if len(mine):
@@ -175,7 +234,9 @@ def nearest(vectors: DataFrame, is_query, top: int = 20, seed: int = 11, id_col:
     the smaller id."""
     spark = vectors.sparkSession
     base = scratch(spark, "ann")
-    vec = F.col(vector_col).cast("array<float>")
+    held = vectors.schema[vector_col].dataType
+    kind = "array<float>" if isinstance(held, T.ArrayType) and isinstance(held.elementType, T.FloatType) else "array<double>"
+    vec = F.col(vector_col).cast(kind)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), vec.alias("vec"), is_query.alias("asks")).filter("id is not null and vec is not null")
     fine = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vec", lambda x: x != 0)
     rows = rows.filter(fine).dropDuplicates()
@@ -193,10 +254,11 @@ def nearest(vectors: DataFrame, is_query, top: int = 20, seed: int = 11, id_col:
     classes = stored(few.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids")).select(F.get("ids", F.lit(0)).alias("cls"), "vec", "ids"), f"{base}/classes")
     asking = stored(rows.filter("asks").select("vec", "id").join(classes.select("vec", "cls"), "vec").select(F.col("id").alias("query_id"), "cls"), f"{base}/asking")
     queries = classes.join(asking.select("cls").distinct(), "cls", "left_semi")
+    visits = _probes(classes, queries, dim, norm, top, seed)
 
     groups = -(-classes.count() // CHUNK) or 1
-    index = stored(_indexed(classes, dim, norm, groups, seed), f"{base}/index")
-    probes = stored(_probing(queries, dim, norm, groups, seed), f"{base}/probes")
+    index = stored(_indexed(classes, dim, norm, groups, seed, kind), f"{base}/index")
+    probes = stored(_probing(queries, dim, norm, groups, seed, kind, visits), f"{base}/probes")
     # Each query's best classes of all parts and tables.
     found = _best(index, probes, dim, top).groupBy("query").agg(F.flatten(F.collect_list("found")).alias("found"))
     ranked = F.sort_array(F.transform("found", lambda x: F.struct((-x["score"]).alias("far"), x["cls"].alias("cls"))))
