@@ -104,6 +104,42 @@ def test_substring_equals_brute_force(docs, monkeypatch):
     assert removed > 100
 
 
+def _brute_force_repeats(rows, span=13):
+    """(id, kept words) of each row; judged on its own text against smaller ids."""
+    words = [(i, WORD.findall(t or "")) for i, t in rows]
+    first = {}
+    for i, w in words:
+        for k in range(len(w) - span + 1):
+            g = tuple(w[k : k + span])
+            first[g] = min(i, first.get(g, i))
+    out = []
+    for i, w in words:
+        gone = set()
+        for k in range(len(w) - span + 1):
+            if first[tuple(w[k : k + span])] < i:
+                gone.update(range(k, k + span))
+        out.append((i, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("heavy", [4000, 3])
+def test_repeats_of_repeated_ids_and_periodic_texts(spark, monkeypatch, heavy):
+    monkeypatch.setattr(substring, "HEAVY", heavy)
+    p, q = (" ".join(f"{c}{i}" for i in range(40)) for c in "pq")
+    periodic = [(10 + i, "a " * (300 + i)) for i in range(6)] + [(20, "a b c " * 100), (21, "c a b " * 100)]
+    rows = [(2, p), (2, q), (1, p), (2, p), (5, ""), (6, None), (7, "x y"), (8, q + " end"), *periodic]
+    docs = spark.createDataFrame([(*r, 1, "c") for r in rows], "doc_id long, text string, n_words int, key string")
+    got = sorted(tuple(r) for r in substring.without_repeats(docs).select("doc_id", "n_words", "n_removed", "kept").collect())
+    assert got == _brute_force_repeats(rows)
+    none = spark.createDataFrame([(None, p)], "doc_id long, text string")
+    assert substring.without_repeats(none).count() == 0 and substring.without_repeats(docs.limit(0)).count() == 0
+
+
+def test_passages_end_after_a_span_of_windows():
+    assert np.flatnonzero(substring._cut(np.array([1, 0, 0, 0, 0, 1, 0, 1, 0, 0, 0], bool), 3)).tolist() == [0, 3, 5, 7, 10]
+    assert len(substring._cut(np.zeros(0, bool), 13)) == 0
+
+
 def test_automaton_equals_search():
     rng = random.Random(2)
     seqs = [[rng.choice("ab") for _ in range(rng.randint(1, 30))] for _ in range(40)]

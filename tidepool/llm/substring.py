@@ -7,10 +7,10 @@ stand in a document of smaller id.
    of ``ANCHOR`` words.  Equal windows have equal anchors, and neighbours mostly
    share theirs, so about a fifth as many anchors as words are counted.  Anchors of two
    documents or more are repeated; only windows with such an anchor go on.
-2. Neighbouring windows of one repeated anchor form a passage, the words of all of
-   them.  Equal passages are one row with their smallest id (copies never meet).
-   Windows of an anchor that stands over ``HEAVY`` times become passages of
-   their own, routed by their own hash, so no route holds more than that.
+2. Neighbouring windows of one repeated anchor, ``span`` at most, form a passage, the
+   words of all of them.  A task that extracts a passage again sends it on only under a
+   smaller id (copies hardly meet).  Windows of an anchor with over ``HEAVY`` passages
+   become passages of their own, routed by their own hash, so no route holds more than that.
 3. Passages are dealt by route.  A task gathers whole routes up to
    ``SHARD_WORDS`` words, builds the suffix automaton of that reference shard
    over words, each state with the smallest id that its sequences stand in, and
@@ -26,8 +26,8 @@ come to the shards that can match them, so shards grow with the input and none i
 sent to all tasks.
 
 Null or empty texts, or fewer words than a span: nothing removed.  Rows with a null
-id are left out.  Rows that repeat an id count as one document: they never remove
-from each other; the result has a row for each.  Other columns are not read.
+id are left out.  Rows that repeat an id never remove from each other; each is judged on
+its own text, and the result has a row for each.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -45,6 +45,8 @@ from tidepool.llm.common import scratch, stored
 ANCHOR = 5
 HEAVY = 4000
 SHARD_WORDS = 40_000
+#: Passages that a task remembers having sent on.
+SENT = 200_000
 
 
 class Automaton:
@@ -137,8 +139,14 @@ def _texts(w: W.Words, n: int, span: int):
         yield i, a, max(0, b - a - span + 1)
 
 
+def _cut(opens: np.ndarray, span: int) -> np.ndarray:
+    """Where passages begin: at each opening, and after each ``span`` windows of a run."""
+    at = np.arange(len(opens))
+    return (at - np.maximum.accumulate(np.where(opens, at, 0))) % span == 0
+
+
 def anchors(rows: DataFrame, span: int) -> DataFrame:
-    """``(anchor, id, n)``: each text's anchors, with the windows that have them."""
+    """``(anchor, id)``: a row for each passage that each text's anchors make."""
 
     def run(batches):
         for batch in batches:
@@ -154,22 +162,25 @@ def anchors(rows: DataFrame, span: int) -> DataFrame:
                 mine = low[at]
                 opens = np.ones(len(mine), bool)
                 opens[1:] = (mine[1:] != mine[:-1]) | (text[1:] != text[:-1])
+                opens = _cut(opens, span)
                 yield pa.record_batch([pa.array(mine[opens].view(np.int64)), pa.array(ids[text[opens]])], ["anchor", "id"])
 
     return rows.mapInArrow(run, "anchor long, id long")
 
 
 def _passages(docs: DataFrame, span: int) -> DataFrame:
-    """``(id, row, start, route, key, passage)`` of documents with their repeated anchors."""
+    """``(id, mark, start, route, key, passage)`` of documents with their repeated anchors;
+    the passage is null where the task has sent it on under an id as small."""
 
     def run(batches):
+        sent: dict[bytes, int] = {}
         for batch in batches:
             for part in W.slices(batch, "text"):
                 w = W.words(part.column(1))
                 low = _anchors(w.hash, span).view(np.int64)
                 whole = W.windows(w.hash, span).view(np.int64)
-                ids, hits = part.column(0).to_pylist(), part.column(2)
-                out: list[list] = [[], [], [], [], []]
+                ids, hits, marks = part.column(0).to_pylist(), part.column(2), part.column(3).to_pylist()
+                out: list[list] = [[], [], [], [], [], []]
                 for i, a, n in _texts(w, part.num_rows, span):
                     if not n or not hits[i].is_valid:
                         continue
@@ -183,20 +194,25 @@ def _passages(docs: DataFrame, span: int) -> DataFrame:
                     big = hit & heavy[at]
                     opens = np.ones(n, bool)
                     opens[1:] = (mine[1:] != mine[:-1]) | big[1:]
-                    starts = np.flatnonzero(opens)
+                    starts = np.flatnonzero(_cut(opens, span))
                     stops = np.append(starts[1:], n)
                     text = w.data[w.start[a] : w.end[a + n + span - 2]].tobytes()
                     base = int(w.start[a])
                     for s, e in zip(starts[hit[starts]].tolist(), stops[hit[starts]].tolist()):
                         words = b" ".join(text[int(w.start[a + s]) - base : int(w.end[a + e + span - 2]) - base].split())
-                        out[0].append(ids[i])
-                        out[1].append(s)
-                        out[2].append(int(whole[a + s]) if big[s] else int(mine[s]))
-                        out[3].append(hashlib.blake2b(words, digest_size=16).digest())
-                        out[4].append(words.decode())
-                yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary()), pa.array(out[4], pa.string())], ["id", "start", "route", "key", "passage"])
+                        key = hashlib.blake2b(words, digest_size=16).digest()
+                        new = sent.get(key, ids[i] + 1) > ids[i]
+                        if new:
+                            if len(sent) >= SENT:
+                                sent.clear()
+                            sent[key] = ids[i]
+                        route = int(whole[a + s]) if big[s] else int(mine[s])
+                        for column, x in zip(out, (ids[i], marks[i], s, route, key, words.decode() if new else None)):
+                            column.append(x)
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.string())
+                yield pa.record_batch([pa.array(x, kind) for x, kind in zip(out, kinds)], ["id", "mark", "start", "route", "key", "passage"])
 
-    return docs.select("id", "text", "hits").mapInArrow(run, "id long, start int, route long, key binary, passage string")
+    return docs.select("id", "text", "hits", "mark").mapInArrow(run, "id long, mark long, start int, route long, key binary, passage string")
 
 
 def _first_docs(passages: DataFrame, span: int) -> DataFrame:
@@ -215,16 +231,19 @@ def _first_docs(passages: DataFrame, span: int) -> DataFrame:
         size = 0
         for batch in batches:
             for route, key, text, doc in zip(*(c.to_pylist() for c in batch.columns)):
+                if shard and shard[-1][:2] == [route, key]:  # of another task
+                    shard[-1][3] = min(doc, shard[-1][3])
+                    continue
                 if size >= SHARD_WORDS and route != shard[-1][0]:
                     yield match(shard)
                     shard, size = [], 0
                 words = text.split(" ")
-                shard.append((route, key, words, doc))
+                shard.append([route, key, words, doc])
                 size += len(words)
         if shard:
             yield match(shard)
 
-    dealt = passages.repartition("route").sortWithinPartitions("route")
+    dealt = passages.repartition("route").sortWithinPartitions("route", "key")
     return dealt.select("route", "key", "passage", "doc").mapInArrow(run, "route long, key binary, firsts array<long>")
 
 
@@ -263,14 +282,15 @@ def without_repeats(docs: DataFrame, span: int = 13, id_col: str = "doc_id", tex
     spark = docs.sparkSession
     base = scratch(spark, "substring")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
+    marked = rows.withColumn("mark", F.xxhash64("text"))  # tells rows of one id apart
     found = anchors(rows, span)
     repeated = found.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("n")).filter("lo < hi")
     repeated = stored(repeated.select("anchor", (F.col("n") > HEAVY).alias("heavy")), f"{base}/repeated")
     hits = found.join(repeated, "anchor").groupBy("id").agg(F.collect_set(F.struct("anchor", "heavy")).alias("hits"))
-    passages = stored(_passages(rows.join(hits, "id"), span), f"{base}/passages")
-    distinct = passages.groupBy("route", "key", "passage").agg(F.min("id").alias("doc"))
-    firsts = stored(_first_docs(distinct, span), f"{base}/firsts")
-    back = passages.select("id", "start", "route", "key").join(firsts, ["route", "key"])
-    gone = back.select("id", F.expr("transform(filter(transform(firsts, (d, i) -> struct(d as d, i as i)), x -> x.d < id), x -> start + x.i)").alias("gone"))
-    gone = gone.filter("size(gone) > 0").groupBy("id").agg(F.flatten(F.collect_list("gone")).alias("gone"))
-    return _kept(rows.join(gone, "id", "left"), span).withColumnRenamed("id", id_col)
+    passages = stored(_passages(marked.join(hits, "id"), span), f"{base}/passages")
+    sent = passages.filter("passage is not null").withColumnRenamed("id", "doc")
+    firsts = stored(_first_docs(sent, span), f"{base}/firsts")
+    back = passages.select("id", "mark", "start", "route", "key").join(firsts, ["route", "key"])
+    gone = back.select("id", "mark", F.expr("transform(filter(transform(firsts, (d, i) -> struct(d as d, i as i)), x -> x.d < id), x -> start + x.i)").alias("gone"))
+    gone = gone.filter("size(gone) > 0").groupBy("id", "mark").agg(F.flatten(F.collect_list("gone")).alias("gone"))
+    return _kept(marked.join(gone, ["id", "mark"], "left"), span).withColumnRenamed("id", id_col)
