@@ -35,18 +35,22 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app_nam
     return spark
 
 
+def _private_folder(master: str) -> str:
+    """A folder of this machine, which only a local session can share with its tasks."""
+    if not master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="tidepool-ckpt-")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set a private one only if unset."""
+    """The shared checkpoint folder of the session; a private one is set only if it is
+    unset and the session is local.  On a cluster an unset folder is an error."""
     try:
         sc = spark.sparkContext
     except Exception:  # a Spark Connect session has no SparkContext
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="tidepool-ckpt-")
+        return spark.conf.get("spark.checkpoint.dir", None) or _private_folder(spark.conf.get("spark.master", None) or "")
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="tidepool-ckpt-")
-    sc.setCheckpointDir(configured)
+    sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or _private_folder(sc.master))
     return sc.getCheckpointDir()
