@@ -26,9 +26,13 @@ def read_payload(spark: SparkSession, path: str, created_at: dt.datetime | str |
     A page's number is the last number behind ``page`` in its file's path; the snapshot
     is ``created_at`` or, without it, when the file was written (the poll's own time,
     to the minute: its pages are written one after the other).  Both come from Spark's
-    ``_metadata`` columns, so files may lie in any folder."""
+    ``_metadata`` columns, so files may lie in any folder.
+
+    Page files may be kept many in one, a document a line beside the path of the file
+    it was (``file_path``): a poll of very many small pages is then few files to write,
+    list and open.  Such a document's page is taken from that path."""
     pages = spark.read.schema(read_schema(PAYLOAD, "json")).option("recursiveFileLookup", "true").json(path)
-    number = F.regexp_extract(F.col("_metadata.file_path"), r".*page\D{0,3}(\d+)", 1)
+    number = F.regexp_extract(F.coalesce("file_path", F.col("_metadata.file_path")), r".*page\D{0,3}(\d+)", 1)
     written = F.date_trunc("minute", F.col("_metadata.file_modification_time")).cast("timestamp_ntz")
     stamp = written if created_at is None else F.lit(str(created_at)).cast("timestamp_ntz")
     return flatten_pages(pages.select(stamp.alias("created_at"), number.try_cast("int").alias("page"), *pages.columns))
