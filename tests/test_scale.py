@@ -61,3 +61,13 @@ def test_payload_page_of_a_kept_path(spark, scratch):
             fh.write(json.dumps({"file_path": f"day=2024-01-01/page={page}/page.json", "pairs": [{"address": address}]}) + "\n")
     rows = {(r["address"], r["page"]) for r in read_payload(spark, f"{scratch}/poll.json", "2024-01-01").collect()}
     assert rows == {("A", 3), ("B", 14)}
+
+
+def test_ingest_feed_of_many_files_in_four_epochs(spark, made, scratch, monkeypatch, spread):
+    monkeypatch.setattr(catalog, "checkpoint_dir", lambda s: scratch)
+    got = catalog.QUERIES["stream_counters"](spark, made).collect()
+    staged = I.stage_snapshot(td.events_raw_snapshots(spark, made))
+    want = staged.groupBy("address").agg(F.max_by("counter", "created_at").cast("double"), F.max("created_at"))
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want.collect()))
+    assert len(glob.glob(f"{scratch}/tidepool-ingest-*/feed/*.parquet")) > 4
+    assert len(glob.glob(f"{scratch}/tidepool-ingest-*/tables/epochs/batch_id=*")) == 4
