@@ -71,3 +71,10 @@ def test_ingest_feed_of_many_files_in_four_epochs(spark, made, scratch, monkeypa
     assert sorted(map(tuple, got)) == sorted(map(tuple, want.collect()))
     assert len(glob.glob(f"{scratch}/tidepool-ingest-*/feed/*.parquet")) > 4
     assert len(glob.glob(f"{scratch}/tidepool-ingest-*/tables/epochs/batch_id=*")) == 4
+
+
+def test_orphans_meet_as_distinct_keys(spark, made):
+    feed = td.events_dirty_feed(spark, made)
+    lines = _lines(constraint_report(*td.unguarded_tables(feed), raw=feed))
+    joins = [i for i, x in enumerate(lines) if "Join LeftAnti" in x]
+    assert len(joins) == 4 and all("Aggregate" in lines[i + 1] for i in joins)

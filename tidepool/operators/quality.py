@@ -4,7 +4,7 @@ tables, checked as aggregations instead of enforced on insert.
 One row per rule: ``(table_name, rule, violations)``; ``violations`` counts
 offending rows (for uniqueness: rows beyond the first per key).  Each table is
 scanned once by one aggregate holding all its rules; foreign keys are anti
-joins.  Nothing is collected to the driver.
+joins of distinct keys.  Nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -37,10 +37,13 @@ def _rules(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame:
 
 
 def _orphans(child: DataFrame, key: Column, parent: DataFrame, parent_key: str, table: str, rule: str) -> DataFrame:
-    """Rows whose key is in no parent row; those without a key break a null rule."""
-    keys = parent.select(F.col(parent_key).alias("_k"))
-    missing = child.filter(key.isNotNull()).join(keys, key == keys["_k"], "left_anti")
-    return missing.agg(F.count(F.lit(1)).alias("violations")).select(
+    """Rows whose key is in no parent row; those without a key break a null rule.
+    Both sides become a row a key where they lie, before they meet: the rows of a
+    key that most of them share (a quote mint) are in no task together."""
+    keys = parent.select(F.col(parent_key).alias("_k")).distinct()
+    rows = child.filter(key.isNotNull()).groupBy(key.alias("_c")).agg(F.count(F.lit(1)).alias("_rows"))
+    missing = rows.join(keys, rows["_c"] == keys["_k"], "left_anti")
+    return missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("violations")).select(
         F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations"
     )
 
