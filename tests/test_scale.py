@@ -78,3 +78,9 @@ def test_orphans_meet_as_distinct_keys(spark, made):
     lines = _lines(constraint_report(*td.unguarded_tables(feed), raw=feed))
     joins = [i for i, x in enumerate(lines) if "Join LeftAnti" in x]
     assert len(joins) == 4 and all("Aggregate" in lines[i + 1] for i in joins)
+
+
+def test_scores_join_a_row_a_user(spark, made):
+    lines = _lines(td.nation_score_payloads(spark, made))
+    join = next(i for i, x in enumerate(lines) if "Join Inner, (user_id" in x)
+    assert any("Aggregate [user_id" in x for x in lines[join:])
