@@ -84,3 +84,13 @@ def test_scores_join_a_row_a_user(spark, made):
     lines = _lines(td.nation_score_payloads(spark, made))
     join = next(i for i, x in enumerate(lines) if "Join Inner, (user_id" in x)
     assert any("Aggregate [user_id" in x for x in lines[join:])
+
+
+def test_staging_feed_of_many_files_an_epoch_a_part(spark, made, scratch, monkeypatch, spread):
+    monkeypatch.setattr(catalog, "checkpoint_dir", lambda s: scratch)
+    got = catalog.QUERIES["stream_fee_delta"](spark, made).select("created_at", "pair_address", "price", "fees").collect()
+    want = I.fee_deltas(I.stage_snapshot(td.events_raw_snapshots(spark, made)), spark.createDataFrame([], COUNTERS)).select("created_at", "address", "price", "fees")
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want.collect()))
+    assert len(glob.glob(f"{scratch}/tidepool-stream-*/feed/*.parquet")) > 5
+    # The four parts; of the replayed one nothing is kept.
+    assert len({p.rsplit("/", 1)[1] for p in glob.glob(f"{scratch}/tidepool-stream-*/staged/entry_date=*/owner=*/epoch=*")}) == 4
