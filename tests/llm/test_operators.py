@@ -529,3 +529,30 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
         want[i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(said.encode()).hexdigest()] += passes[i]
     got = collections.Counter(tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
     assert got == want
+
+
+def test_near_duplicates_write_little_rows_as_few_files(spark, monkeypatch):
+    """Each file in the shared folder costs its executor a process of its own."""
+    rng = random.Random(11)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(60)) for _ in range(800)]
+    docs = spark.createDataFrame([*enumerate(texts), *((1000 + i, t + " end") for i, t in enumerate(texts[:12]))], "doc_id long, text string")
+    files = {}
+
+    def stored(df, path, real=near_dup.stored):
+        out = real(df, path)
+        files[os.path.basename(path)] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(near_dup, "stored", stored)
+    small = {"advisoryPartitionSizeInBytes": "16k", "coalescePartitions.minPartitionSize": "1k", "coalescePartitions.parallelismFirst": "false"}
+    small = {f"spark.sql.adaptive.{k}": v for k, v in small.items()} | {"spark.sql.shuffle.partitions": "32", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        found = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert found == {i: i for i in range(800)} | {1000 + i: i for i in range(12)}
+    assert max(files[t] for t in ("members", "sets", "links-0")) <= 3, files

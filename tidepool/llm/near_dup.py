@@ -145,13 +145,13 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, size:
     """``(id, shingles)`` for the rows whose id is in ``ids``."""
 
     def run(batches):
-        for batch in batches:
+        for part in (p for batch in batches for p in W.slices(batch, "text")):
             flat, bounds = [np.zeros(0, np.int64)], [0]
-            for _, s in _sets(batch, size):
+            for _, s in _sets(part, size):
                 flat.append(s.view(np.int64))
                 bounds.append(bounds[-1] + len(s))
             shingles = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(flat)))
-            yield pa.record_batch([batch.column(0), shingles], ["id", "shingles"])
+            yield pa.record_batch([part.column(0), shingles], ["id", "shingles"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.join(ids, "id", "left_semi").mapInArrow(run, "id long, shingles array<long>")
@@ -245,6 +245,14 @@ def _likely(members: DataFrame, pivots: DataFrame, reps: DataFrame, percent: int
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
+def _gathered(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` dealt anew by ``by``, for tables that many tasks make a little of:
+    they are written as few files.  In a shared folder that is a plain file
+    system Hadoop starts a process for each file, and until that one runs its
+    own program it counts with all the memory of the executor that it comes from."""
+    return df.repartition(*by)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 85) -> DataFrame:
     """``(id_col, n_shingles, component_id, kept)`` for each document: the size
     of its shingle set, the smallest id reachable over links of similarity
@@ -260,8 +268,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     rows = _bands(reps, band_rows(percent))
     shared = rows.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("bucket")
-    members = stored(rows.join(shared, "bucket").distinct(), f"{base}/members")
-    sets = stored(full_sets(docs, id_col, text_col, members.select("id").distinct(), size), f"{base}/sets")
+    members = stored(_gathered(rows.join(shared, "bucket").distinct(), "id"), f"{base}/members")
+    sets = full_sets(docs, id_col, text_col, members.select("id").distinct(), size)
+    sets = stored(_gathered(sets, "id"), f"{base}/sets")
 
     roots = None  # (node, root) of the nodes that are not their own root
     done = None  # pairs compared so far
@@ -291,7 +300,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("s_a")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("s_b")), "b")
         both = both.withColumn("common", F.size(F.array_intersect("s_a", "s_b")))
         found = both.filter(f"100 * common >= {percent} * (size(s_a) + size(s_b) - common)").select("a", "b").distinct()
-        found = stored(found, f"{base}/links-{step}")
+        found = stored(_gathered(found, "a", "b"), f"{base}/links-{step}")
         if roots is None or not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             roots = components(links, "a", "b")
